@@ -1,0 +1,4 @@
+"""The engine has no streaming surface: every log is complete before it is derived.
+
+The folder marks the place such jobs would take; nothing is built here on purpose.
+"""
