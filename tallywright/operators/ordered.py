@@ -9,6 +9,7 @@ limit keep the plain single-window plan.
 
 from __future__ import annotations
 
+import os.path
 from dataclasses import dataclass
 from functools import reduce
 
@@ -27,6 +28,7 @@ class Cuts:
 
     hot: DataFrame | None
     points: tuple
+    skip: int = 0       # leading characters every value of a text order column shares
 
 
 def hot_keys(df: DataFrame, keys: list[str], limit: int = ROWS_PER_TASK) -> DataFrame:
@@ -35,7 +37,7 @@ def hot_keys(df: DataFrame, keys: list[str], limit: int = ROWS_PER_TASK) -> Data
 
 
 def plan_cuts(df: DataFrame, keys: list[str], order: str, limit: int = ROWS_PER_TASK) -> Cuts:
-    """Decide at plan time whether ``df`` needs chunks; ``order`` must be numeric or a timestamp."""
+    """Decide at plan time whether ``df`` needs chunks; ``order`` is the leading order column."""
     if not keys:
         rows = df.count()
         if rows <= limit:
@@ -50,13 +52,21 @@ def plan_cuts(df: DataFrame, keys: list[str], order: str, limit: int = ROWS_PER_
         source = df.join(hot, keys, "left_semi")
     pieces = min(MAX_SPLITS, -(-hot_rows // limit))
     probs = [i / pieces for i in range(1, pieces)]
-    value = order_number(df, order)
+    skip = 0
+    if dict(df.dtypes)[order] == "string":
+        ends = source.agg(F.min(order), F.max(order)).first()
+        skip = len(os.path.commonprefix([v or "" for v in ends]))
+    value = order_number(df, order, skip)
     points = source.agg(F.percentile_approx(value, probs, 100_000).alias("p")).first()["p"] or []
-    return Cuts(hot, tuple(sorted(set(points))))
+    return Cuts(hot, tuple(sorted(set(points))), skip)
 
 
-def order_number(df: DataFrame, order: str) -> Column:
+def order_number(df: DataFrame, order: str, skip: int = 0) -> Column:
+    """A number that never decreases along the order column (text: the bytes after ``skip``)."""
     kind = dict(df.dtypes)[order]
+    if kind == "string":
+        head = F.substring(F.rpad(F.substring(order, skip + 1, 7), 7, " ").cast("binary"), 1, 7)
+        return F.conv(F.hex(head), 16, 10).cast("bigint")
     if kind in ("timestamp", "timestamp_ntz"):
         return F.unix_micros(F.col(order).cast("timestamp"))
     if kind == "date":
@@ -69,7 +79,7 @@ def with_chunk(df: DataFrame, order: str, cuts: Cuts | None) -> DataFrame:
     if cuts is None or not cuts.points:
         return df.withColumn(CHUNK, F.lit(0))
     points = F.array(*[F.lit(p) for p in cuts.points])
-    bucket = F.size(F.filter(points, lambda p: p <= order_number(df, order)))
+    bucket = F.size(F.filter(points, lambda p: p <= order_number(df, order, cuts.skip)))
     if cuts.hot is None:
         return df.withColumn(CHUNK, bucket)
     # the hot keys may be coarser than ``keys``: a hot game is cut for each of its players too
@@ -166,7 +176,7 @@ def row_index(df: DataFrame, order: list[str], name: str = "row_index",
     cuts = plan_cuts(df, [], order[0], limit)
     keyed = df.withColumn("__all", F.lit(0))
     out = ordered_scan(keyed, ["__all"], order, {name: ("sum_before", F.lit(1).cast("bigint"))},
-                       Cuts(None, cuts.points))
+                       Cuts(None, cuts.points, cuts.skip))
     return out.withColumn(name, F.col(name).cast("bigint")).drop("__all")
 
 

@@ -53,10 +53,10 @@ def fit_beta(df: DataFrame, by: list[str], x: str = "x", n: str = "n") -> DataFr
     broken = ~_known(s, t) | (s < 0) | (t < 0) | (s > t + GUARD_TOLERANCE)
     fit = df.groupBy(*by).agg(
         F.count(F.when(t > 0, 1)).alias("n_entities"), F.avg(F.when(t > 0, p)).alias("m"),
-        F.var_pop(F.when(t > 0, p)).alias("spread"), F.avg(F.when(t > 0, p * (1 - p) / t)).alias("noise"),
+        F.var_pop(F.when(t > 0, p)).alias("spread"), F.avg(safe_div(p * (1 - p), t)).alias("noise"),
         F.count(F.when(broken, 1)).alias("offenders"))
     m, v = F.col("m"), F.col("spread") - F.col("noise")
-    total = m * (1 - m) / v - 1
+    total = safe_div(m * (1 - m), v) - 1
     error = (F.when(F.col("offenders") > 0, F.concat(F.lit("guard: "), F.col("offenders").cast("string"),
                                                      F.lit(" rows are not proportions")))
              .when(F.col("n_entities") < 2, "fewer than two entities with opportunities")
@@ -80,7 +80,7 @@ def fit_gamma(df: DataFrame, by: list[str], x: str = "x", n: str = "n") -> DataF
     broken = ~_known(c, e) | (c < 0) | (e < 0)
     fit = df.groupBy(*by).agg(
         F.count(F.when(e > 0, 1)).alias("n_entities"), F.avg(F.when(e > 0, rate)).alias("m"),
-        F.var_pop(F.when(e > 0, rate)).alias("spread"), F.avg(F.when(e > 0, 1 / e)).alias("inverse"),
+        F.var_pop(F.when(e > 0, rate)).alias("spread"), F.avg(F.when(e > 0, safe_div(F.lit(1.0), e))).alias("inverse"),
         F.count(F.when(broken, 1)).alias("offenders"))
     m = F.col("m")
     v = F.col("spread") - m * F.col("inverse")
@@ -88,13 +88,13 @@ def fit_gamma(df: DataFrame, by: list[str], x: str = "x", n: str = "n") -> DataF
                                                      F.lit(" negative or undefined counts")))
              .when(F.col("n_entities") < 2, "fewer than two entities with exposure")
              .when(m <= 0, "mean rate is zero"))
-    return _prior(fit, by, "gamma", error, param1=F.when(v > 0, m * m / v), param2=m, mean=m)
+    return _prior(fit, by, "gamma", error, param1=F.when(v > 0, safe_div(m * m, v)), param2=m, mean=m)
 
 
 def shrink_gamma(df: DataFrame, priors: DataFrame, by: list[str], x: str = "x", n: str = "n",
                  out: str = "value") -> DataFrame:
     k, m = F.col("param1"), F.col("mean")
-    value = F.when(k.isNull(), m).otherwise((F.col(x) + k) / (F.col(n) + k / m))
+    value = F.when(k.isNull(), m).otherwise((F.col(x) + k) / (F.col(n) + safe_div(k, m)))
     return _apply(df, priors, by, value, out)
 
 
@@ -130,10 +130,10 @@ def fit_relative_risk(df: DataFrame, by: list[str], x: str = "x", n: str = "n")
     risk = o / F.nullif(e, F.lit(0.0))
     fit = df.groupBy(*by).agg(
         F.count(F.when(e > 0, 1)).alias("n_entities"), F.var_pop(F.when(e > 0, risk)).alias("spread"),
-        F.avg(F.when(e > 0, 1 / e)).alias("inverse"))
+        F.avg(F.when(e > 0, safe_div(F.lit(1.0), e))).alias("inverse"))
     inv_k = F.greatest(F.lit(0.0), F.col("spread") - F.col("inverse"))
     error = F.when(F.col("n_entities") < 2, "fewer than two entities with expected events")
-    return _prior(fit, by, "gamma_rr", error, param1=F.when(inv_k > 0, 1 / inv_k), mean=F.lit(1.0))
+    return _prior(fit, by, "gamma_rr", error, param1=F.when(inv_k > 0, safe_div(F.lit(1.0), inv_k)), mean=F.lit(1.0))
 
 
 def shrink_relative_risk(df: DataFrame, priors: DataFrame, by: list[str], x: str = "x",
@@ -152,7 +152,7 @@ def fit_scaled_inv_chi2(df: DataFrame, by: list[str], s2: str = "s2", n: str = "
         F.var_pop(F.when(use, v_i)).alias("spread"),
         F.avg(F.when(use, 2 * v_i * v_i / (games + 1))).alias("noise"))
     m, v = F.col("m"), F.col("spread") - F.col("noise")
-    nu0 = 4 + 2 * m * m / v
+    nu0 = 4 + safe_div(2 * m * m, v)
     scale = F.when(v > 0, m * (nu0 - 2) / nu0).otherwise(m)
     error = F.when(F.col("n_entities") < 2, "fewer than two entities with at least two games")
     return _prior(fit, by, "scaled_inv_chi2", error, param1=F.when(v > 0, nu0), param2=scale, mean=scale)
