@@ -386,8 +386,8 @@ class Derivation:
         """Scores that are plain arithmetic on shrunk statistics."""
         known = cut(union_all([v.select("stat", ID, "value") for v in self.values]))
         self.values = [known]
-        names = {"phi": "FOUL%", "a_all": "D_FGA Overall per100", "a_p3": "D_FGA P3 per100", "a_p2": "D_FGA P2 per100",
-                 "a_r": "D_FGA R per100", "d3": "delta_P3", "d2": "delta_P2", "dr": "delta_R",
+        names = {"phi": "FOUL%", "rate_all": "D_FGA Overall per100", "rate_p3": "D_FGA P3 per100", "rate_p2": "D_FGA P2 per100",
+                 "rate_r": "D_FGA R per100", "d3": "delta_P3", "d2": "delta_P2", "dr": "delta_R",
                  "ppp": "defensive Postup PPP", "post": "defensive Postup possessions per100", "gamma": "rim defense",
                  "contested": "contested shots per100"}
         w = self.wide.join(column_of(known, names), ID, "left").join(contest_shares(self.wide), ID, "left")
@@ -402,18 +402,18 @@ class Derivation:
         else:
             f_bar = foul["shooting_foul_ft_points"] / foul["shooting_fouls"]
             self.log("foul cost", f_bar=f_bar, phi_bar=phi_bar)
-            cost = F.lit(f_bar) * (F.col("phi") - F.lit(phi_bar)) * F.col("a_all")
+            cost = F.lit(f_bar) * (F.col("phi") - F.lit(phi_bar)) * F.col("rate_all")
             idle = w.where(F.col("A_Overall") <= 0).select(ID).limit(20).collect()
             if idle:
                 for n in derived:
                     self.stat_errors[n] = f"no contests for players with exposure: {[r[0] for r in idle]}"
         out["perimeter foul cost"] = cost * F.col("perimeter")
         out["rim foul cost"] = cost * F.col("rim")
-        out["net perimeter points saved"] = (F.col("a_p3") * F.col("d3") + F.col("a_p2") * F.col("d2")
+        out["net perimeter points saved"] = (F.col("rate_p3") * F.col("d3") + F.col("rate_p2") * F.col("d2")
                                              - cost * F.col("perimeter"))
-        out["rim contest"] = F.col("a_r") * F.col("dr")
+        out["rim contest"] = F.col("rate_r") * F.col("dr")
         out["rim deterrence"] = -F.col("gamma") * F.lit(self.u_rim - self.u_other)
-        out["net rim points saved"] = F.col("a_r") * F.col("dr") + out["rim deterrence"] - cost * F.col("rim")
+        out["net rim points saved"] = F.col("rate_r") * F.col("dr") + out["rim deterrence"] - cost * F.col("rim")
         league = self.lg.inputs.agg(F.sum("SYN_D_Postup_PTS").alias("p"), F.sum("SYN_D_Postup_POSS").alias("n")).first()
         if league["n"]:
             self.log("post defense", **{"league PPP": league["p"] / league["n"]})
@@ -422,7 +422,7 @@ class Derivation:
         rows = F.array(*[F.struct(F.lit(k).alias("stat"), v.cast("double").alias("value")) for k, v in out.items()])
         self.values.append(w.select(ID, F.explode(rows).alias("s")).select("s.stat", ID, "s.value"))
         helped = self.attempt(["help contests residual"], lambda: md.ols_residual(
-            w.where(F.col("contested").isNotNull() & F.col("a_all").isNotNull()), "contested", [F.col("a_all")]))
+            w.where(F.col("contested").isNotNull() & F.col("rate_all").isNotNull()), "contested", [F.col("rate_all")]))
         if helped is not None:
             self.values.append(helped.select(F.lit("help contests residual").alias("stat"), ID,
                                              F.col("residual").alias("value")))
