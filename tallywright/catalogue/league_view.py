@@ -59,15 +59,15 @@ ROW_COUNTS = {
     "team_fga": "5.0", "team_fgm": "2.0 + " + case("q > 25"), "team_missed_fga": "3.0 - " + case("q > 25"),
     "team_fta": "1.0", "team_oreb": "0.5 + " + case("n = 6"), "team_dreb": "1.0", "team_tov": "0.5",
     "opp_fga": "5.0", "opp_fg2a": "3.0", "opp_missed_fga": "2.5", "opp_fta": "1.0", "opp_oreb": "0.5", "opp_dreb": "1.0",
-    "opp_tov": "0.5", "opp_missed_final_ft": "0.2",
+    "opp_tov": "0.5", "opp_missed_final_ft": "0.25",
     "pbp_blocks": case("d = 2 and q > s"), "pbp_blocks_R": case("d = 2 and q > s and n <= 3"),
     "pbp_blocks_P2": case("d = 2 and q > s and n in (4, 5)"), "pbp_blocks_P3": case("d = 2 and q > s and n >= 6"),
     "pbp_blocks_recovered": case("d = 2 and q > s + 9"), "shooting_fouls": case("k = 1 and q > s"),
     "offensive_fouls_drawn": case("d = 4 and q > s + 6"), "nonshooting_def_fouls": case("k = 0 and q > s"),
     "tov_handling": case("k >= 7 and q > s"), "tov_bad_pass": case("k = 8 and q < s"), "tov_decision": case("k = 7 and q < s"),
-    "A_Overall": case("n <= 6"), "M_Overall": case("n <= 6 and q > s + 5"), "E_Overall": "0.45 * " + case("n <= 6"),
-    "A_P3": case("n <= 2"), "M_P3": case("n <= 2 and q > s + 8"), "E_P3": "0.4 * " + case("n <= 2"),
-    "A_P2": case("n in (3, 4)"), "M_P2": case("n in (3, 4) and q > s + 4"), "E_P2": "0.45 * " + case("n in (3, 4)"),
+    "A_Overall": case("n <= 6"), "M_Overall": case("n <= 6 and q > s + 5"), "E_Overall": "0.4375 * " + case("n <= 6"),
+    "A_P3": case("n <= 2"), "M_P3": case("n <= 2 and q > s + 8"), "E_P3": "0.375 * " + case("n <= 2"),
+    "A_P2": case("n in (3, 4)"), "M_P2": case("n in (3, 4) and q > s + 4"), "E_P2": "0.4375 * " + case("n in (3, 4)"),
     "A_R": case("n in (5, 6)"), "M_R": case("n in (5, 6) and q > s"), "E_R": "0.5 * " + case("n in (5, 6)"),
     "CHART_FGA": "1.0", "CHART_MID_FGA": case("q >= 18 and q < 18 + s / 2.0"), "CHART_RIM_FGA": case("q < 2 + s / 3.0"),
     "LAYUP_FGA": case("n = 1 and q < s"), "TOUCH_FGA": case("n = 2 and q < s"),

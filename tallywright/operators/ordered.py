@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallywright.functions.scalars import micros
+
 ROWS_PER_TASK = 2_000_000
 CHUNK = "__chunk"
 MAX_SPLITS = 4096
@@ -68,7 +70,7 @@ def order_number(df: DataFrame, order: str, skip: int = 0) -> Column:
         head = F.substring(F.rpad(F.substring(order, skip + 1, 7), 7, " ").cast("binary"), 1, 7)
         return F.conv(F.hex(head), 16, 10).cast("bigint")
     if kind in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(F.col(order).cast("timestamp"))
+        return micros(order)
     if kind == "date":
         return F.unix_date(order)
     return F.col(order)

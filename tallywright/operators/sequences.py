@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.functions.scalars import safe_div
+from tallywright.functions.scalars import micros, safe_div
 from tallywright.operators.ordered import ROWS_PER_TASK, ordered_scan, plan_cuts
 
 
@@ -37,7 +37,7 @@ def marks_to_intervals(df: DataFrame, keys: list[str], order: list[str], at: str
     back = [f"__b{i}" for i in range(len(order))]
     kinds = dict(df.dtypes)
     for b, o in zip(back, order):
-        number = F.unix_micros(o) if kinds[o].startswith("timestamp") else F.col(o)
+        number = micros(o) if kinds[o].startswith("timestamp") else F.col(o)
         marks = marks.withColumn(b, -number)
     cuts = plan_cuts(marks, keys, back[0], limit)
     seen = ordered_scan(marks, keys, back, {"__next": ("previous", at)}, cuts)
