@@ -153,15 +153,15 @@ def poisson(spark, sf):
 
 
 @register("h5_blend_weights", f"""
-    with w as (select avg(l_quantity) as t, max(-p_size)::double as a, sum(l_tax) as b from {ITEMS} group by l_partkey),
-    m as (select var_pop(a) as aa, var_pop(b) as bb, covar_pop(a, b) as ab, covar_pop(a, t) as at, covar_pop(b, t) as bt from w),
-    s as (select (bb * at - ab * bt) / (aa * bb - ab * ab) as u, (aa * bt - ab * at) / (aa * bb - ab * ab) as v, at / aa as ua, bt / bb as vb,
-      at * at / aa as ga, bt * bt / bb as gb, at, bt from m),
-    f as (select case when u >= 0 and v >= 0 then u when at > 0 and (bt <= 0 or ga >= gb) then ua else 0 end as wa,
-      case when u >= 0 and v >= 0 then v when at > 0 and (bt <= 0 or ga >= gb) then 0 else greatest(vb, 0) end as wb from s)
+    with w as (select avg(l_quantity) - 0.5 * max(p_size) + 2 * sum(l_tax) as t, max(-p_size)::double as a, sum(l_tax) as b from {ITEMS} group by l_partkey),
+    m as (select var_pop(a) as aa, var_pop(b) as bb, covar_pop(a, b) as ab, covar_pop(a, t) as ca, covar_pop(b, t) as cb from w),
+    s as (select (bb * ca - ab * cb) / (aa * bb - ab * ab) as u, (aa * cb - ab * ca) / (aa * bb - ab * ab) as v, ca / aa as ua, cb / bb as vb,
+      ca * ca / aa as ga, cb * cb / bb as gb, ca, cb from m),
+    f as (select case when u >= 0 and v >= 0 then u when ca > 0 and (cb <= 0 or ga >= gb) then ua else 0 end as wa,
+      case when u >= 0 and v >= 0 then v when ca > 0 and (cb <= 0 or ga >= gb) then 0 else greatest(vb, 0) end as wb from s)
     select 'a' as component, {rq('wa / (wa + wb)')} as weight from f union all select 'b', {rq('wb / (wa + wb)')} from f""")
 def blend(spark, sf):
-    w = items(spark, sf).groupBy("l_partkey").agg(F.avg("l_quantity").alias("t"), F.max(-F.col("p_size")).cast("double").alias("a"),
+    w = items(spark, sf).groupBy("l_partkey").agg((F.avg("l_quantity") - 0.5 * F.max("p_size") + 2 * F.sum("l_tax")).alias("t"), F.max(-F.col("p_size")).cast("double").alias("a"),
                                                   F.sum("l_tax").alias("b"))
     weights = md.blend_weights(w, ["a", "b"], "t")
     return spark.createDataFrame(list(weights.items()), "component string, weight double").select("component", r("weight").alias("weight"))

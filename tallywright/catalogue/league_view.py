@@ -65,16 +65,12 @@ ROW_COUNTS = {
     "pbp_blocks_recovered": case("d = 2 and q > s + 9"), "shooting_fouls": case("k = 1 and q > s"),
     "offensive_fouls_drawn": case("d = 4 and q > s + 6"), "nonshooting_def_fouls": case("k = 0 and q > s"),
     "tov_handling": case("k >= 7 and q > s"), "tov_bad_pass": case("k = 8 and q < s"), "tov_decision": case("k = 7 and q < s"),
-    "A_Overall": case("n <= 6"), "M_Overall": case("n <= 6 and q > s + 5"), "E_Overall": "0.4375 * " + case("n <= 6"),
+    "A_Overall": case("n <= 2 or q > s"), "M_Overall": case("n <= 2 and q > s + 5"), "E_Overall": "0.4375 * " + case("n <= 2 or q > s"),
     "A_P3": case("n <= 2"), "M_P3": case("n <= 2 and q > s + 8"), "E_P3": "0.375 * " + case("n <= 2"),
     "A_P2": case("n in (3, 4)"), "M_P2": case("n in (3, 4) and q > s + 4"), "E_P2": "0.4375 * " + case("n in (3, 4)"),
     "A_R": case("n in (5, 6)"), "M_R": case("n in (5, 6) and q > s"), "E_R": "0.5 * " + case("n in (5, 6)"),
-    "CHART_FGA": "1.0", "CHART_MID_FGA": case("q >= 18 and q < 18 + s / 2.0"), "CHART_RIM_FGA": case("q < 2 + s / 3.0"),
-    "LAYUP_FGA": case("n = 1 and q < s"), "TOUCH_FGA": case("n = 2 and q < s"),
-    "DRIVING_DUNK_FGM": case("n = 3 and q < s - 3"), "STANDING_DUNK_FGM": case("n = 4 and q > s + 2"),
     "roster_games": "1.0", "games_missed": case("q < s - 8"),
 }
-CHART = ("CHART_FGA", "CHART_MID_FGA", "CHART_RIM_FGA", "LAYUP_FGA", "TOUCH_FGA", "DRIVING_DUNK_FGM", "STANDING_DUNK_FGM")
 
 _INDEX = "case p_type " + " ".join(f"when '{t}' then {i}" for i, t in enumerate(TYPES)) + f" else {len(TYPES)} end"
 PLAYER = f"(cast(p_size as bigint) - 1) * 7 + {_INDEX}"
@@ -174,7 +170,7 @@ def league(spark: SparkSession, sf_dir: str) -> League:
                                           for i, t in enumerate(sp.COMBINE_TESTS)])
     return League(
         roster=roster, inputs=wide.select("player_id", *[c for c in wide.columns if c not in (
-            "player_id", *CHART, "roster_games", "games_missed") and c[:2] not in ("A_", "M_", "E_")],
+            "player_id", "roster_games", "games_missed") and c[:2] not in ("A_", "M_", "E_")],
             F.expr("2.5 + DIST_MILES_OFF / SPEED_MIN").alias("AVG_SPEED_OFF"),
             F.expr("2.0 + DIST_MILES_DEF / SPEED_MIN").alias("AVG_SPEED_DEF")),
         shots=chart, pbp_shots=timed, assists=helped, stints=stints,
@@ -186,15 +182,20 @@ def league(spark: SparkSession, sf_dir: str) -> League:
 
 
 _done: dict = {}
+_views: dict = {}
 
 
-def profiles(spark: SparkSession, sf_dir: str) -> tuple[Derivation, Profiles]:
+def profiles(spark: SparkSession, sf_dir: str, models: bool = True) -> tuple[Derivation, Profiles]:
     """The whole derivation, once per session and data folder; its tables are checkpointed."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _done:
-        d = Derivation(league(spark, sf_dir))
-        _done[key] = (d, d.run())
-    return _done[key]
+    app = spark.sparkContext.applicationId
+    for key in ((app, sf_dir, models), (app, sf_dir, True)):
+        if key in _done:
+            return _done[key]
+    if (app, sf_dir) not in _views:
+        _views[(app, sf_dir)] = league(spark, sf_dir)
+    d = Derivation(_views[(app, sf_dir)], models)
+    _done[(app, sf_dir, models)] = (d, d.run())
+    return _done[(app, sf_dir, models)]
 
 
 __all__ = ["INPUTS_SQL", "LINES_SQL", "inputs", "lines", "shots", "league", "profiles", "OPP_FIELDS", "PLAYER_FIELDS",

@@ -51,8 +51,13 @@ def standard_score(df: DataFrame, by: list[str], value: str, out: str = "z") ->
 
 
 def rate_scores(df: DataFrame, by: list[str], score: str) -> DataFrame:
-    """Add ``percentile`` and the unrounded 0-99 ``rating``."""
-    return mid_rank(df, by, score, "percentile").withColumn(
+    """Add ``percentile`` and the unrounded 0-99 ``rating``.
+
+    Ranked on the score without its last rounding noise, so scores that differ only by the order
+    their parts were added in tie; the score itself stays as it is.
+    """
+    keyed = df.withColumn("__key", F.round(score, 12))
+    return mid_rank(keyed, by, "__key", "percentile").drop("__key").withColumn(
         "rating", RATING_SCALE * F.col("percentile"))
 
 

@@ -217,8 +217,10 @@ def stint_targets(lg: League, zones: DataFrame) -> tuple[DataFrame, float]:
 
 # ------------------------------------------------------------------ the derivation
 class Derivation:
-    def __init__(self, lg: League):
-        self.lg = lg
+    """``models=False`` leaves out every iterative fit; the fields that need one count as failed."""
+
+    def __init__(self, lg: League, models: bool = True):
+        self.lg, self.models = lg, models
         self.spark: SparkSession = lg.roster.sparkSession
         self.wide, self.one_sided = population_inputs(lg)
         self.wide = cut(self.wide)
@@ -229,6 +231,10 @@ class Derivation:
     # -------------------------------------------------------------- bookkeeping
     def attempt(self, names, fn):
         """Run one model; on a model error every statistic it owes is marked as failed."""
+        if not self.models:
+            for n in names:
+                self.stat_errors[n] = "model fits left out"
+            return None
         try:
             return fn()
         except (md.ModelError, ValueError) as e:
@@ -421,9 +427,8 @@ class Derivation:
         out["Box Creation per100"] = F.col("BOX_CREATION")
         rows = F.array(*[F.struct(F.lit(k).alias("stat"), v.cast("double").alias("value")) for k, v in out.items()])
         self.values.append(w.select(ID, F.explode(rows).alias("s")).select("s.stat", ID, "s.value"))
-        helped = self.attempt(["help contests residual"], lambda: md.ols_residual(
-            w.where(F.col("contested").isNotNull() & F.col("rate_all").isNotNull()), "contested", [F.col("rate_all")]))
-        if helped is not None:
+        if "contested shots per100" not in self.stat_errors and "D_FGA Overall per100" not in self.stat_errors:
+            helped = md.ols_residual(w, "contested", [F.col("rate_all")])
             self.values.append(helped.select(F.lit("help contests residual").alias("stat"), ID,
                                              F.col("residual").alias("value")))
 
@@ -536,22 +541,25 @@ class Derivation:
         self.scored = self.transformed()
         parts = self.fields() + self.blends()
         comp = self.spark.createDataFrame(
-            [(p.field, p.component, p.stat, float(p.weight), p.transform, float(p.sign)) for p in parts],
-            "field string, component string, stat string, weight double, how string, sign double")
+            [(i, p.field, p.component, p.stat, float(p.weight), p.transform, float(p.sign)) for i, p in enumerate(parts)],
+            "position int, field string, component string, stat string, weight double, how string, sign double")
         # the component list is this catalogue, so its size is fixed
         joined = self.scored.join(F.broadcast(comp), "stat")
         moved = F.col("sign") * F.when(F.col("how") == "Z", F.col("Z")).when(
             F.col("how") == "z", F.col("z_std")).when(F.col("how") == "raw", F.col("value"))
         rows = cut(joined.select(
-            ID, "field", "component", (F.col("sign") * F.col("value")).alias("value"),
+            ID, "field", "component", "position", (F.col("sign") * F.col("value")).alias("value"),
             F.when(F.col("how").isin("Z", "z"), moved).alias("z"), (F.col("weight") * moved).alias("share"),
             (F.col("weight") != 0).cast("int").alias("counts")))
         need = {}
         for p in parts:
             if p.weight != 0:
                 need[p.field] = need.get(p.field, 0) + 1
-        total = rows.where("counts = 1").groupBy("field", ID).agg(F.sum("share").alias("score"),
-                                                                  F.count("share").alias("n_parts"))
+        # added in catalogue order, so equal parts give equal scores on every run
+        ordered = F.array_sort(F.collect_list(F.struct("position", "share")))
+        total = rows.where("counts = 1").groupBy("field", ID).agg(
+            F.aggregate(ordered, F.lit(0.0), lambda acc, x: acc + x["share"]).alias("score"),
+            F.count("share").alias("n_parts"))
         wanted = F.create_map(*[F.lit(v) for f, n in need.items() for v in (f, n)])
         complete = cut(total.where(F.col("n_parts") == F.element_at(wanted, F.col("field"))))
         return self.finish(parts, rows, complete)
