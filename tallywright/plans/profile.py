@@ -260,7 +260,10 @@ class Derivation:
         self.base_priors = cut(priors.withColumn("kind", F.element_at(kinds, F.col("stat"))))
         self.priors.append(self.base_priors)
         for r in self.base_priors.where(F.col("error").isNotNull()).collect():
-            self.stat_errors[r["stat"]] = r["error"]
+            guard = sh.proportion_offenders if r["family"] == "beta" else sh.count_offenders
+            shown = guard(self.long.where(F.col("stat") == r["stat"])).limit(15).collect()
+            who = ", ".join(f"{o[ID]} ({o['x']:g} of {o['n']:g})" for o in shown)
+            self.stat_errors[r["stat"]] = r["error"] + (f": {who}" if who else "")
 
     def shot_models(self):
         lg, out = self.lg, []
