@@ -170,10 +170,11 @@ def others(spark, sf):
     """The only other user of the day under the same name (own row excluded)."""
     m = table(spark, sf, "events").select(F.to_date("ts").alias("d"), "event_id", "user_id", F.concat(
         F.lit("n"), (F.col("user_id") % 40).cast("string")).alias("name"), "event_type")
-    pool = m.groupBy("d", "name").agg(F.collect_set("user_id").alias("ids"))
-    mine = m.where("event_type = 'purchase'").join(pool, ["d", "name"])
-    rest = F.array_except("ids", F.array("user_id"))
-    return mine.where(F.size(rest) > 0).select("event_id", F.when(F.size(rest) == 1, rest[0]).alias("helper"))
+    pool = m.select("d", "name", "user_id").distinct().groupBy("d", "name").agg(
+        F.count(F.lit(1)).alias("k"), F.min("user_id").alias("lo"), F.max("user_id").alias("hi"))
+    mine = m.where("event_type = 'purchase'").join(pool.where("k > 1"), ["d", "name"])
+    rest = F.when(F.col("user_id") == F.col("lo"), F.col("hi")).otherwise(F.col("lo"))
+    return mine.select("event_id", F.when(F.col("k") == 2, rest).alias("helper"))
 
 
 @register("d13_explode_and_join", f"""

@@ -383,19 +383,19 @@ def span_totals(fields: DataFrame) -> DataFrame:
                     lambda s: s["event_id"]).alias("shot_ids"))
 
 
-def on_floor_counts(totals: DataFrame, spans: DataFrame) -> DataFrame:
+def on_floor_counts(totals: DataFrame, spans: DataFrame, by: tuple = ()) -> DataFrame:
     """(player, team) sums of the 15 on-floor fields. Spans are exploded to players after the
     counts were summed, so ten rows per span and team move instead of ten per event."""
     lineups = spans.where("valid").select("game_id", "period", "span_from", "team_low", "low", "high")
     j = totals.join(lineups, ["game_id", "period", "span_from"])
     is_low = F.col("team") == F.col("team_low")
-    own = j.select(F.explode(F.when(is_low, F.col("low")).otherwise(F.col("high"))).alias("player_id"),
+    own = j.select(*by, F.explode(F.when(is_low, F.col("low")).otherwise(F.col("high"))).alias("player_id"),
                    F.col("team").alias("team_id"),
                    *[F.col(f[5:]).alias(f) for f in TEAM_FIELDS], *[F.lit(0.0).alias(f) for f in OPP_FIELDS])
-    faced = j.select(F.explode(F.when(is_low, F.col("high")).otherwise(F.col("low"))).alias("player_id"),
+    faced = j.select(*by, F.explode(F.when(is_low, F.col("high")).otherwise(F.col("low"))).alias("player_id"),
                      F.col("other").alias("team_id"),
                      *[F.lit(0.0).alias(f) for f in TEAM_FIELDS], *[F.col(f[4:]).alias(f) for f in OPP_FIELDS])
-    return own.unionByName(faced).groupBy("player_id", "team_id").agg(
+    return own.unionByName(faced).groupBy(*by, "player_id", "team_id").agg(
         *[F.sum(f).alias(f) for f in (*TEAM_FIELDS, *OPP_FIELDS)])
 
 

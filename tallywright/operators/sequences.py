@@ -93,21 +93,25 @@ def latest_per_column(df: DataFrame, entity: str, order: list[str], columns: lis
 
 
 def resolve_names(spoken: DataFrame, roster: DataFrame, keys: list[str], name: str, entity: str,
-                  later: DataFrame | None = None, order: str = "ord") -> DataFrame:
+                  later: DataFrame | None = None, order: str = "ord", limit: int = ROWS_PER_TASK) -> DataFrame:
     """Name to entity within a key: unique names directly; names several entities share go to the
     one that acts next (``later``: keys, entity, order). Unresolved names keep NULL.
 
-    Shared names meet their later acts in one equi-join reduced by ``min_by``; a roster bounds how
-    many entities share a name.
+    Asks and acts are united and scanned once from the end, so no pair of them is ever formed.
     """
     pool = roster.groupBy(*keys, name).agg(F.array_sort(F.collect_set(entity)).alias("__ids"))
     j = spoken.join(pool, [*keys, name], "left")
     single = F.when(F.size("__ids") == 1, F.col("__ids")[0])
     if later is None:
         return j.withColumn("resolved", single).drop("__ids")
-    acts = later.select(*keys, F.col(entity).alias("__id"), F.col(order).alias("__at"))
-    shared = j.where(F.size("__ids") > 1).select(*keys, order, F.explode("__ids").alias("__id"))
-    follow = shared.join(acts, [*keys, "__id"]).where(F.col("__at") > F.col(order)).groupBy(*keys, order).agg(
-        F.min_by("__id", F.struct("__at", "__id")).alias("__next"))
-    return j.join(follow, [*keys, order], "left").withColumn("resolved", F.coalesce(single, F.col("__next"))).drop(
-        "__ids", "__next")
+    acts = later.select(*keys, F.col(entity).alias("__id"), (-F.col(order)).alias("__back"), F.col(order).alias("__at"))
+    asks = j.where(F.size("__ids") > 1).select(*keys, F.explode("__ids").alias("__id"), (-F.col(order)).alias("__back"),
+                                               F.lit(None).cast("bigint").alias("__at"))
+    both = acts.withColumn("__ask", F.lit(1)).unionByName(asks.withColumn("__ask", F.lit(0)))
+    cuts = plan_cuts(both, [*keys, "__id"], "__back", limit)
+    # at equal positions the ask comes first, so an act on the same row does not count as later
+    seen = ordered_scan(both, [*keys, "__id"], ["__back", "__ask"], {"__next": ("last", "__at")}, cuts)
+    follow = seen.where((F.col("__ask") == 0) & F.col("__next").isNotNull()).groupBy(
+        *keys, (-F.col("__back")).alias(order)).agg(F.min_by("__id", F.struct("__next", "__id")).alias("__who"))
+    return j.join(follow, [*keys, order], "left").withColumn("resolved", F.coalesce(single, F.col("__who"))).drop(
+        "__ids", "__who")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,12 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialize once in the checkpoint folder and continue from the written rows."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows once as a table in the checkpoint folder and continue from it.
+
+    Unlike a row checkpoint, the table keeps column pruning and a measured size, so later joins
+    broadcast only what the files show to be small.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

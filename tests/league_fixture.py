@@ -52,11 +52,20 @@ class Season:
             return number
 
         act(0, None, 0, "period", "start")
-        attack, spread = home, 28800 // POSSESSIONS
+        attack, spread, since = home, 28800 // POSSESSIONS, 0
+
+        def settle(t):
+            nonlocal since
+            for team in floor:
+                for q in floor[team]:
+                    on[q] += t - since
+            since = t
+
         for n in range(POSSESSIONS):
             t = n * spread + 40
             defend = away if attack == home else home
             if n and n % 6 == 0:
+                settle(t)
                 for team in (attack, defend):
                     out = floor[team][int(rng.integers(5))]
                     come = [p for p in who[team][:-1] if p not in floor[team]][int(rng.integers(2))]
@@ -115,18 +124,16 @@ class Season:
                         team, grab = (attack, mate) if own else (defend, floor[defend][int(rng.integers(5))])
                         act(t + 5, team, grab, "rebound", "offensive" if own else "defensive", possession=team)
                         line[grab]["OREB" if own else "DREB"] += 1
-            for team in floor:
-                for q in floor[team]:
-                    on[q] += 1
             attack = defend
+        settle(28800)
         act(28800, None, 0, "period", "end")
         self.actions[-1]["clock"], self.actions[-1]["period"] = "PT00M00.00S", 4
         for t in who:
             for p in who[t]:
-                mins = on[p] * spread / 600
+                mins = on[p] / 600
                 idle = on[p] == 0
                 self.box.append((gid, p, t, f"F{p}", f"L{p}", f"F. L{p}", "G" if p in who[t][:5] else "", "DNP - Injury" if idle else "",
-                                 "" if idle else f"{int(mins)}:{int(round(mins % 1 * 60)) % 60:02d}"))
+                                 "" if idle else f"{round(mins * 60) // 60}:{round(mins * 60) % 60:02d}"))
                 for c, v in line[p].items():
                     self.last[p][c] += v
                 self.last[p]["MIN"] += mins

@@ -32,7 +32,7 @@ def test_integrity(built):
 
 def test_lineups_agree_with_official_minutes(built):
     assert built.lineup_quality["n_unresolved"] == 0
-    assert built.lineup_quality["minutes_mean_abs_error"] < 0.02
+    assert built.lineup_quality["minutes_mean_abs_error"] < 0.01
 
 
 def test_placeholders_only_for_players_without_exposure(built):

@@ -3,6 +3,7 @@
 import pytest
 
 from tallywright.operators import events as ev
+from tallywright.operators import lineups as lu
 from tallywright.plans.game_log import derive_game_tables
 from tallywright.sources.payloads import ACTION_FIELDS
 
@@ -123,21 +124,11 @@ def text_tables(spark):
 
 
 def _per_game_counts(tables):
-    """On-floor counts per game (the library sums over games, so one game at a time here)."""
-    from functools import reduce
-
-    from pyspark.sql import functions as F
-
-    from tallywright.operators import lineups as lu
-    parts = []
-    evs = lu.event_fields(tables.events)
-    for (g,) in tables.events.select("game_id").distinct().collect():
-        one = tables.spans.where(F.col("game_id") == g)
-        counts = lu.on_floor_counts(lu.span_totals(evs.where(F.col("game_id") == g)), one)
-        cols = [*lu.TEAM_FIELDS, *lu.OPP_FIELDS]
-        parts.append(counts.unpivot(["player_id", "team_id"], cols, "field", "v").where("v <> 0").withColumn(
-            "game_id", F.lit(g)))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """On-floor counts per game (the library sums over games)."""
+    totals = lu.span_totals(lu.event_fields(tables.events))
+    cols = [*lu.TEAM_FIELDS, *lu.OPP_FIELDS]
+    return lu.on_floor_counts(totals, tables.spans, ("game_id",)).unpivot(
+        ["game_id", "player_id", "team_id"], cols, "field", "v").where("v <> 0")
 
 
 def notes(tables, game):
