@@ -1,14 +1,15 @@
 """Who was on the floor, and everything counted against them.
 
-Lineups depend on what happens later (a starter is known once he acts) and on earlier repairs, so
-that one step walks a game in a grouped map and returns only segments: who is on from which event.
-All counting is joins, running states and grouped sums over those segments.
+Most logs settle every lineup: starters follow from first acts and arrivals, and each substitution
+fits. Those are folded inside Spark. Where one does not fit, lineups depend on repairs and on what
+happens later, and that game alone is walked in a grouped map. Both return only segments: who is on
+from which event. All counting is joins, running states and grouped sums over those segments.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from tallywright.functions.scalars import (is_regular_free_throw, is_reboundable
                                            period_start, possessions, shot_category, turnover_class)
 from tallywright.operators.events import proves_presence
 from tallywright.operators.ordered import Cuts, ordered_scan
+from tallywright.plans.lineage import cut
 
 # Counted fields.
 TEAM_FIELDS = ("team_fga", "team_fgm", "team_missed_fga", "team_fta", "team_oreb", "team_dreb", "team_tov")
@@ -38,22 +40,150 @@ def rotation_starters(rotation: DataFrame, periods: DataFrame) -> DataFrame:
         F.size("players") == LINEUP)
 
 
-def lineup_segments(evs: DataFrame, rosters: DataFrame, rotation: DataFrame | None = None) -> DataFrame:
+def lineup_segments(evs: DataFrame, rosters: DataFrame, rotation: DataFrame | None = None,
+                    cuts: Cuts | None = None, settle: bool = True) -> DataFrame:
     """Segments per (game, period, team) plus note rows (``note`` not NULL). ``evs`` carries
-    ``in_ids`` (name candidates) beside the event columns."""
+    ``in_ids`` (name candidates) beside the event columns.
+
+    Games whose log settles every lineup are folded by ``settled_games`` inside Spark; only the
+    others (a substitution that does not fit, an ambiguous name, unknown starters) are walked.
+    """
+    periods = evs.select("game_id", "period").distinct()
+    fives = rotation_starters(rotation, periods) if rotation is not None else None
+    if not settle:
+        return _walk_games(evs, rosters, fives)
+    folded = cut(settled_games(evs, rosters, periods, fives, cuts))
+    open_games = folded.where(~F.col("ok")).select("game_id").distinct()
+    done = folded.join(open_games, "game_id", "left_anti")
+    segments = done.select("game_id", "team", F.explode("segs").alias("s")).select(
+        "game_id", "s.period", "team", "s.seg_no", "s.ord_from", "s.t_from", "s.t_floor",
+        F.array_sort("s.players").alias("players"), F.lit(True).alias("exact"),
+        F.lit(None).cast("string").alias("note"), F.lit(None).cast("string").alias("detail"))
+    notes = done.select("game_id", F.explode("notes").alias("n")).select("game_id", "n.period", "n.note")
+    rest = evs.join(open_games, "game_id", "left_semi")
+    walked = _walk_games(rest, rosters.join(open_games, "game_id", "left_semi"), fives)
+    return segments.unionByName(notes, allowMissingColumns=True).unionByName(walked)
+
+
+def _walk_games(evs: DataFrame, rosters: DataFrame, fives: DataFrame | None) -> DataFrame:
     slim = evs.select("game_id", "ord", "period", "clock", "t", "kind", "team", "person",
                       proves_presence().alias("proves"), "outs", "ins", "in_name", "in_ids")
     members = rosters.select("game_id", "teams", F.map_values("roster").alias("members"))
-    if rotation is None:
+    if fives is None:
         members = members.withColumn("rotation", F.array().cast(
             "array<struct<period:int,team:bigint,players:array<bigint>>>"))
     else:
-        fives = rotation_starters(rotation, evs.select("game_id", "period").distinct()).groupBy("game_id").agg(
-            F.collect_list(F.struct("period", "team", "players")).alias("rotation"))
-        members = members.join(fives, "game_id", "left")
+        listed = fives.groupBy("game_id").agg(F.collect_list(F.struct("period", "team", "players")).alias("rotation"))
+        members = members.join(listed, "game_id", "left")
     return slim.groupBy("game_id").cogroup(members.groupBy("game_id")).applyInPandas(_walk, SEGMENT_SCHEMA)
 
 
+_SEG = "struct<period:int,seg_no:int,ord_from:bigint,t_from:int,t_floor:int,players:array<bigint>>"
+_NOTE = "struct<period:int,note:string>"
+
+
+def _bind(value: Column, body) -> Column:
+    """Use one computed value several times inside a higher-order expression."""
+    return F.transform(F.array(value), body)[0]
+
+
+def settled_games(evs: DataFrame, rosters: DataFrame, periods: DataFrame, fives: DataFrame | None,
+                  cuts: Cuts | None = None) -> DataFrame:
+    """(game_id, team, ok, segs, notes): lineups folded over substitutions, without Python.
+
+    Events are first reduced to each player's first act and first arrival per period (a map-side
+    minimum), so what is gathered per game is its roster and its substitutions, never its events.
+    """
+    keys = ["game_id", "period", "team"]
+    timed = ordered_scan(evs.select("game_id", "period", "ord", "t", "kind", "team", "person", "sub", "outs", "ins", "in_name",
+                                    F.coalesce("in_ids", F.array().cast("array<bigint>")).alias("in_ids")),
+                         ["game_id", "period"], ["ord"], {"t_floor": ("max", "t")}, cuts).where(F.col("team").isNotNull())
+    is_sub = F.col("kind") == "sub"
+    at, never = F.col("ord").cast("bigint"), F.lit(None).cast("bigint")
+
+    def fact(player, act, come):
+        return F.struct(player.alias("player"), act.alias("act"), come.alias("come"))
+
+    moves = F.concat(F.transform("outs", lambda p: fact(p, at, never)),
+                     F.transform(F.array_union("ins", F.array_except("in_ids", "outs")), lambda p: fact(p, never, at)))
+    acts = F.when(is_sub, moves).when(proves_presence() & F.col("person").isNotNull(), F.array(fact(F.col("person"), at, never)))
+    first = timed.select(*keys, F.explode(acts).alias("a")).groupBy(*keys, "a.player").agg(
+        F.min("a.act").alias("act"), F.min("a.come").alias("come"))
+    own = F.try_element_at("roster", F.col("player"))["team"] == F.col("team")
+    early = own & F.col("act").isNotNull() & (F.col("come").isNull() | (F.col("act") < F.col("come")))
+    seen = first.join(rosters.select("game_id", "roster"), "game_id").groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.when(early, F.struct("act", "player")))).alias("seen"),
+        F.collect_list(F.when(F.col("come").isNotNull(), F.col("player"))).alias("arrived"))
+
+    def listed(c):
+        return F.filter(c, lambda p: F.map_contains_key(F.col("roster"), p)).alias(c)
+
+    subs = timed.where(is_sub).join(rosters.select("game_id", "roster"), "game_id").select(
+        *keys, at.alias("ord"), "t", "t_floor", listed("outs"), listed("ins"), F.col("in_name").isNotNull().alias("named"), "in_ids")
+    subs = subs.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(
+        "ord", "t", "t_floor", "outs", "ins", "named", "in_ids"))).alias("subs"))
+    base = periods.join(rosters.select("game_id", "roster", F.explode("teams").alias("team")), "game_id")
+    box = F.transform(F.filter(F.map_values("roster"), lambda m: (m["team"] == F.col("team")) & m["starts"]), lambda m: m["id"])
+    base = base.select(*keys, F.when((F.col("period") == 1) & (F.size(box) == LINEUP), box).alias("box"))
+    spun = fives.select(*keys, F.col("players").alias("spun")) if fives is not None else None
+    j = base.join(seen, keys, "left").join(subs, keys, "left")
+    j = j.join(spun, keys, "left") if spun is not None else j.withColumn("spun", F.lit(None).cast("array<bigint>"))
+    no_ids = F.array().cast("array<bigint>")
+    j = j.select(*keys, period_start("period").alias("start"), F.coalesce("box", "spun").alias("known"),
+                 F.coalesce("seen", F.array().cast("array<struct<act:bigint,player:bigint>>")).alias("seen"),
+                 F.coalesce("arrived", no_ids).alias("arrived"),
+                 F.coalesce("subs", F.array().cast(dict(subs.dtypes)["subs"])).alias("subs"))
+    games = j.groupBy("game_id", "team").agg(F.array_sort(F.collect_list(F.struct(
+        "period", "start", "known", "seen", "arrived", "subs"))).alias("periods"))
+    zero = F.struct(F.lit(None).cast("array<bigint>").alias("closing"), F.lit(True).alias("ok"),
+                    F.array().cast(f"array<{_SEG}>").alias("segs"), F.array().cast(f"array<{_NOTE}>").alias("notes"))
+    folded = games.select("game_id", "team", F.aggregate("periods", zero, _fold_period).alias("f"))
+    return folded.select("game_id", "team", "f.ok", "f.segs", "f.notes")
+
+
+def _segment(period, number, ord_from, t_from, t_floor, players) -> Column:
+    return F.struct(period.alias("period"), number.alias("seg_no"), ord_from.alias("ord_from"), t_from.alias("t_from"),
+                    t_floor.alias("t_floor"), players.alias("players"))
+
+
+def _fold_period(acc: Column, p: Column) -> Column:
+    who = F.transform(p["seen"], lambda x: x["player"])
+    n = F.size(p["seen"])
+    clear = (n == LINEUP) | ((n > LINEUP) & (F.get(p["seen"], F.lit(LINEUP - 1))["act"] < F.get(p["seen"], F.lit(LINEUP))["act"]))
+    by_log = F.when(clear, F.slice(who, 1, LINEUP))
+    quiet = F.array_union(who, F.array_except(F.array_except(acc["closing"], who), p["arrived"]))
+    filled = F.when((n < LINEUP) & (F.size(quiet) == LINEUP), quiet)
+    starters = F.struct(F.coalesce(p["known"], by_log, filled).alias("five"), (p["known"].isNull() & by_log.isNull()).alias("completed"))
+
+    def with_starters(s):
+        first = F.struct(s["five"].alias("cur"), s["five"].isNotNull().alias("ok"), F.array(_segment(
+            p["period"], F.lit(0), F.lit(-1).cast("bigint"), p["start"], p["start"], s["five"])).alias("segs"))
+        said = F.array_compact(F.array(
+            F.when(p["known"].isNull(), F.struct(p["period"].alias("period"), F.lit("period_starters_inferred").alias("note"))),
+            F.when(s["completed"], F.struct(p["period"].alias("period"),
+                                            F.lit("period_starters_completed_from_previous_period").alias("note")))))
+        return _bind(F.aggregate(p["subs"], first, lambda a, x: _fold_sub(a, x, p)), lambda done: F.struct(
+            done["cur"].alias("closing"), (acc["ok"] & done["ok"]).alias("ok"),
+            F.concat(acc["segs"], done["segs"]).alias("segs"), F.concat(acc["notes"], said).alias("notes")))
+
+    return _bind(starters, with_starters)
+
+
+def _fold_sub(a: Column, x: Column, p: Column) -> Column:
+    """One substitution; anything that does not fit leaves the game to the walk."""
+    options = F.array_except(x["in_ids"], a["cur"])
+    coming = F.when(~x["named"], x["ins"]).when(F.size(options) == 1, F.array_union(x["ins"], options))
+    new = F.array_union(F.array_except(a["cur"], x["outs"]), coming)
+
+    def applied(five):
+        fits = F.coalesce(a["ok"] & (F.size(F.array_except(x["outs"], a["cur"])) == 0) & (F.size(five) == LINEUP), F.lit(False))
+        floor = F.greatest(p["start"], x["t_floor"])
+        return F.struct(five.alias("cur"), fits.alias("ok"), F.concat(a["segs"], F.array(_segment(
+            p["period"], F.size(a["segs"]), x["ord"] + 1, x["t"], floor, five))).alias("segs"))
+
+    return _bind(new, applied)
+
+
 class _Floor:
     """Lineup state of one game; knows the log ahead through per-team signals."""
 

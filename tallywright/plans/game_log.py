@@ -17,6 +17,9 @@ from tallywright.plans.lineage import cut
 class GameTables:
     """Tables of the walk; all are DataFrames keyed by game, player or both."""
 
+    named: DataFrame
+    rosters: DataFrame
+    rotation: DataFrame | None
     events: DataFrame
     segments: DataFrame
     spans: DataFrame
@@ -35,8 +38,9 @@ class GameTables:
 
 
 def derive_game_tables(box: DataFrame, id_log: DataFrame | None = None, text_log: DataFrame | None = None,
-                       rotation: DataFrame | None = None) -> GameTables:
-    """``id_log`` is preferred; games only ``text_log`` has use it as the backup."""
+                       rotation: DataFrame | None = None, settle: bool = True) -> GameTables:
+    """``id_log`` is preferred; games only ``text_log`` has use it as the backup. ``settle=False``
+    walks every game (for comparison)."""
     rosters = ev.game_rosters(box).persist()
     parts, spoken = [], []
     if text_log is not None:
@@ -54,17 +58,17 @@ def derive_game_tables(box: DataFrame, id_log: DataFrame | None = None, text_log
     said_all = said[0] if len(said) == 1 else said[0].unionByName(said[1], allowMissingColumns=True)
     evs = cut(ev.with_name_candidates(log, ev.name_index(box, said_all, rosters)))
     spells = ev.rotation_intervals(rotation) if rotation is not None else None
-    walked = cut(lu.lineup_segments(evs, rosters, spells))
+    cuts = plan_cuts(evs, ["game_id", "period"], "ord")
+    walked = cut(lu.lineup_segments(evs, rosters, spells, cuts, settle))
     segments = lu.segments_only(walked)
     spans = cut(lu.ten_man_spans(segments, rosters))
-    cuts = plan_cuts(evs, ["game_id", "period"], "ord")
     placed = lu.attach_spans(evs, spans, cuts)
     stated = cut(lu.with_state(placed, rosters, cuts))
     fields = lu.event_fields(stated)
     totals = cut(lu.span_totals(fields))
     stretch = cut(lu.stretches(segments))
     return GameTables(
-        events=stated, segments=segments, spans=spans, notes=lu.notes_only(walked),
+        named=evs, rosters=rosters, rotation=spells, events=stated, segments=segments, spans=spans, notes=lu.notes_only(walked),
         on_floor=lu.on_floor_counts(totals, spans), player_events=lu.player_event_counts(stated),
         turnover_types=lu.turnover_types(stated), fouls=lu.foul_totals(stated), seconds=lu.seconds_on(segments),
         stretches=stretch, stretch_minutes=lu.stretch_minutes(stretch),

@@ -288,6 +288,19 @@ def test_chunked_passes_agree_with_plain_ones(spark, monkeypatch):
         assert a.exceptAll(b.select(a.columns)).count() == 0 and a.count() == b.count(), name
 
 
+def test_folded_and_walked_lineups_agree(spark, text_tables):
+    """Games the fold settles get the same segments from the walk; the rest are left to it."""
+    tables, _c = text_tables
+    walked = lu.segments_only(lu.lineup_segments(tables.named, tables.rosters, tables.rotation, settle=False))
+    cols = ["game_id", "period", "team", "seg_no", "ord_from", "t_from", "t_floor", "players", "exact"]
+    a, b = tables.segments.select(cols), walked.select(cols)
+    assert a.exceptAll(b).count() == 0 and a.count() == b.count()
+    periods = tables.named.select("game_id", "period").distinct()
+    fives = lu.rotation_starters(tables.rotation, periods)
+    folded = lu.settled_games(tables.named, tables.rosters, periods, fives)
+    assert {r[0] for r in folded.where("not ok").select("game_id").distinct().collect()} == {"g2", "g5", "g6"}
+
+
 def test_blockers_attach_to_the_nearest_miss(spark):
     g = "b1"
     s, e = frame_period(g, 1)
