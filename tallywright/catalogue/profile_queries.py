@@ -112,15 +112,15 @@ def score_sql(field):
         if p.transform == "raw":
             sub, col = stat_sql(p.stat), "value"
         else:
-            sub, col = f"(select player_id, {probit_sql('pct')} as z from {pct_sql(stat_sql(p.stat))} q)", "z"
+            sub, col = f"(select player_id, {probit_sql('pct')} as z from {pct_sql(rounded(stat_sql(p.stat), 'value'))} q)", "z"
         joins.append(f"join {sub} c{i} on c{i}.player_id = inp.player_id")
         terms.append(f"{p.weight * p.sign!r}::double * c{i}.{col}")
     return f"(select inp.player_id, {' + '.join(terms)} as score from inp {' '.join(joins)})"
 
 
-def rounded(sub):
-    """Scores that are equal by construction tie whatever order their parts were added in."""
-    return f"(select player_id, round(score, 11) as score from {sub} r)"
+def rounded(sub, col="score"):
+    """Numbers that are equal by construction tie whatever order their parts were added in."""
+    return f"(select player_id, round({col}, 11) as {col} from {sub} r)"
 
 
 def with_ctes(*more):
@@ -194,7 +194,8 @@ def trait_sql(name, sub, sign, ctes=()):
     names = sp_names(name)
     return (with_ctes(*ctes) + f"select player_id, {rq('value', 5)} as value, {rq('z', 4)} as z_score, tier, case tier {names} end as tier_name from (select *, "
             f"cast(case when z >= 2 then 2 when z >= 1 then 1 when z <= -2 then -2 when z <= -1 then -1 else 0 end as int) as tier from (select player_id, value, "
-            f"{sign} * (value - avg(value) over ()) / stddev_pop(value) over () as z from {sub} t) u) w")
+            f"case when stddev_pop(value) over () <= 1e-12 * greatest(1.0, abs(avg(value) over ())) then 0 else {sign} * (value - avg(value) over ()) / "
+            f"stddev_pop(value) over () end as z from {sub} t) u) w")
 
 
 def sp_names(name):

@@ -485,7 +485,9 @@ class Derivation:
         values = union_all([v.select("stat", ID, "value") for v in self.values])
         self.all_values = cut(values)
         known = self.all_values.where(F.col("stat").isin(*used) & F.col("value").isNotNull() & ~F.isnan("value"))
-        ranked = mid_rank(known, ["stat"], "value", "__pct").withColumn("Z", sc.probit("__pct")).drop("__pct")
+        # ranked without the last rounding noise: what is equal by construction ties
+        keyed = known.withColumn("__key", F.round("value", 12))
+        ranked = mid_rank(keyed, ["stat"], "__key", "__pct").withColumn("Z", sc.probit("__pct")).drop("__pct", "__key")
         return cut(standard_score(ranked, ["stat"], "value", "z_std"))
 
     def fields(self) -> list:
