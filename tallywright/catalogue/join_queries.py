@@ -52,9 +52,10 @@ def indicator(spark, sf):
     with u as (select l_returnflag, l_linenumber, avg(l_quantity) as u from lineitem group by all)
     select l_suppkey, {rq('sum(u)', 4)} as expected from lineitem join u using (l_returnflag, l_linenumber) group by l_suppkey""")
 def lookup(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_suppkey", "l_returnflag", "l_linenumber", "l_quantity")
-    u = li.groupBy("l_returnflag", "l_linenumber").agg(F.avg("l_quantity").alias("u"))
-    return li.join(u, ["l_returnflag", "l_linenumber"]).groupBy("l_suppkey").agg(r(F.sum("u"), 4).alias("expected"))
+    cell = ["l_returnflag", "l_linenumber"]
+    per = table(spark, sf, "lineitem").groupBy("l_suppkey", *cell).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"))
+    u = per.groupBy(*cell).agg((F.sum("q") / F.sum("n")).alias("u"))
+    return per.join(u, cell).groupBy("l_suppkey").agg(r(F.sum(F.col("n") * F.col("u")), 4).alias("expected"))
 
 
 # a session runs from a signup to the next error of the same user and day, else to the day's end

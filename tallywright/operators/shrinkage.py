@@ -203,10 +203,12 @@ def observed_minus_expected(df: DataFrame, by: list[str], made: str, prob: str)
 
 def mean_difference(df: DataFrame, by: list[str], entity: list[str], value: str) -> DataFrame:
     """Per entity: mean minus the mean of its ``by`` group (the statistic), with sampling variance
-    (variance of the group) / n."""
-    overall = df.groupBy(*by).agg(F.avg(value).alias("__m"), F.var_pop(value).alias("__v"))
-    g = df.groupBy(*by, *entity).agg(F.avg(value).alias("__own"),
+    (variance of the group) / n. The group's moments are pooled from the entities' own, so the rows
+    are aggregated once."""
+    g = df.groupBy(*by, *entity).agg(F.avg(value).alias("__own"), F.var_pop(value).alias("__in"),
                                      F.count(value).cast("double").alias("n"))
-    return g.join(overall, by).select(
-        *by, *entity, "n", (F.col("__own") - F.col("__m")).alias("d"),
-        safe_div(F.col("__v"), F.col("n")).alias("s2"))
+    n, own = F.col("n"), F.col("__own")
+    pooled = g.groupBy(*by).agg((F.sum(n * own) / F.sum(n)).alias("__m"), (F.sum(n * F.col("__in")) / F.sum(n)).alias("__w"),
+                                (F.sum(n * own * own) / F.sum(n)).alias("__q"))
+    spread = F.col("__w") + F.greatest(F.lit(0.0), F.col("__q") - F.col("__m") * F.col("__m"))
+    return g.join(pooled, by).select(*by, *entity, "n", (own - F.col("__m")).alias("d"), safe_div(spread, n).alias("s2"))

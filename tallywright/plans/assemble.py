@@ -56,12 +56,14 @@ CONTEST_COLUMNS = {
 BOX_COUNTS = ("PTS", "FGM", "FGA", "FTM", "FTA", "OREB", "DREB", "STL", "AST", "BLK", "PF", "TOV")
 
 
-def long_counts(df: DataFrame, columns: dict) -> DataFrame:
-    """(player_id, stat, value) rows; ``columns`` maps a stat to a column or expression."""
-    cells = F.array(*[F.struct(F.lit(s).alias("stat"), sc.to_num(F.col(c) if isinstance(c, str) else c).alias("value"))
-                      for s, c in columns.items()])
+def long_counts(df: DataFrame, columns: dict | list) -> DataFrame:
+    """(player_id, stat, value) rows from one scan; ``columns`` pairs a stat (name or Column, NULL to
+    leave the row out) with a column or expression."""
+    pairs = columns.items() if isinstance(columns, dict) else columns
+    cells = F.array(*[F.struct((F.lit(s) if isinstance(s, str) else s).alias("stat"),
+                               sc.to_num(F.col(c) if isinstance(c, str) else c).alias("value")) for s, c in pairs])
     return df.select(F.col("PLAYER_ID").cast("bigint").alias(ID), F.explode(cells).alias("s")).select(
-        ID, "s.stat", "s.value").where(F.col("value").isNotNull())
+        ID, "s.stat", "s.value").where(F.col("stat").isNotNull() & F.col("value").isNotNull())
 
 
 def _same(names: str) -> dict:
@@ -72,15 +74,20 @@ def count_table(raw: dict, games: GameTables) -> DataFrame:
     """The wide input table: one row per player seen anywhere, missing counts 0."""
     speed = raw["pt_SpeedDistance"]
     minutes = sc.to_num("MIN")
-    shots, syn = raw["pt_shot"], raw["synergy"]
     total = (F.col("def_dist").isNull()) | (F.col("def_dist") == "")
-    offense = F.col("side") == "offensive"
+    offense = (F.col("side") == "offensive") & F.col("play_type").isin(*PLAY_TYPES)
+
+    def play(kind):
+        guarded = (F.col("side") != "offensive") & (F.col("play_type") == "Postup")
+        return F.when(offense, F.concat(F.lit("SYN_"), F.col("play_type"), F.lit("_" + kind))).when(
+            guarded, F.lit("SYN_D_Postup_" + kind))
+
     reb = {k: k for k in REQUIRED["pt_Rebounding"].split()[3:] if k in raw["pt_Rebounding"].columns}
     parts = [
         long_counts(raw["player_base_totals"], _same(REQUIRED["player_base_totals"])),
         long_counts(raw["pt_shot_clock"].where(F.col("clock_range").isin(*LATE_CLOCK)), {"LATE_CLOCK_FGA": "FGA"}),
-        long_counts(shots.where(total & (F.col("general_range") == "Catch and Shoot")), {"CS_FGA": "FGA"}),
-        long_counts(shots.where(total & (F.col("general_range") == "Pullups")), {"PU_FGA": "FGA"}),
+        long_counts(raw["pt_shot"].where(total), [(F.when(F.col("general_range") == "Catch and Shoot", "CS_FGA").when(
+            F.col("general_range") == "Pullups", "PU_FGA"), "FGA")]),
         long_counts(raw["pt_Drives"], _same(REQUIRED["pt_Drives"])),
         long_counts(raw["pt_Passing"], _same(REQUIRED["pt_Passing"])),
         long_counts(raw["pt_Possessions"], {"TOUCHES": "TOUCHES", "DRIBBLES": sc.to_num("TOUCHES") * sc.to_num(
@@ -90,11 +97,7 @@ def count_table(raw: dict, games: GameTables) -> DataFrame:
                             "SPEED_OFF_X_MIN": sc.to_num("AVG_SPEED_OFF") * minutes,
                             "SPEED_DEF_X_MIN": sc.to_num("AVG_SPEED_DEF") * minutes}),
         long_counts(raw["player_hustle"], _same(REQUIRED["player_hustle"])),
-        *[long_counts(syn.where(offense & (F.col("play_type") == p)), {f"SYN_{p}_POSS": "POSS", f"SYN_{p}_PTS": "PTS"})
-          for p in PLAY_TYPES],
-        long_counts(syn.where(offense & F.col("play_type").isin(*PLAY_TYPES)), {"SYN_TOTAL_POSS": "POSS"}),
-        long_counts(syn.where(~offense & (F.col("play_type") == "Postup")),
-                    {"SYN_D_Postup_POSS": "POSS", "SYN_D_Postup_PTS": "PTS"}),
+        long_counts(raw["synergy"], [(play("POSS"), "POSS"), (play("PTS"), "PTS"), (F.when(offense, "SYN_TOTAL_POSS"), "POSS")]),
         long_counts(raw["player_clutch_base"], {f"CLUTCH_{c}": c for c in ("PTS", "FGA", "FTA")}),
         games.on_floor.unpivot([ID], [*lu.TEAM_FIELDS, *lu.OPP_FIELDS], "stat", "value"),
         games.player_events.select(ID, F.col("field").alias("stat"), "value"),
