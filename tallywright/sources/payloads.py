@@ -23,14 +23,13 @@ def result_set_rows(df: DataFrame, payload: str) -> DataFrame:
 
     Accepts ``resultSets`` as a list or a single object, and ``resultSet``.
     """
-    p = F.col(payload)
-    sets = F.coalesce(
-        F.from_json(p, f"struct<resultSets:array<{_SET}>>")["resultSets"],
-        F.array_compact(F.array(F.coalesce(
-            F.from_json(p, f"struct<resultSets:{_SET}>")["resultSets"],
-            F.from_json(p, f"struct<resultSet:{_SET}>")["resultSet"]))))
+    # the outer object is read as raw text once, so only the form it has is parsed
+    outer = F.from_json(F.col(payload), "struct<resultSets:string,resultSet:string>")
+    text = F.coalesce(outer["resultSets"], outer["resultSet"])
     none = F.raise_error(F.lit("payload has no result sets")).cast(f"array<{_SET}>")
-    listed = df.withColumn("__sets", F.when(F.size(sets) > 0, sets).otherwise(none))
+    sets = (F.when(text.isNull(), none).when(text.startswith("["), F.from_json(text, f"array<{_SET}>"))
+            .otherwise(F.array(F.from_json(text, _SET))))
+    listed = df.withColumn("__sets", sets)
     one = listed.select("*", F.explode("__sets").alias("__set")).drop("__sets", payload)
     return one.select(
         *[c for c in one.columns if c != "__set"], F.col("__set.name").alias("set_name"),
