@@ -1,6 +1,6 @@
 """All registered queries of this subpackage."""
 
-from tallywright.llm import mixing, neardup, packing, resharding, secrets, tokenfiles  # noqa: F401
+from tallywright.llm import languages, mixing, neardup, neighbours, packing, quality_rules, resharding, secrets, tokenfiles  # noqa: F401
 from tallywright.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
