@@ -158,8 +158,12 @@ def best_paths(score: np.ndarray, first: np.ndarray, n: np.ndarray, switch: floa
     return label
 
 
-def labelled(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
-    """doc_id, lang_pred, score, spans (first word, word behind the last, lang) of every document (doc_id, text)."""
+def labelled(docs: DataFrame, model: Model, switch: float = SWITCH, carry: list[str] | None = None) -> DataFrame:
+    """row, lang_pred, score, spans (first word, word behind the last, lang) of every document.
+
+    row: struct of the columns in `carry` (doc_id by default), as they came.
+    """
+    docs = docs.select(F.struct(*(F.col(f"`{c}`") for c in carry or ["doc_id"])).alias("row"), "text")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages times slots
     span = pa.struct([("first", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])
 
@@ -193,10 +197,10 @@ def labelled(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame
                             spans[d] = []
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(begin, len(raws)), pa.array(pred, pa.string()), pa.array(share), pa.array(spans, pa.list_(span))],
-                    names=["doc_id", "lang_pred", "score", "spans"])
+                    names=["row", "lang_pred", "score", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, lang_pred string, score double, spans array<struct<first:int,end:int,lang:string>>")
+    kind = docs.schema["row"].dataType.simpleString()
+    return docs.mapInArrow(run, f"row {kind}, lang_pred string, score double, spans array<struct<first:int,end:int,lang:string>>")
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -209,4 +213,4 @@ def language_spans(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     rows = labelled(docs, fit(training_rows(docs)))
     held = F.coalesce(crc_of_id(F.col("doc_id")) % 3 == 1, F.lit(False))
-    return rows.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+    return rows.select("row.doc_id", "lang_pred", "score").select("doc_id", held.alias("held_out"), "lang_pred", "score")

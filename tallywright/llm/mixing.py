@@ -88,26 +88,47 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
             .select("source", "budget", F.coalesce(F.col("threshold"), F.lit(1 << PLACE_BITS)).alias("threshold")))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3, keep: list[str] | None = None) -> DataFrame:
-    """How often each document goes into the mix: doc_id, source, size, source_size, target, repeats.
+def mix_plan(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
+    """Per source: source_size, target, whole (repeats that all its documents get), threshold (documents below get one more).
 
-    docs needs doc_id, source and text; columns in `keep` are carried along. Every whole repeat of a source is taken for all of
-    its documents; the rest of the target is a threshold on the line of places.
+    sized: source, size, place; read several times, so best a written table.
     """
-    sized = cut(docs.select(*(keep or []), "doc_id", "source", words_of(F.col("text")).alias("size"), place(F.col("doc_id")).alias("place")))
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = source_targets(sizes, weights, max_repeats)
     whole = F.when(F.col("source_size") > 0, F.least(F.lit(max_repeats), F.floor(F.col("target") / F.col("source_size")))).otherwise(0)
     plan = plan.withColumn("whole", whole.cast("int"))
     plan = cut(plan.withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")))
     ends = thresholds(sized, plan.select("source", "budget"))
-    plan = cut(plan.join(ends.select(F.col("source").alias("s"), "threshold"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s"))
-    plan = plan.withColumnRenamed("source", "plan_source")
-    # the plan has one row for each source
-    taken = sized.join(plan, F.col("source").eqNullSafe(F.col("plan_source")))
-    extra = (F.col("place") < F.col("threshold")) & (F.col("whole") < max_repeats)
-    return (taken.withColumn("repeats", F.col("whole") + extra.cast("int"))
-            .select(*(keep or []), "doc_id", "source", "size", "source_size", "target", "repeats"))
+    plan = plan.join(ends.select(F.col("source").alias("s"), "threshold"), F.col("source").eqNullSafe(F.col("s")), "left")
+    return cut(plan.select("source", "source_size", "target", "whole", F.when(F.col("whole") < max_repeats, F.col("threshold")).otherwise(0).alias("threshold")))
+
+
+def sized_rows(docs: DataFrame) -> DataFrame:
+    return cut(docs.select("doc_id", "source", words_of(F.col("text")).alias("size"), place(F.col("doc_id")).alias("place")))
+
+
+def with_repeats(rows: DataFrame, plan: DataFrame, at: Column) -> DataFrame:
+    """row (struct of all columns), repeats, source_size, target. `at` is the place of a row; the plan has one row per source."""
+    rows = rows.select(F.struct("*").alias("row"), F.col("source").alias("__source"), at.alias("__place"))
+    rows = rows.join(plan, F.col("__source").eqNullSafe(F.col("source")))
+    return rows.select("row", (F.col("whole") + (F.col("__place") < F.col("threshold")).cast("int")).alias("repeats"), "source_size", "target")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
+    """How often each document goes into the mix: doc_id, source, size, source_size, target, repeats. docs: doc_id, source, text.
+
+    Every whole repeat of a source is taken for all of its documents; the rest of the target is a threshold on the line of places.
+    """
+    sized = sized_rows(docs)
+    rows = with_repeats(sized, mix_plan(sized, weights, max_repeats), F.col("place"))
+    return rows.select("row.doc_id", "row.source", "row.size", "source_size", "target", "repeats")
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
+    """The mix itself: every row as often as it is taken, with the columns it came with."""
+    plan = mix_plan(sized_rows(docs), weights, max_repeats)
+    rows = with_repeats(docs, plan, place(F.col("doc_id"))).where(F.col("repeats") > 0)
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("repeats")))).select("row.*")
 
 
 ORACLE = r"""

@@ -126,6 +126,18 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def redacted(history: DataFrame, text: str = "text", length: str | None = None, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
+    """The rows with every span of their text masked, found by a new ledger; a column `length`, if named, follows the new text."""
+    columns = history.columns
+    _, ledger = scan(history, rules=rules, path=columns[0], text=text)
+    hits = cut(findings(read_ledger(history.sparkSession, ledger)))
+    rows = history.select(F.struct("*").alias("row"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("blob")).join(hits, "blob", "left")
+    clean = F.when(F.col("spans").isNotNull(), masked(F.col(f"row.{text}"), F.col("spans"))).otherwise(F.col(f"row.{text}"))
+    rows = rows.select(*(clean.alias(c) if c == text else F.when(F.col("spans").isNotNull(), F.length(clean).cast("long")).otherwise(F.col(f"row.{c}")).alias(c)
+                         if c == length else F.col(f"row.`{c}`") for c in columns))
+    return rows
+
+
 _SQL_RULES = [(i, r) for i, r in enumerate(BASE + ADDED)]
 
 
