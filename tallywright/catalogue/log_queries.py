@@ -75,7 +75,9 @@ def text_log(spark, sf):
 
 def box_score(spark, sf):
     """Everyone of a block is in its games' box scores; the first ten start."""
-    games = placed(spark, sf).select("game_id", (F.floor(F.col("low") / 20) * 20).alias("base")).distinct()
+    block = F.floor(F.col("user_id") / 20)
+    games = table(spark, sf, "events").select(F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit("/"), block.cast("string")).alias("game_id"),
+                                              (block * 20).alias("base")).distinct()
     each = games.withColumn("u", F.explode(F.sequence(F.col("base"), F.col("base") + 19)))
     return each.select("game_id", (F.col("u") + 100).alias("person_id"), (F.col("u") % 2 + 1).alias("team_id"),
                        F.concat(F.lit("U"), F.col("u").cast("string")).alias("family_name"), F.lit("").alias("first_name"),
@@ -232,10 +234,78 @@ def starters(spark, sf):
     return s.select("game_id", "period", "team", F.array_join(F.transform(F.array_sort("players"), lambda p: p.cast("string")), ",").alias("starters"))
 
 
-@register("f15_lineup_notes")
+# one-period games whose log tells who leaves but not who comes: only the first substitution of a side is in the log
+LOST = """with ev as (select *, strftime(ts, '%Y-%m-%d') || '/' || (user_id // 20) || '/' || (hour(ts) // 6) as game, user_id % 2 as side,
+      user_id // 20 * 20 + user_id % 10 as low from events),
+    first_swap as (select event_id from ev where event_type = 'signup' qualify row_number() over (partition by game, side order by ts, event_id) = 1),
+    log as (select *, row_number() over (partition by game order by ts, event_id) as ord from ev where event_type <> 'signup' or event_id in (select event_id from first_swap)),
+    lost as (select s.game, s.ord, exists (select 1 from log a where a.game = s.game and a.low = s.low and a.ord > s.ord) as found from log s where event_type = 'signup'),
+    counted as (select *, last_value(case event_type when 'error' then side when 'signup' then null else -1 end ignore nulls)
+      over (partition by game order by ord rows between unbounded preceding and 1 preceding) as miss from log)"""
+
+
+def lossy_log(spark, sf):
+    """(box score, id log) of these games; a newcomer is only known once they act."""
+    e = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    block = F.floor(F.col("user_id") / 20)
+    quarter = F.floor(F.hour("ts") / 6)
+    e = e.select("*", F.concat_ws("/", F.date_format("ts", "yyyy-MM-dd"), block.cast("string"), quarter.cast("string")).alias("game_id"),
+                 (F.col("user_id") % 2).alias("side"), block.alias("block"), (block * 20 + F.col("user_id") % 10).alias("low"))
+    swap = F.col("event_type") == "signup"
+    first = e.where(swap).groupBy("game_id", "side").agg(F.min(F.struct("ts", "event_id")).alias("s")).select("game_id", "side", F.col("s.event_id").alias("first_swap"))
+    e = e.join(first, ["game_id", "side"], "left").where(~swap | (F.col("event_id") == F.col("first_swap")))
+    e = ordered_scan(e, ["game_id"], ["ts", "event_id"], {"ord": ("sum", F.lit(1).cast("bigint"))}, plan_cuts(e, ["game_id"], "ts"))
+    e = ordered_scan(e, ["game_id", "low"], ["ord"], {"swaps": ("sum_before", swap.cast("int"))}, plan_cuts(e, ["game_id", "low"], "ord"))
+    k = F.col("event_type")
+    left = F.floor((21600 - (F.hour("ts") % 6 * 3600 + F.minute("ts") * 60 + F.second("ts"))) / 30)
+    log = e.select(
+        "game_id", "ord", F.col("event_id").alias("actionNumber"), F.format_string("PT%dM%02d.00S", F.floor(left / 60), F.floor(left % 60)).alias("clock"),
+        F.lit(1).alias("period"), (F.col("side") + 1).alias("teamId"), (F.col("low") + 10 * F.col("swaps") + 100).alias("personId"),
+        F.when(k.isin("purchase", "error"), "2pt").when(k == "click", "rebound").when(k == "view", "turnover").otherwise("substitution").alias("actionType"),
+        F.when(swap, "out").when(k == "view", "bad pass").otherwise("").alias("subType"), F.lit("").alias("descriptor"),
+        F.when(k == "purchase", "Made").when(k == "error", "Missed").alias("shotResult"), (F.col("value") / 10).alias("shotDistance"),
+        *[F.lit(None).cast("bigint").alias(c) for c in ("assistPersonId", "blockPersonId", "foulDrawnPersonId", "possession")])
+    each = e.select("game_id", (F.col("block") * 20).alias("base")).distinct().withColumn("u", F.explode(F.sequence(F.col("base"), F.col("base") + 19)))
+    box = each.select("game_id", (F.col("u") + 100).alias("person_id"), (F.col("u") % 2 + 1).alias("team_id"),
+                      F.concat(F.lit("U"), F.col("u").cast("string")).alias("family_name"), F.lit("").alias("first_name"),
+                      F.when(F.col("u") % 20 < 10, "G").otherwise("").alias("position"), F.lit("10:00").alias("minutes"))
+    return cut(box), cut(log)
+
+
+def lossy_tables(spark, sf):
+    box, log = lossy_log(spark, sf)
+    return derive_game_tables(box, id_log=log)
+
+
+@register("f15_lineup_notes", f"""
+    {LOST} select note, count(*) as n from (select 'subs_unresolved' as note from lost union all select 'lineups_recovered_mid_period' from lost where found) group by note""")
 def lineup_notes(spark, sf):
-    """How often starters were inferred or completed and substitutions failed, per kind of note."""
-    return tables(spark, sf).notes.groupBy("note").agg(F.count(F.lit(1)).alias("n"))
+    """Lineups lost to a substitution without a newcomer, and those found again."""
+    return lossy_tables(spark, sf).notes.groupBy("note").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("f15_lost_lineups", f"""
+    {LOST}, gone as (select game, min(ord) as since from lost where not found group by game)
+    select c.game as game_id, count(*) as events_total, count(case when c.ord > g.since then 1 end) as events_unresolved
+    from counted c left join gone g on g.game = c.game where event_type in ('purchase', 'error', 'view') or event_type = 'click' and miss >= 0 group by c.game""")
+def lost_lineups(spark, sf):
+    """Events that count for nobody because a lineup is not known, per game."""
+    return lossy_tables(spark, sf).event_totals.where("events_total > 0")
+
+
+@register("f14_rotation_starters", f"""
+    with {LOG}, per as (select distinct game, period from log where period > 1), spot as (select per.*, p.place from per, (select unnest(range(10)) as place) p)
+    select game as game_id, period, place % 2 + 1 as team, string_agg((split_part(game, '/', 2)::bigint * 20 + place + 110)::varchar, ',' order by place) as starters
+    from spot group by all""")
+def rotation_starters(spark, sf):
+    """Starters of later periods as the rotation tells them, against a log that would say otherwise."""
+    log, box = cut(id_log(spark, sf)), cut(box_score(spark, sf))
+    bench = box.where("position = ''").select("game_id", "person_id", "team_id")
+    spells = log.where("period > 1").select("game_id", "period").distinct().join(bench, "game_id").select(
+        "game_id", F.col("person_id").alias("PERSON_ID"), F.col("team_id").alias("TEAM_ID"), ((F.col("period") - 1) * 7200.0).alias("IN_TIME_REAL"),
+        (F.col("period") * 7200.0).alias("OUT_TIME_REAL"))
+    s = derive_game_tables(box, id_log=log, rotation=cut(spells)).segments.where("seg_no = 0 AND period > 1")
+    return s.select("game_id", "period", "team", F.array_join(F.transform(F.array_sort("players"), lambda p: p.cast("string")), ",").alias("starters"))
 
 
 @register("f15_event_totals", f"""

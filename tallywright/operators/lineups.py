@@ -1,9 +1,8 @@
 """Who was on the floor, and everything counted against them.
 
-Most logs settle every lineup: starters follow from first acts and arrivals, and each substitution
-fits. Those are folded inside Spark. Where one does not fit, lineups depend on repairs and on what
-happens later, and that game alone is walked in a grouped map. Both return only segments: who is on
-from which event. All counting is joins, running states and grouped sums over those segments.
+A log is reduced to what concerns a team: its substitutions, acts that prove presence, and mentions of its players. ``recovery`` turns
+these rows of one team in one game into segments (who is on from which event), in time linear in them. All counting is joins,
+running states and grouped sums over the segments.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from tallywright.functions.scalars import (is_regular_free_throw, is_reboundable
                                            period_start, possessions, shot_category, turnover_class)
 from tallywright.operators.events import proves_presence
 from tallywright.operators.ordered import Cuts, ordered_scan
+from tallywright.operators.recovery import Moment, Row, TeamFloor
 from tallywright.plans.lineage import cut
 
 # Counted fields.
@@ -40,311 +40,84 @@ def rotation_starters(rotation: DataFrame, periods: DataFrame) -> DataFrame:
         F.size("players") == LINEUP)
 
 
-def lineup_segments(evs: DataFrame, rosters: DataFrame, rotation: DataFrame | None = None,
-                    cuts: Cuts | None = None, settle: bool = True) -> DataFrame:
-    """Segments per (game, period, team) plus note rows (``note`` not NULL). ``evs`` carries
-    ``in_ids`` (name candidates) beside the event columns.
+def team_rows(evs: DataFrame, rosters: DataFrame, cuts: Cuts | None = None) -> DataFrame:
+    """Rows that concern each team, with the running clock and the next event of either side.
 
-    Games whose log settles every lineup are folded by ``settled_games`` inside Spark; only the
-    others (a substitution that does not fit, an ambiguous name, unknown starters) are walked.
+    A person mentioned under the other team concerns their own team too.
     """
-    periods = evs.select("game_id", "period").distinct()
-    fives = rotation_starters(rotation, periods) if rotation is not None else None
-    if not settle:
-        return _walk_games(evs, rosters, fives)
-    folded = cut(settled_games(evs, rosters, periods, fives, cuts))
-    open_games = folded.where(~F.col("ok")).select("game_id").distinct()
-    done = folded.join(open_games, "game_id", "left_anti")
-    segments = done.select("game_id", "team", F.explode("segs").alias("s")).select(
-        "game_id", "s.period", "team", "s.seg_no", "s.ord_from", "s.t_from", "s.t_floor",
-        F.array_sort("s.players").alias("players"), F.lit(True).alias("exact"),
-        F.lit(None).cast("string").alias("note"), F.lit(None).cast("string").alias("detail"))
-    notes = done.select("game_id", F.explode("notes").alias("n")).select("game_id", "n.period", "n.note")
-    rest = evs.join(open_games, "game_id", "left_semi")
-    walked = _walk_games(rest, rosters.join(open_games, "game_id", "left_semi"), fives)
-    return segments.unionByName(notes, allowMissingColumns=True).unionByName(walked)
-
-
-def _walk_games(evs: DataFrame, rosters: DataFrame, fives: DataFrame | None) -> DataFrame:
-    slim = evs.select("game_id", "ord", "period", "clock", "t", "kind", "team", "person",
-                      proves_presence().alias("proves"), "outs", "ins", "in_name", "in_ids")
-    members = rosters.select("game_id", "teams", F.map_values("roster").alias("members"))
-    if fives is None:
-        members = members.withColumn("rotation", F.array().cast(
-            "array<struct<period:int,team:bigint,players:array<bigint>>>"))
+    timed = ordered_scan(evs.select("game_id", "period", "ord", "t", "kind", "team", "person", "sub", "outs", "ins", "in_name", "in_ids"),
+                         ["game_id", "period"], ["ord"], {"t_floor": ("max", "t")}, cuts)
+    timed = timed.withColumn("back", -F.col("ord")).withColumn("at", F.struct("ord", "t", "t_floor"))
+    timed = ordered_scan(timed, ["game_id", "period"], ["back"], {"after": ("last_before", "at")}, mirrored(cuts))
+    j = timed.join(rosters.select("game_id", "roster"), "game_id")
+    home = F.try_element_at("roster", F.col("person"))["team"]
+    j = j.withColumn("side", F.explode(F.array_distinct(F.array_compact(F.array("team", home)))))
+    mine = F.col("team").eqNullSafe(F.col("side"))
+    swap = mine & (F.col("kind") == "sub")
+    acts = mine & proves_presence() & (home == F.col("side"))
+    return j.where(swap | acts | F.col("person").isNotNull()).select(
+        "game_id", F.col("side").alias("team"), "period", "at", "after", swap.alias("swap"), "outs", "ins", F.col("in_name").isNotNull().alias("named"),
+        "in_ids", F.when(acts, F.col("person")).alias("actor"), F.col("person").alias("shown"))
+
+
+def mirrored(cuts: Cuts | None) -> Cuts | None:
+    """The same cuts for the falling order of a numeric column."""
+    return None if cuts is None else Cuts(cuts.hot, tuple(sorted(1 - p for p in cuts.points)), cuts.skip)
+
+
+def lineup_segments(evs: DataFrame, rosters: DataFrame, rotation: DataFrame | None = None, cuts: Cuts | None = None) -> DataFrame:
+    """Segments per (game, period, team) plus note rows (``note`` not NULL). ``evs`` carries ``in_ids`` (name candidates) beside the
+    event columns.
+
+    A period opens with the five starters of the box score (the first one only), else the five of the rotation, else what the log shows.
+    """
+    periods = evs.groupBy("game_id", "period").agg(F.min(F.struct("ord", "t")).alias("first"))
+    base = periods.join(rosters.select("game_id", "roster", F.explode("teams").alias("team")), "game_id")
+    members = F.filter(F.map_values("roster"), lambda m: m["team"] == F.col("team"))
+    box = F.transform(F.filter(members, lambda m: m["starts"]), lambda m: m["id"])
+    base = base.withColumn("box", F.when((F.col("period") == 1) & (F.size(box) == LINEUP), box))
+    if rotation is None:
+        base = base.withColumn("spun", F.lit(None).cast("array<bigint>"))
     else:
-        listed = fives.groupBy("game_id").agg(F.collect_list(F.struct("period", "team", "players")).alias("rotation"))
-        members = members.join(listed, "game_id", "left")
-    return slim.groupBy("game_id").cogroup(members.groupBy("game_id")).applyInPandas(_walk, SEGMENT_SCHEMA)
-
-
-_SEG = "struct<period:int,seg_no:int,ord_from:bigint,t_from:int,t_floor:int,players:array<bigint>>"
-_NOTE = "struct<period:int,note:string>"
-
-
-def _bind(value: Column, body) -> Column:
-    """Use one computed value several times inside a higher-order expression."""
-    return F.transform(F.array(value), body)[0]
+        fives = rotation_starters(rotation, periods.select("game_id", "period"))
+        base = base.join(fives.withColumnRenamed("players", "spun"), ["game_id", "period", "team"], "left")
+    info = cut(base.groupBy("game_id", "team").agg(
+        F.first(F.transform(members, lambda m: m["id"])).alias("members"),
+        F.array_sort(F.collect_list(F.struct("period", period_start("period").alias("start"), "first", F.coalesce("box", "spun").alias("five")))).alias("periods")))
+    rows = team_rows(evs, rosters, cuts)
+    keys = ["game_id", "team"]
+    return rows.groupBy(*keys).cogroup(info.groupBy(*keys)).applyInPandas(_team_game, SEGMENT_SCHEMA)
 
 
-def settled_games(evs: DataFrame, rosters: DataFrame, periods: DataFrame, fives: DataFrame | None,
-                  cuts: Cuts | None = None) -> DataFrame:
-    """(game_id, team, ok, segs, notes): lineups folded over substitutions, without Python.
-
-    Events are first reduced to each player's first act and first arrival per period (a map-side
-    minimum), so what is gathered per game is its roster and its substitutions, never its events.
-    """
-    keys = ["game_id", "period", "team"]
-    timed = ordered_scan(evs.select("game_id", "period", "ord", "t", "kind", "team", "person", "sub", "outs", "ins", "in_name",
-                                    F.coalesce("in_ids", F.array().cast("array<bigint>")).alias("in_ids")),
-                         ["game_id", "period"], ["ord"], {"t_floor": ("max", "t")}, cuts).where(F.col("team").isNotNull())
-    is_sub = F.col("kind") == "sub"
-    at, never = F.col("ord").cast("bigint"), F.lit(None).cast("bigint")
-
-    def fact(player, act, come):
-        return F.struct(player.alias("player"), act.alias("act"), come.alias("come"))
-
-    moves = F.concat(F.transform("outs", lambda p: fact(p, at, never)),
-                     F.transform(F.array_union("ins", F.array_except("in_ids", "outs")), lambda p: fact(p, never, at)))
-    acts = F.when(is_sub, moves).when(proves_presence() & F.col("person").isNotNull(), F.array(fact(F.col("person"), at, never)))
-    first = timed.select(*keys, F.explode(acts).alias("a")).groupBy(*keys, "a.player").agg(
-        F.min("a.act").alias("act"), F.min("a.come").alias("come"))
-    own = F.try_element_at("roster", F.col("player"))["team"] == F.col("team")
-    early = own & F.col("act").isNotNull() & (F.col("come").isNull() | (F.col("act") < F.col("come")))
-    seen = first.join(rosters.select("game_id", "roster"), "game_id").groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.when(early, F.struct("act", "player")))).alias("seen"),
-        F.collect_list(F.when(F.col("come").isNotNull(), F.col("player"))).alias("arrived"))
-
-    def listed(c):
-        return F.filter(c, lambda p: F.map_contains_key(F.col("roster"), p)).alias(c)
-
-    subs = timed.where(is_sub).join(rosters.select("game_id", "roster"), "game_id").select(
-        *keys, at.alias("ord"), "t", "t_floor", listed("outs"), listed("ins"), F.col("in_name").isNotNull().alias("named"), "in_ids")
-    subs = subs.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(
-        "ord", "t", "t_floor", "outs", "ins", "named", "in_ids"))).alias("subs"))
-    base = periods.join(rosters.select("game_id", "roster", F.explode("teams").alias("team")), "game_id")
-    box = F.transform(F.filter(F.map_values("roster"), lambda m: (m["team"] == F.col("team")) & m["starts"]), lambda m: m["id"])
-    base = base.select(*keys, F.when((F.col("period") == 1) & (F.size(box) == LINEUP), box).alias("box"))
-    spun = fives.select(*keys, F.col("players").alias("spun")) if fives is not None else None
-    j = base.join(seen, keys, "left").join(subs, keys, "left")
-    j = j.join(spun, keys, "left") if spun is not None else j.withColumn("spun", F.lit(None).cast("array<bigint>"))
-    no_ids = F.array().cast("array<bigint>")
-    j = j.select(*keys, period_start("period").alias("start"), F.coalesce("box", "spun").alias("known"),
-                 F.coalesce("seen", F.array().cast("array<struct<act:bigint,player:bigint>>")).alias("seen"),
-                 F.coalesce("arrived", no_ids).alias("arrived"),
-                 F.coalesce("subs", F.array().cast(dict(subs.dtypes)["subs"])).alias("subs"))
-    games = j.groupBy("game_id", "team").agg(F.array_sort(F.collect_list(F.struct(
-        "period", "start", "known", "seen", "arrived", "subs"))).alias("periods"))
-    zero = F.struct(F.lit(None).cast("array<bigint>").alias("closing"), F.lit(True).alias("ok"),
-                    F.array().cast(f"array<{_SEG}>").alias("segs"), F.array().cast(f"array<{_NOTE}>").alias("notes"))
-    folded = games.select("game_id", "team", F.aggregate("periods", zero, _fold_period).alias("f"))
-    return folded.select("game_id", "team", "f.ok", "f.segs", "f.notes")
-
-
-def _segment(period, number, ord_from, t_from, t_floor, players) -> Column:
-    return F.struct(period.alias("period"), number.alias("seg_no"), ord_from.alias("ord_from"), t_from.alias("t_from"),
-                    t_floor.alias("t_floor"), players.alias("players"))
-
-
-def _fold_period(acc: Column, p: Column) -> Column:
-    who = F.transform(p["seen"], lambda x: x["player"])
-    n = F.size(p["seen"])
-    clear = (n == LINEUP) | ((n > LINEUP) & (F.get(p["seen"], F.lit(LINEUP - 1))["act"] < F.get(p["seen"], F.lit(LINEUP))["act"]))
-    by_log = F.when(clear, F.slice(who, 1, LINEUP))
-    quiet = F.array_union(who, F.array_except(F.array_except(acc["closing"], who), p["arrived"]))
-    filled = F.when((n < LINEUP) & (F.size(quiet) == LINEUP), quiet)
-    starters = F.struct(F.coalesce(p["known"], by_log, filled).alias("five"), (p["known"].isNull() & by_log.isNull()).alias("completed"))
-
-    def with_starters(s):
-        first = F.struct(s["five"].alias("cur"), s["five"].isNotNull().alias("ok"), F.array(_segment(
-            p["period"], F.lit(0), F.lit(-1).cast("bigint"), p["start"], p["start"], s["five"])).alias("segs"))
-        said = F.array_compact(F.array(
-            F.when(p["known"].isNull(), F.struct(p["period"].alias("period"), F.lit("period_starters_inferred").alias("note"))),
-            F.when(s["completed"], F.struct(p["period"].alias("period"),
-                                            F.lit("period_starters_completed_from_previous_period").alias("note")))))
-        return _bind(F.aggregate(p["subs"], first, lambda a, x: _fold_sub(a, x, p)), lambda done: F.struct(
-            done["cur"].alias("closing"), (acc["ok"] & done["ok"]).alias("ok"),
-            F.concat(acc["segs"], done["segs"]).alias("segs"), F.concat(acc["notes"], said).alias("notes")))
-
-    return _bind(starters, with_starters)
-
-
-def _fold_sub(a: Column, x: Column, p: Column) -> Column:
-    """One substitution; anything that does not fit leaves the game to the walk."""
-    options = F.array_except(x["in_ids"], a["cur"])
-    coming = F.when(~x["named"], x["ins"]).when(F.size(options) == 1, F.array_union(x["ins"], options))
-    new = F.array_union(F.array_except(a["cur"], x["outs"]), coming)
-
-    def applied(five):
-        fits = F.coalesce(a["ok"] & (F.size(F.array_except(x["outs"], a["cur"])) == 0) & (F.size(five) == LINEUP), F.lit(False))
-        floor = F.greatest(p["start"], x["t_floor"])
-        return F.struct(five.alias("cur"), fits.alias("ok"), F.concat(a["segs"], F.array(_segment(
-            p["period"], F.size(a["segs"]), x["ord"] + 1, x["t"], floor, five))).alias("segs"))
-
-    return _bind(new, applied)
-
-
-class _Floor:
-    """Lineup state of one game; knows the log ahead through per-team signals."""
-
-    def __init__(self, log, info):
-        self.teams = [int(t) for t in info["teams"]]
-        self.team_of = {int(m["id"]): int(m["team"]) for m in info["members"]}
-        self.box_five = {t: [int(m["id"]) for m in info["members"] if m["team"] == t and m["starts"]]
-                         for t in self.teams}
-        self.rotation = {(int(r["period"]), int(r["team"])): {int(p) for p in r["players"]}
-                         for r in (info["rotation"] if info["rotation"] is not None else [])}
-        self.log, self.rows, self.notes = log, [], []
-
-    def known(self, person):
-        return person if person in self.team_of else None
-
-    def look_ahead(self, period_log):
-        """Per team: (position, coming in, acting or going out), in log order."""
-        self.signals = {t: [] for t in self.teams}
-        for k, e in enumerate(period_log):
-            if e["team"] not in self.signals:
-                continue
-            if e["kind"] == "sub":
-                coming = set(e["ins"]) | (set(e["in_ids"]) - set(e["outs"]))
-                acting = [p for p in e["outs"] if self.team_of.get(p) == e["team"]]
-            else:
-                coming = set()
-                acting = [e["person"]] if e["proves"] and self.team_of.get(e["person"]) == e["team"] else []
-            if coming or acting:
-                self.signals[e["team"]].append((k, coming, acting))
-
-    def infer(self, team, start, absent, fallback):
-        """(five, completed?) at log position ``start``; None when the log does not settle it."""
-        arrived, seen = set(absent), []
-        for k, coming, acting in self.signals[team]:
-            if k < start:
-                continue
-            arrived |= coming
-            seen += [p for p in acting if p not in arrived and p not in seen]
-            if len(seen) == LINEUP:
-                return set(seen), False
-        quiet = [p for p in (fallback or ()) if p not in seen and p not in arrived]
-        if fallback is not None and len(seen) + len(quiet) == LINEUP:
-            return set(seen) | set(quiet), True
-        return None, False
-
-    def note(self, period, note, detail=None):
-        self.notes.append((period, note, detail))
-
-    def swap(self, current, event, later):
-        """The lineup after a substitution, or the reason there is none."""
-        if current is None:
-            return None, "lineup already unknown"
-        coming = [p for p in event["ins"] if p in self.team_of]
-        if event["in_name"] is not None:
-            options = set(event["in_ids"]) - current
-            if not options:
-                return None, ("incoming player already in tracked lineup" if event["in_ids"]
-                              else "incoming name not found in box score")
-            if len(options) > 1:
-                # one name, several players: whoever shows up next is the one who came in
-                shown = (p for e in later for p in [self.known(e["person"]), *e["outs"]] if p in options)
-                chosen = next(shown, None)
-                if chosen is None:
-                    return None, "incoming name matches several players, none seen afterwards"
-                self.note(event["period"], "subs_resolved_by_lookahead")
-                options = {chosen}
-            coming += options
-        leaving = {p for p in event["outs"] if p in self.team_of}
-        if leaving - current:
-            return None, "outgoing player not in tracked lineup"
-        return (current - leaving) | set(coming), None
-
-
-def _walk(key, log_pdf, info_pdf):
-    game = key[0]
+def _team_game(key, rows: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
     columns = [c.split()[0] for c in SEGMENT_SCHEMA.split(", ")]
-    if not len(log_pdf) or not len(info_pdf):
+    if not len(info):
         return pd.DataFrame(columns=columns)
-    log = log_pdf.sort_values("ord").to_dict("records")
-    for e in log:
-        e["team"] = None if pd.isna(e["team"]) else int(e["team"])
-        e["person"] = None if pd.isna(e["person"]) else int(e["person"])
-        for c in ("outs", "ins", "in_ids"):
-            e[c] = [int(p) for p in e[c]] if e[c] is not None else []
-    floor = _Floor(log, info_pdf.iloc[0])
-    periods = {}
-    for e in log:
-        periods.setdefault(int(e["period"]), []).append(e)
-    closing = {t: None for t in floor.teams}
-    known = {t: None for t in floor.teams}
-    for period in sorted(periods):
-        closing, known = _walk_period(floor, game, period, periods[period], closing, known)
-    rows = floor.rows + [(game, p, None, None, None, None, None, None, None, note, detail)
-                         for p, note, detail in floor.notes]
-    out = pd.DataFrame(rows, columns=columns)
+    told = info.iloc[0]
+    floor = TeamFloor({int(p) for p in told["members"]})
+    by_period: dict[int, list] = {}
+    for r in sorted(rows.to_dict("records"), key=lambda r: r["at"]["ord"]):
+        after = r["after"]
+        by_period.setdefault(int(r["period"]), []).append(Row(
+            Moment(*map(int, (r["at"]["ord"], r["at"]["t"], r["at"]["t_floor"]))),
+            None if after is None else Moment(*map(int, (after["ord"], after["t"], after["t_floor"]))), bool(r["swap"]),
+            *([int(p) for p in (r[c] if r[c] is not None else ())] for c in ("outs", "ins")), bool(r["named"]),
+            [int(p) for p in (r["in_ids"] if r["in_ids"] is not None else ())], *(None if pd.isna(r[c]) else int(r[c]) for c in ("actor", "shown"))))
+    for p in told["periods"]:
+        start, first = int(p["start"]), p["first"]
+        here = by_period.get(int(p["period"]), [])
+        here = [Row(Moment(r.at.ord, r.at.t, max(start, r.at.floor)), r.after and Moment(r.after.ord, r.after.t, max(start, r.after.floor)), *list(vars(r).values())[2:])
+                for r in here]
+        opening = Moment(int(first["ord"]), int(first["t"]), max(start, int(first["t"])))
+        floor.play(int(p["period"]), start, opening, here, None if p["five"] is None else {int(x) for x in p["five"]})
+    made = [(key[0], period, int(key[1]), *rest, None, None) for period, *rest in floor.segments]
+    made += [(key[0], period, None, None, None, None, None, None, None, note, detail) for period, note, detail in floor.notes]
+    out = pd.DataFrame(made, columns=columns)
     for c in ("team", "ord_from", "seg_no", "t_from", "t_floor", "period"):
         out[c] = out[c].astype("Int64")
     return out
 
 
-def _walk_period(floor, game, period, log, closing, known):
-    floor.look_ahead(log)
-    now, number, gone = {}, {t: 0 for t in floor.teams}, {t: set() for t in floor.teams}
-    clock = {"floor": (period - 1) * 7200 if period <= 4 else 28800 + (period - 5) * 3000}
-
-    def put(team, five, position, t, exact=True):
-        now[team] = five
-        players = sorted(five) if five is not None else None
-        floor.rows.append((game, period, team, number[team], position, t, clock["floor"], players, exact, None, None))
-        number[team] += 1
-
-    for team in floor.teams:
-        five = set(floor.box_five[team]) if period == 1 and len(floor.box_five[team]) == LINEUP else None
-        if five is None:
-            five = floor.rotation.get((period, team))
-        if five is None:
-            five, completed = floor.infer(team, 0, (), closing[team])
-            floor.note(period, "period_starters_inferred")
-            if completed:
-                floor.note(period, "period_starters_completed_from_previous_period")
-        if five is None:
-            floor.note(period, "period_starters_unresolved")
-        put(team, five, -1, clock["floor"])
-
-    def repair(team, start, fallback):
-        left = (fallback - gone[team]) if fallback else None
-        five, _completed = floor.infer(team, start, gone[team], left or None)
-        if five is not None:
-            floor.note(period, "lineups_recovered_mid_period")
-        return five
-
-    for k, e in enumerate(log):
-        t = int(e["t"])
-        clock["floor"] = max(clock["floor"], t)
-        for team in floor.teams:
-            if now[team] is None:
-                five = repair(team, k, known[team])
-                if five is not None:
-                    put(team, five, int(e["ord"]), t, exact=False)
-            if now[team] is not None and len(now[team]) == LINEUP:
-                known[team], gone[team] = now[team], set()
-        team = e["team"]
-        if e["kind"] != "sub" or team is None:
-            continue
-        five, reason = floor.swap(now[team], e, log[k + 1:])
-        if five is not None and len(five) == LINEUP:
-            put(team, five, int(e["ord"]) + 1, t)
-            continue
-        if reason != "lineup already unknown":
-            floor.note(period, "subs_unresolved", f"{game} Q{period} {e['clock']} team {team}: "
-                       f"outs={e['outs']} ins={e['ins'] or e['in_name']} -> {reason}")
-        gone[team] |= set(e["outs"])
-        before = now[team] or known[team] or set()
-        five = repair(team, k + 1, before)
-        put(team, None, int(e["ord"]) + 1, t, exact=False)
-        if five is not None:
-            put(team, five, int(e["ord"]) + 1, t, exact=False)
-            known[team], gone[team] = five, set()
-    return {t: now[t] for t in floor.teams}, known
-
-
 def segments_only(walked: DataFrame) -> DataFrame:
     return walked.where(F.col("note").isNull()).drop("note", "detail")
 

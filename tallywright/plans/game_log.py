@@ -38,9 +38,8 @@ class GameTables:
 
 
 def derive_game_tables(box: DataFrame, id_log: DataFrame | None = None, text_log: DataFrame | None = None,
-                       rotation: DataFrame | None = None, settle: bool = True) -> GameTables:
-    """``id_log`` is preferred; games only ``text_log`` has use it as the backup. ``settle=False``
-    walks every game (for comparison)."""
+                       rotation: DataFrame | None = None) -> GameTables:
+    """``id_log`` is preferred; games only ``text_log`` has use it as the backup."""
     rosters = ev.game_rosters(box).persist()
     parts, spoken = [], []
     if text_log is not None:
@@ -59,7 +58,7 @@ def derive_game_tables(box: DataFrame, id_log: DataFrame | None = None, text_log
     evs = cut(ev.with_name_candidates(log, ev.name_index(box, said_all, rosters)))
     spells = ev.rotation_intervals(rotation) if rotation is not None else None
     cuts = plan_cuts(evs, ["game_id", "period"], "ord")
-    walked = cut(lu.lineup_segments(evs, rosters, spells, cuts, settle))
+    walked = cut(lu.lineup_segments(evs, rosters, spells, cuts))
     segments = lu.segments_only(walked)
     spans = cut(lu.ten_man_spans(segments, rosters))
     placed = lu.attach_spans(evs, spans, cuts)

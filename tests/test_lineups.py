@@ -1,315 +1,288 @@
-"""Hand-written logs with exact expected counts, both dialects."""
+"""Lineups and counts on the floor: single teams in plain Python, whole games against a simulation that knows the truth."""
+
+import random
+from collections import Counter, defaultdict
 
 import pytest
 
 from tallywright.operators import events as ev
 from tallywright.operators import lineups as lu
+from tallywright.operators import ordered, recovery
+from tallywright.operators.recovery import Moment, Row, TeamFloor
+from tallywright.plans import game_log
 from tallywright.plans.game_log import derive_game_tables
 from tallywright.sources.payloads import ACTION_FIELDS
 
-HOME, AWAY = 11, 22
+RED, TEAL = 7, 9
+SQUAD = {RED: list(range(710, 719)), TEAL: list(range(910, 919))}
+NAME = {p: f"{'Ro' if p < 900 else 'Te'}{'abcdefghi'[p % 10]}nak" for squad in SQUAD.values() for p in squad}
 BOX = "game_id string, person_id bigint, team_id bigint, family_name string, first_name string, name_i string, position string, minutes string"
 
 
-def box_rows(game, people):
-    return [(game, p, t, name, None, None, "F" if s else "", m) for p, t, name, s, m in people]
-
-
-def standard(game, minutes="24:00", n_home=6, n_away=6):
-    return box_rows(game, [(100 + k, HOME, f"H{k}", k <= 5, minutes) for k in range(1, n_home + 1)]
-                    + [(200 + k, AWAY, f"V{k}", k <= 5, minutes) for k in range(1, n_away + 1)])
-
-
-def say(game, number, clock, period, team, person, kind, sub="", text="", result=None, shot=0):
-    return dict(game_id=game, actionNumber=number, clock=clock, period=period, teamId=team, personId=person,
-                actionType=kind, subType=sub, description=text, shotResult=result, isFieldGoal=shot)
-
-
-def frame_period(game, period):
-    return (say(game, 0, "PT12M00.00S", period, 0, 0, "period", "start"),
-            say(game, 999, "PT00M00.00S", period, 0, 0, "period", "end"))
+# ------------------------------------------------------------------ one team, row by row
+def team(rows, five=None, members=range(1, 9), start=0):
+    """rows: (position, clock, what) with what a player who acts, or (out, in) ids, or (out, [ids meant by a name])."""
+    made = []
+    for k, (at, t, what) in enumerate(rows):
+        after = Moment(rows[k + 1][0], rows[k + 1][1], rows[k + 1][1]) if k + 1 < len(rows) else None
+        if isinstance(what, tuple):
+            out, coming = what
+            named = isinstance(coming, list)
+            made.append(Row(Moment(at, t, t), after, True, [out], [] if named else [coming], named, coming if named else [], None, out))
+        else:
+            made.append(Row(Moment(at, t, t), after, False, [], [], False, [], what, what))
+    floor = TeamFloor(set(members))
+    floor.play(2, start, made[0].at if made else Moment(0, start, start), made, five)
+    return floor
+
+
+def lineups(floor):
+    return [(s[2], s[5]) for s in floor.segments]
+
+
+def noted(floor):
+    return [n[1] for n in floor.notes]
+
+
+def test_starters_are_those_who_act_before_they_arrive():
+    floor = team([(3, 10, 4), (5, 20, (2, 6)), (6, 30, 6), (8, 40, 1), (9, 50, 5), (11, 60, 3)])
+    assert lineups(floor) == [(-1, [1, 2, 3, 4, 5]), (6, [1, 3, 4, 5, 6])] and noted(floor) == [recovery.INFERRED]
+
+
+def test_two_leaving_at_once_leave_the_fifth_place_open():
+    rows = [(1, 5, 1), (2, 6, 2), (3, 7, 3), (4, 8, 4)]
+    floor = team(rows, None)
+    both = Row(Moment(9, 90, 90), None, True, [5, 6], [7, 8], False, [], None, None)
+    evidence = recovery.Evidence([both], {5, 6, 7, 8})
+    assert lineups(floor)[0][1] is None and recovery.UNRESOLVED_START in noted(floor)
+    assert evidence.lineup(0, set(), {1, 2, 3}) == ({1, 2, 3, 5, 6}, True)
+    assert recovery.Evidence([both], set(range(1, 9))).lineup(0, {5}, {1, 2, 3}) == (None, False)
+
+
+def test_the_last_period_fills_only_what_is_missing():
+    floor = team([(1, 5, 1)], {1, 2, 3, 4, 5})
+    floor.play(3, 100, Moment(20, 100, 100), [Row(Moment(20, 100, 100), None, False, [], [], False, [], 6, 6)], None)
+    assert floor.segments[-1][5] is None  # six candidates for five places
+    floor = team([(1, 5, 1)], {1, 2, 3, 4, 5})
+    floor.play(3, 100, Moment(20, 100, 100), [Row(Moment(20, 100, 100), None, False, [], [], False, [], 3, 3)], None)
+    assert floor.segments[-1][5] == [1, 2, 3, 4, 5] and noted(floor) == [recovery.INFERRED, recovery.COMPLETED]
+
+
+def test_a_shared_name_goes_to_the_one_who_is_mentioned_first():
+    floor = team([(1, 5, (1, [6, 7])), (2, 6, 2), (3, 7, 7), (4, 8, 6)], {1, 2, 3, 4, 5})
+    assert lineups(floor)[1] == (2, [2, 3, 4, 5, 7]) and noted(floor) == [recovery.NEXT_SEEN]
+    silent = team([(1, 5, (1, [6, 7])), (2, 6, 2)], {1, 2, 3, 4, 5})
+    assert lineups(silent)[1] == (2, None) and noted(silent) == [recovery.UNRESOLVED_SUB]
+
+
+def test_a_lost_lineup_stays_lost_until_evidence_is_full():
+    rows = [(1, 5, (1, [])), (2, 6, 2), (3, 7, 3), (4, 8, (3, 8)), (6, 9, 8)]
+    floor = team(rows, {1, 2, 3, 4, 5})
+    assert lineups(floor) == [(-1, [1, 2, 3, 4, 5]), (2, None), (5, None)] and noted(floor) == [recovery.UNRESOLVED_SUB]
+    # the newcomer acts: with the four who stayed the lineup is whole again at once
+    floor = team([(1, 5, (1, [])), (2, 6, 2), (7, 9, 6)], {1, 2, 3, 4, 5})
+    assert lineups(floor) == [(-1, [1, 2, 3, 4, 5]), (2, None), (2, [2, 3, 4, 5, 6])]
+    assert noted(floor) == [recovery.UNRESOLVED_SUB, recovery.RECOVERED] and [s[6] for s in floor.segments] == [True, False, False]
+
+
+def test_a_lineup_found_later_starts_at_an_event():
+    rows = [(1, 5, (6, 7)), (2, 6, 1), (3, 7, (8, 1)), (4, 8, 2), (5, 9, 3), (6, 10, 4), (7, 11, 5), (8, 12, 1)]
+    floor = team(rows, None)
+    assert lineups(floor)[-1][1] is not None and recovery.RECOVERED in noted(floor)
+
+
+@pytest.mark.parametrize(("five", "swap", "word"), [
+    ({1, 2, 3, 4, 5}, (6, 7), "not on"), ({1, 2, 3, 4, 5}, (1, 2), "4 players"), ({1, 2, 3, 4, 5}, (1, [2]), "on already")])
+def test_reasons_of_lost_lineups(five, swap, word):
+    floor = team([(1, 5, swap)], five)
+    assert word in floor.notes[0][2] and floor.notes[0][1] == recovery.UNRESOLVED_SUB
+
+
+# ------------------------------------------------------------------ whole games
+def clock(period, t):
+    left = period * 7200 - t
+    return f"PT{left // 600:02d}M{left % 600 // 10:02d}.{left % 10}0S"
+
+
+def simulate(game, seed, dialect, periods=3, moments=40, loud_breaks=True):
+    """(actions, truth): a random game in one dialect and what every player saw of it."""
+    rng = random.Random(seed)
+    on = {t: set(SQUAD[t][:5]) for t in SQUAD}
+    seen, seconds, acted, points = defaultdict(Counter), Counter(), Counter(), Counter()
+    actions, number = [], 0
+
+    def say(period, t, team_id, person, kind, sub="", text="", **more):
+        nonlocal number
+        number += 1
+        actions.append(dict(game_id=game, actionNumber=number, clock=clock(period, t), period=period, teamId=team_id, personId=person, actionType=kind,
+                            subType=sub, descriptor="", description=text, isFieldGoal=int("Shot" in kind), **more))
+
+    def count(side, own, faced):
+        for t in SQUAD:
+            for p in on[t]:
+                for f in (own if t == side else faced):
+                    seen[p][f] += 1
+
+    text = dialect == "text"
+    for period in range(1, periods + 1):
+        start = (period - 1) * 7200
+        say(period, start, 0, 0, "period", "start")
+        if period > 1 and not loud_breaks:  # a swap at the break that the log does not tell
+            for t in SQUAD:
+                on[t].remove(rng.choice(sorted(on[t])))
+                on[t].add(rng.choice(sorted(set(SQUAD[t]) - on[t])))
+        at, last, missed = start, start, None
+        told = [(t, p) for t in SQUAD for p in sorted(on[t])]
+        rng.shuffle(told)
+        steps = [("view", t, p) for t, p in told] if period > 1 else []  # everyone acts before anything changes
+        for k in range(moments + len(steps)):
+            at += rng.randint(1, 7200 // (moments + 12))
+            for t in SQUAD:
+                for p in on[t]:
+                    seconds[p] += at - last
+            last = at
+            what, side, who = steps[k] if k < len(steps) else (rng.choice(["make", "miss", "grab", "view", "swap"]), rng.choice((RED, TEAL)), None)
+            who = who or rng.choice(sorted(on[side]))
+            if what == "swap":
+                new = rng.choice(sorted(set(SQUAD[side]) - on[side]))
+                if text:
+                    say(period, at, side, who, "Substitution", "", f"SUB: {NAME[new]} FOR {NAME[who]}")
+                else:
+                    say(period, at, side, who, "substitution", "out")
+                    say(period, at, side, new, "substitution", "in")
+                on[side] = on[side] - {who} | {new}
+            elif what in ("make", "miss"):
+                made = what == "make"
+                count(side, ["team_fga", "team_fgm" if made else "team_missed_fga"], ["opp_fga", "opp_fg2a"] + ["opp_missed_fga"] * (not made))
+                points[side] += 2 * made
+                missed = None if made else side
+                if text:
+                    say(period, at, side, who, "Made Shot" if made else "Missed Shot", "Hook", f"{'' if made else 'MISS '}{NAME[who]} Hook")
+                else:
+                    say(period, at, side, who, "2pt", "Hook", shotResult="Made" if made else "Missed", shotDistance=9.0)
+            elif what == "grab":
+                if missed is not None:
+                    count(side, ["team_oreb" if missed == side else "team_dreb"], ["opp_oreb" if missed == side else "opp_dreb"])
+                missed = None
+                say(period, at, side, who, "Rebound" if text else "rebound", "", NAME[who])
+            else:
+                count(side, ["team_tov"], ["opp_tov"])
+                acted[who] += 1
+                missed = None
+                say(period, at, side, who, "Turnover" if text else "turnover", "Bad Pass" if text else "bad pass", NAME[who])
+        for t in SQUAD:
+            for p in on[t]:
+                seconds[p] += period * 7200 - last
+        say(period, period * 7200, 0, 0, "period", "end")
+    return actions, {"seen": seen, "seconds": seconds, "acted": acted, "points": points}
 
 
 def log_frame(spark, games):
-    names = list(ACTION_FIELDS)
-    rows = [(a["game_id"], i, *[a.get(n) for n in names]) for actions in games for i, a in enumerate(actions)]
-    schema = "game_id string, ord int, " + ", ".join(f"`{n}` {ACTION_FIELDS[n]}" for n in names)
-    return spark.createDataFrame(rows, schema)
-
-
-def two_period_game(g):
-    s1, e1 = frame_period(g, 1)
-    s2, e2 = frame_period(g, 2)
-    return [
-        s1,
-        say(g, 2, "PT11M00.00S", 1, HOME, 101, "Missed Shot", "Jump Shot", "MISS H1 Jump Shot", "Missed", 1),
-        say(g, 3, "PT11M00.00S", 1, HOME, 102, "Rebound", "Unknown", "H2 REBOUND"),
-        say(g, 4, "PT10M50.00S", 1, HOME, 103, "Made Shot", "Layup", "H3 Layup", "Made", 1),
-        say(g, 5, "PT10M00.00S", 1, AWAY, 201, "Turnover", "Bad Pass", "V1 Bad Pass Turnover"),
-        say(g, 5, "PT10M00.00S", 1, HOME, 104, "", "", "H4 STEAL (1 STL)"),
-        say(g, 6, "PT07M00.00S", 1, AWAY, 202, "Foul", "Shooting", "V2 S.FOUL"),
-        say(g, 7, "PT07M00.00S", 1, HOME, 105, "Free Throw", "Free Throw 1 of 2", "H5 Free Throw 1 of 2"),
-        say(g, 8, "PT07M00.00S", 1, AWAY, 205, "Substitution", "", "SUB: V6 FOR V5"),
-        say(g, 9, "PT07M00.00S", 1, HOME, 105, "Free Throw", "Free Throw 2 of 2", "MISS H5 Free Throw 2 of 2"),
-        say(g, 10, "PT07M00.00S", 1, AWAY, 203, "Rebound", "Unknown", "V3 REBOUND"),
-        say(g, 11, "PT05M00.00S", 1, AWAY, 204, "Missed Shot", "Jump Shot", "MISS V4 Jump Shot", "Missed", 1),
-        say(g, 12, "PT05M00.00S", 1, 0, HOME, "Rebound", "Unknown", "Team Rebound"),
-        say(g, 13, "PT04M00.00S", 1, 0, AWAY, "Turnover", "Shot Clock Turnover", "Team Turnover"),
-        say(g, 14, "PT03M00.00S", 1, 0, HOME, "Timeout", "Regular", "Timeout"),
-        e1, s2,
-        # H6 replaced H5 at the break and nothing says so
-        say(g, 20, "PT11M00.00S", 2, HOME, 106, "Made Shot", "Dunk", "H6 Dunk", "Made", 1),
-        say(g, 21, "PT10M30.00S", 2, AWAY, 201, "Missed Shot", "Jump Shot", "MISS V1 Jump Shot", "Missed", 1),
-        say(g, 22, "PT10M30.00S", 2, HOME, 101, "Rebound", "Unknown", "H1 REBOUND"),
-        say(g, 23, "PT10M00.00S", 2, HOME, 102, "Turnover", "Lost Ball", "H2 Lost Ball Turnover"),
-        say(g, 24, "PT09M50.00S", 2, HOME, 103, "Foul", "Personal", "H3 P.FOUL"),
-        say(g, 25, "PT09M40.00S", 2, HOME, 104, "Missed Shot", "Jump Shot", "MISS H4 Jump Shot", "Missed", 1),
-        say(g, 26, "PT09M40.00S", 2, AWAY, 202, "Rebound", "Unknown", "V2 REBOUND"),
-        say(g, 27, "PT09M00.00S", 2, AWAY, 203, "Made Shot", "Layup", "V3 Layup", "Made", 1),
-        say(g, 28, "PT08M00.00S", 2, AWAY, 204, "Turnover", "Traveling", "V4 Traveling Turnover"),
-        say(g, 29, "PT07M00.00S", 2, AWAY, 206, "Foul", "Personal", "V6 P.FOUL"),
-        e2,
-    ]
-
-
-def quiet_game(g):
-    s1, e1 = frame_period(g, 1)
-    s2, e2 = frame_period(g, 2)
-    out = [s1, e1, s2]
-    for k in range(1, 5):
-        out.append(say(g, 10 + k, f"PT{11 - k:02d}M00.00S", 2, HOME, 100 + k, "Foul", "Personal", "foul"))
-        out.append(say(g, 20 + k, f"PT{11 - k:02d}M00.00S", 2, AWAY, 200 + k, "Foul", "Personal", "foul"))
-    out.append(say(g, 30, "PT02M00.00S", 2, HOME, 101, "Made Shot", "Layup", "H1 Layup", "Made", 1))
-    return [*out, e2]
-
-
-def one_sub_game(g, text, later):
-    s, e = frame_period(g, 1)
-    return [s, say(g, 2, "PT06M00.00S", 1, HOME, 101, "Substitution", "", text), *later, e]
-
-
-@pytest.fixture(scope="module")
-def text_tables(spark):
-    layup = "Made Shot", "Layup", "Layup", "Made", 1
-    games = [
-        two_period_game("g1"),
-        one_sub_game("g2", "SUB: Williams FOR H1", [say("g2", 3, "PT05M00.00S", 1, HOME, 108, *layup)]),
-        quiet_game("g3"),
-        [*frame_period("g4", 1), frame_period("g4", 2)[0], say("g4", 2, "PT06M00.00S", 2, HOME, 101, *layup),
-         frame_period("g4", 2)[1]],
-        one_sub_game("g5", "SUB: Nobody FOR H1", [say("g5", 3, "PT05M00.00S", 1, HOME, 102, *layup)]),
-        one_sub_game("g6", "SUB: Nobody FOR H1", [
-            say("g6", 3, "PT05M50.00S", 1, HOME, 102, *layup),
-            say("g6", 4, "PT05M00.00S", 1, HOME, 106, "Foul", "Personal", "H6 P.FOUL"),
-            say("g6", 5, "PT04M00.00S", 1, HOME, 103, *layup)]),
-        one_sub_game("g7", "SUB: X. Wílliams FOR H1", [say("g7", 3, "PT05M00.00S", 1, HOME, 107, *layup)]),
-        one_sub_game("g8", "SUB: Hansen FOR H1", [say("g8", 3, "PT05M00.00S", 1, HOME, 107, *layup)]),
-    ]
-    same = [(100 + k, HOME, f"H{k}", k <= 5, "10:00") for k in range(1, 6)] + [
-        (200 + k, AWAY, f"V{k}", True, "10:00") for k in range(1, 6)]
-    box = standard("g1") + standard("g3") + standard("g4") + standard("g5") + standard("g6")
-    box += box_rows("g2", same + [(107, HOME, "Williams", False, "5:00"), (108, HOME, "Williams", False, "5:00")])
-    box += [(*r[:5], "X. " + r[3], *r[6:]) for r in box_rows("g7", same + [(107, HOME, "Williams", False, "5:00")])]
-    box += [(*r[:4], "Hansen" if r[1] == 107 else None, *r[5:])
-            for r in box_rows("g8", same + [(107, HOME, "Yang", False, "5:00")])]
-    rotation = spark.createDataFrame(
-        [("g4", p, t, 7200.0, 14400.0) for t, ps in ((HOME, (101, 102, 103, 104, 106)), (AWAY, range(201, 206)))
-         for p in ps], "game_id string, PERSON_ID bigint, TEAM_ID bigint, IN_TIME_REAL double, OUT_TIME_REAL double")
-    log = log_frame(spark, games)
-    tables = derive_game_tables(spark.createDataFrame(box, BOX), text_log=log, rotation=rotation)
-    fields = {}
-    for r in _per_game_counts(tables).collect():
-        fields.setdefault((r["game_id"], r["player_id"]), {})[r["field"]] = r["v"]
-    return tables, fields
-
-
-def _per_game_counts(tables):
-    """On-floor counts per game (the library sums over games)."""
-    totals = lu.span_totals(lu.event_fields(tables.events))
-    cols = [*lu.TEAM_FIELDS, *lu.OPP_FIELDS]
-    return lu.on_floor_counts(totals, tables.spans, ("game_id",)).unpivot(
-        ["game_id", "player_id", "team_id"], cols, "field", "v").where("v <> 0")
-
-
-def notes(tables, game):
-    out = {}
-    for r in tables.notes.where(f"game_id = '{game}'").collect():
-        out[r["note"]] = out.get(r["note"], 0) + 1
-    return out
-
-
-def unresolved(tables, game):
-    return tables.event_totals.where(f"game_id = '{game}'").first()["events_unresolved"]
-
-
-def test_counts_follow_a_silent_period_change(text_tables):
-    _t, c = text_tables
-    assert c[("g1", 101)]["team_fga"] == 4 and c[("g1", 105)]["team_fga"] == 2
-    assert c[("g1", 106)]["team_fga"] == 2 and c[("g1", 101)]["team_oreb"] == 1
+    rows = [(a["game_id"], i, *[a.get(n) for n in ACTION_FIELDS]) for actions in games for i, a in enumerate(actions)]
+    return spark.createDataFrame(rows, "game_id string, ord int, " + ", ".join(f"`{n}` {kind}" for n, kind in ACTION_FIELDS.items()))
 
 
-def test_substitution_between_free_throws(text_tables):
-    _t, c = text_tables
-    assert all(c[("g1", p)]["opp_fta"] == 2 for p in (201, 202, 203, 204))
-    assert c[("g1", 205)]["opp_fta"] == 1 and c[("g1", 206)]["opp_fta"] == 1
-    assert c[("g1", 206)]["opp_missed_final_ft"] == 1 and "opp_missed_final_ft" not in c[("g1", 205)]
+def box_frame(spark, games):
+    return spark.createDataFrame([(g, p, t, NAME[p], None, None, "G" if p % 10 < 5 else "", "11:00") for g in games for t in SQUAD for p in SQUAD[t]], BOX)
 
 
-def test_team_events_without_a_team_id(text_tables):
-    _t, c = text_tables
-    assert c[("g1", 201)]["team_tov"] == 3 and c[("g1", 205)]["team_tov"] == 1
-    assert c[("g1", 206)]["team_tov"] == 2 and c[("g1", 201)]["team_dreb"] == 2
-
-
-def test_seconds_and_notes(text_tables):
-    t, _c = text_tables
-    s = {r["player_id"]: r["seconds"] for r in t.seconds.where("game_id = 'g1'").collect()}
-    assert s[101] == 1440 and s[105] == 720 and s[106] == 720 and s[205] == 300 and s[206] == 1140
-    n = notes(t, "g1")
-    assert n["period_starters_inferred"] == 2 and "period_starters_unresolved" not in n
-    assert unresolved(t, "g1") == 0
-
-
-def test_same_surname_goes_to_whoever_shows_up_next(text_tables):
-    t, c = text_tables
-    assert c[("g2", 108)]["team_fga"] == 1 and ("g2", 107) not in c
-    assert notes(t, "g2")["subs_resolved_by_lookahead"] == 1
-
-
-def test_quiet_starter_comes_from_the_previous_period(text_tables):
-    t, c = text_tables
-    assert c[("g3", 105)]["team_fga"] == 1 and unresolved(t, "g3") == 0
-    assert notes(t, "g3")["period_starters_completed_from_previous_period"] == 2
-
-
-def test_rotation_gives_period_starters(text_tables):
-    t, c = text_tables
-    assert c[("g4", 106)]["team_fga"] == 1 and ("g4", 105) not in c
-    assert "period_starters_inferred" not in notes(t, "g4")
-
-
-def test_unknown_lineup_is_skipped_not_guessed(text_tables):
-    t, c = text_tables
-    assert notes(t, "g5")["subs_unresolved"] == 1 and unresolved(t, "g5") == 1
-    assert ("g5", 102) not in c
-
-
-def test_lineup_recovers_when_the_substitute_shows_up(text_tables):
-    t, c = text_tables
-    n = notes(t, "g6")
-    assert n["subs_unresolved"] == 1 and n["lineups_recovered_mid_period"] >= 1
-    assert c[("g6", 106)]["team_fga"] == 2 and unresolved(t, "g6") == 0
-
-
-def test_other_name_forms(text_tables):
-    t, c = text_tables
-    for g in ("g7", "g8"):
-        assert "subs_unresolved" not in notes(t, g) and c[(g, 107)]["team_fga"] == 1
-
-
-def act(n, clock, team, person, kind, sub="", descriptor="", **more):
-    return dict(game_id="L1", actionNumber=n, clock=clock, period=1, teamId=team, personId=person, actionType=kind,
-                subType=sub, descriptor=descriptor, **more)
+def per_game(tables):
+    cols = [*lu.TEAM_FIELDS, *lu.OPP_FIELDS]
+    rows = lu.on_floor_counts(lu.span_totals(lu.event_fields(tables.events)), tables.spans, ("game_id",)).collect()
+    return {(r.game_id, r.player_id): {c: int(r[c]) for c in cols if r[c]} for r in rows}
 
 
 @pytest.fixture(scope="module")
-def id_tables(spark):
-    h, v = HOME, AWAY
-    log = [
-        act(1, "PT12M00.00S", None, 0, "period", "start"),
-        act(2, "PT11M00.00S", h, 103, "2pt", "Layup", "driving", shotResult="Made", shotDistance=2.1,
-            assistPersonId=101, possession=h),
-        act(3, "PT10M40.00S", v, 201, "3pt", "Jump Shot", "", shotResult="Missed", shotDistance=25.0,
-            blockPersonId=105, possession=v),
-        act(4, "PT10M40.00S", h, 105, "block", possession=v),
-        act(5, "PT10M38.00S", h, 102, "rebound", "defensive", possession=h),
-        act(6, "PT10M20.00S", h, 102, "foul", "offensive", "charge", foulDrawnPersonId=202, possession=h),
-        act(7, "PT10M20.00S", h, 102, "turnover", "offensive foul", possession=v),
-        act(8, "PT10M00.00S", h, 104, "foul", "personal", "shooting", foulDrawnPersonId=203, possession=v),
-        act(9, "PT10M00.00S", v, 203, "freethrow", "1 of 2", shotResult="Made", possession=v),
-        act(10, "PT10M00.00S", h, 101, "substitution", "out", possession=v),
-        act(11, "PT10M00.00S", h, 102, "substitution", "out", possession=v),
-        act(12, "PT10M00.00S", h, 106, "substitution", "in", possession=v),
-        act(13, "PT10M00.00S", h, 107, "substitution", "in", possession=v),
-        act(14, "PT10M00.00S", v, 203, "freethrow", "2 of 2", shotResult="Missed", possession=v),
-        act(15, "PT09M58.00S", h, 106, "rebound", "defensive", possession=h),
-        act(16, "PT09M30.00S", v, 204, "foul", "personal", "", foulDrawnPersonId=107, possession=h),
-        act(17, "PT09M00.00S", h, 106, "turnover", "out-of-bounds", "lost ball", possession=v),
-        act(18, "PT08M00.00S", v, 205, "2pt", "Layup", "", shotResult="Missed", shotDistance=3.0,
-            blockPersonId=103, possession=v),
-        act(19, "PT07M59.00S", v, 0, "rebound", "offensive", possession=v),
-        act(20, "PT07M00.00S", v, 201, "turnover", "bad pass", possession=h),
-        act(21, "PT00M00.00S", None, 0, "period", "end"),
-    ]
-    box = spark.createDataFrame(standard("L1", "12:00", 7, 5), BOX)
-    return derive_game_tables(box, id_log=log_frame(spark, [log]))
-
-
-def test_id_log_player_events(id_tables):
-    got = {(r["player_id"], r["field"]): r["value"] for r in id_tables.player_events.collect()}
-    want = {(105, "pbp_blocks"), (105, "pbp_blocks_P3"), (105, "pbp_blocks_recovered"), (103, "pbp_blocks"),
-            (103, "pbp_blocks_R"), (202, "offensive_fouls_drawn"), (104, "shooting_fouls"),
-            (204, "nonshooting_def_fouls"), (102, "tov_decision"), (106, "tov_handling"), (201, "tov_bad_pass")}
-    assert set(got) == want and set(got.values()) == {1.0}
-    fouls = id_tables.fouls.first()
-    assert fouls["shooting_fouls"] == 1 and fouls["shooting_foul_ft_points"] == 1
-    assert [tuple(r) for r in id_tables.assists.collect()] == [("L1", 2, 101, 103)]
-
-
-def test_id_log_double_substitution(id_tables):
-    seconds = {r["player_id"]: r["seconds"] for r in id_tables.seconds.collect()}
-    assert seconds[101] == 120 and seconds[106] == 600
-    assert [r["minutes"] for r in id_tables.stretch_minutes.where("player_id = 101").collect()] == [2.0]
-    floor = {r["player_id"]: r for r in id_tables.on_floor.collect()}
-    assert floor[106]["team_dreb"] == 1 and floor[101]["team_dreb"] == 1
-    assert id_tables.event_totals.first()["events_unresolved"] == 0
-
-
-def test_id_log_shots_and_stints(id_tables):
-    shots = {r["event_id"]: r for r in id_tables.shots.collect()}
-    assert shots[2]["minutes_on"] == pytest.approx(1.0)
-    stints = id_tables.stints.orderBy("span_from", "offense_team").collect()
-    assert len(stints) == 4
-    assert stints[0]["pts"] == 2 and stints[0]["shot_ids"] == [2]
-    assert stints[1]["fga"] == 1 and stints[1]["fta"] == 1
-
-
-def test_chunked_passes_agree_with_plain_ones(spark, monkeypatch):
-    """With every game treated as hot, the ordered passes must give the same tables."""
-    from tallywright.operators import ordered
-    from tallywright.plans import game_log
-    log = log_frame(spark, [two_period_game("g1")])
-    box = spark.createDataFrame(standard("g1"), BOX)
+def simulated(spark):
+    made = {f"{d}{i}{'' if loud else 'q'}": simulate(f"{d}{i}{'' if loud else 'q'}", 31 * i + len(d), d, loud_breaks=loud)
+            for d in ("text", "id") for i in (1, 2) for loud in (True, False)}
+    text = log_frame(spark, [a for g, (a, _) in made.items() if g.startswith("text")])
+    ids = log_frame(spark, [a for g, (a, _) in made.items() if g.startswith("id")])
+    return derive_game_tables(box_frame(spark, made), id_log=ids, text_log=text), {g: truth for g, (_, truth) in made.items()}
+
+
+def test_counts_equal_the_simulated_truth(simulated):
+    tables, truth = simulated
+    got = per_game(tables)
+    for g, t in truth.items():
+        for p in (p for squad in SQUAD.values() for p in squad):
+            assert got.get((g, p), {}) == dict(t["seen"][p]), (g, p)
+    assert all(r.events_unresolved == 0 for r in tables.event_totals.collect())
+
+
+def test_seconds_and_points_equal_the_simulated_truth(simulated):
+    tables, truth = simulated
+    got = {(r.game_id, r.player_id): r.seconds for r in tables.seconds.collect()}
+    scored = Counter()
+    for r in tables.stints.collect():
+        scored[r.game_id, r.offense_team] += r.pts
+    for g, t in truth.items():
+        assert {p: got[g, p] for p in t["seconds"] if (g, p) in got} == pytest.approx({p: s / 10 for p, s in t["seconds"].items() if s})
+        assert {side: scored[g, side] for side in SQUAD} == {side: t["points"][side] for side in SQUAD}
+
+
+def test_player_events_equal_the_simulated_truth(simulated):
+    tables, truth = simulated
+    want = Counter()
+    for t in truth.values():
+        want.update(t["acted"])
+    assert {r.player_id: r.value for r in tables.player_events.collect() if r.field == "tov_bad_pass"} == dict(want)
+
+
+def test_hot_games_give_the_same_tables(spark, simulated, monkeypatch):
+    """With every game treated as hot, the ordered passes must agree with the plain ones."""
+    actions, _ = simulate("hot", 77, "text", periods=2, moments=20)
+    log, box = log_frame(spark, [actions]), box_frame(spark, ["hot"])
     plain = derive_game_tables(box, text_log=log)
-    monkeypatch.setattr(game_log, "plan_cuts", lambda df, keys, order: ordered.plan_cuts(df, keys, order, 4))
+    monkeypatch.setattr(game_log, "plan_cuts", lambda df, keys, order: ordered.plan_cuts(df, keys, order, 9))
     cut_up = derive_game_tables(box, text_log=log)
-    for name in ("events", "on_floor", "player_events", "shots", "stints"):
+    for name in ("segments", "events", "on_floor", "stints"):
         a, b = getattr(plain, name), getattr(cut_up, name)
         assert a.exceptAll(b.select(a.columns)).count() == 0 and a.count() == b.count(), name
 
 
-def test_folded_and_walked_lineups_agree(spark, text_tables):
-    """Games the fold settles get the same segments from the walk; the rest are left to it."""
-    tables, _c = text_tables
-    walked = lu.segments_only(lu.lineup_segments(tables.named, tables.rosters, tables.rotation, settle=False))
-    cols = ["game_id", "period", "team", "seg_no", "ord_from", "t_from", "t_floor", "players", "exact"]
-    a, b = tables.segments.select(cols), walked.select(cols)
-    assert a.exceptAll(b).count() == 0 and a.count() == b.count()
-    periods = tables.named.select("game_id", "period").distinct()
-    fives = lu.rotation_starters(tables.rotation, periods)
-    folded = lu.settled_games(tables.named, tables.rosters, periods, fives)
-    assert {r[0] for r in folded.where("not ok").select("game_id").distinct().collect()} == {"g2", "g5", "g6"}
-
-
-def test_blockers_attach_to_the_nearest_miss(spark):
-    g = "b1"
-    s, e = frame_period(g, 1)
-    log = log_frame(spark, [[
-        s, say(g, 2, "PT11M00.00S", 1, HOME, 101, "Missed Shot", "Jump Shot", "MISS H1", "Missed", 1),
-        say(g, 2, "PT11M00.00S", 1, AWAY, 203, "", "", "V3 BLOCK (1 BLK)"),
-        say(g, 2, "PT11M00.00S", 1, AWAY, 204, "", "", "V4 BLOCK (1 BLK)"),
-        say(g, 3, "PT10M00.00S", 1, HOME, 102, "Made Shot", "Layup", "H2 (H3 1 AST)", "Made", 1),
-        say(g, 3, "PT10M00.00S", 1, AWAY, 205, "", "", "V5 BLOCK (1 BLK)"), e]])
-    rosters = ev.game_rosters(spark.createDataFrame(standard(g), BOX))
-    got = {r["event_id"]: r for r in ev.normalize_text_log(log, rosters).where("kind = 'fga'").collect()}
-    assert got[2]["blocker"] == 203 and got[3]["blocker"] is None and got[3]["assist_name"] == "H3"
+def test_rotation_comes_before_the_log(spark):
+    actions, _ = simulate("rot", 5, "id", periods=2, moments=12)
+    spells = [("rot", p, t, 7200.0, 14400.0) for t in SQUAD for p in SQUAD[t][4:9]]
+    rotation = spark.createDataFrame(spells, "game_id string, PERSON_ID bigint, TEAM_ID bigint, IN_TIME_REAL double, OUT_TIME_REAL double")
+    tables = derive_game_tables(box_frame(spark, ["rot"]), id_log=log_frame(spark, [actions]), rotation=rotation)
+    first = {(r.period, r.team): r.players for r in tables.segments.where("seg_no = 0").collect()}
+    assert first == {(1, t): SQUAD[t][:5] for t in SQUAD} | {(2, t): SQUAD[t][4:9] for t in SQUAD}
+
+
+def test_blocks_and_fouls_of_the_id_log(spark):
+    a, b = SQUAD[RED], SQUAD[TEAL]
+
+    def row(n, second, side, person, kind, sub="", descriptor="", **more):
+        return dict(game_id="f", actionNumber=n, clock=clock(1, second * 10), period=1, teamId=side, personId=person, actionType=kind, subType=sub, descriptor=descriptor, **more)
+
+    log = [row(1, 0, None, 0, "period", "start"),
+           row(2, 30, TEAL, b[0], "3pt", "", "", shotResult="Missed", shotDistance=24.0, blockPersonId=a[3], possession=TEAL),
+           row(3, 33, TEAL, b[4], "rebound", "", possession=TEAL),
+           row(4, 41, RED, a[1], "foul", "personal", "shooting", foulDrawnPersonId=b[4], possession=TEAL),
+           row(5, 41, TEAL, b[4], "freethrow", "1 of 2", shotResult="Missed"), row(6, 41, TEAL, b[4], "freethrow", "2 of 2", shotResult="Made"),
+           row(7, 77, RED, a[0], "2pt", "", "", shotResult="Made", shotDistance=3.0, assistPersonId=a[2], possession=RED),
+           row(8, 95, TEAL, b[2], "2pt", "", "", shotResult="Missed", shotDistance=2.0, blockPersonId=a[4], possession=TEAL),
+           row(9, 97, RED, a[4], "rebound", "", possession=RED),
+           row(10, 120, RED, a[0], "foul", "offensive", "", foulDrawnPersonId=b[1], possession=RED),
+           row(11, 150, TEAL, b[3], "foul", "personal", "", foulDrawnPersonId=a[2], possession=RED),
+           row(12, 720, None, 0, "period", "end")]
+    t = derive_game_tables(box_frame(spark, ["f"]), id_log=log_frame(spark, [log]))
+    got = {(r.player_id, r.field) for r in t.player_events.collect()}
+    assert got == {(a[3], "pbp_blocks"), (a[3], "pbp_blocks_P3"), (a[4], "pbp_blocks"), (a[4], "pbp_blocks_R"), (a[4], "pbp_blocks_recovered"),
+                   (a[1], "shooting_fouls"), (b[1], "offensive_fouls_drawn"), (b[3], "nonshooting_def_fouls")}
+    assert tuple(t.fouls.first()) == (1.0, 1.0) and [tuple(r) for r in t.assists.collect()] == [("f", 7, a[2], a[0])]
+    assert {r.event_id: round(r.minutes_on, 3) for r in t.shots.collect()} == {2: 0.5, 7: round(77 / 60, 3), 8: round(95 / 60, 3)}
+
+
+def test_blockers_of_the_text_log(spark):
+    a, b = SQUAD[RED], SQUAD[TEAL]
+
+    def row(n, side, person, kind, text):
+        return dict(game_id="k", actionNumber=n, clock=clock(1, 60 * n), period=1, teamId=side, personId=person, actionType=kind, subType="", description=text,
+                    isFieldGoal=int("Shot" in kind))
+
+    log = [row(1, TEAL, b[1], "Missed Shot", f"MISS {NAME[b[1]]} Tip"), row(2, RED, a[2], "", f"{NAME[a[2]]} BLOCK"), row(2, RED, a[1], "", f"{NAME[a[1]]} BLOCK"),
+           row(3, RED, a[0], "Made Shot", f"{NAME[a[0]]} Dunk ({NAME[a[4]]} 2 AST)"), row(4, TEAL, b[0], "", f"{NAME[b[0]]} BLOCK")]
+    got = {r.event_id: r for r in ev.normalize_text_log(log_frame(spark, [log]), ev.game_rosters(box_frame(spark, ["k"]))).where("kind = 'fga'").collect()}
+    assert got[1].blocker == a[2] and got[3].blocker is None and got[3].assist_name == NAME[a[4]]
