@@ -67,9 +67,10 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
             edge = found.select(F.col("source").alias("e"), F.col("prefix").alias("p"))
             rows = rows.join(edge, F.col("s").eqNullSafe(F.col("e")) & (F.shiftright("bucket", LEVEL_BITS) == F.col("p")), "left_semi")
         sums = rows.groupBy("s", "bucket").agg(F.sum("size").alias("words"))
-        run = W.partitionBy("s").orderBy("bucket")
+        sums = sums.withColumn("parent", F.shiftright("bucket", LEVEL_BITS))  # the boundary bucket that they refine
+        run = W.partitionBy("s", "parent").orderBy("bucket")
         sums = sums.withColumn("after", F.sum("words").over(run))
-        here = found.join(sums, F.col("source").eqNullSafe(F.col("s")))
+        here = found.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("prefix") == F.col("parent")))
         before = F.col("passed") + F.col("after") - F.col("words")
         upto = F.col("passed") + F.col("after")
         # the first bucket whose end is not wholly below the budget holds the boundary
