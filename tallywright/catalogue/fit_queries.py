@@ -189,7 +189,22 @@ def ridge(spark, sf):
     return p.select("p_partkey", r(F.coalesce("y", fit.predict(feats)), 3).alias("filled"), F.col("y").isNull().cast("int").alias("imputed"))
 
 
-@register("h8_entity_slopes")
+def _newton_sql(steps: int = 12) -> str:
+    """The same Newton steps unrolled: one grouped sum and one 2x2 system each."""
+    out = ["""s as (select l_suppkey as e, (l_linenumber + l_tax * 10)::double as x, (25 - floor(l_quantity / 2)) / 20.0 as o,
+      case when l_quantity + 5 * l_linenumber > p_size + 20 then 1.0 else 0.0 end as y from lineitem join part on p_partkey = l_partkey)""",
+           "n0 as (select e, 0.0::double as a, 0.0::double as b, 0.0::double as se from s group by e having count(*) >= 3 and sum(y) between 1 and count(*) - 1 and max(x) > min(x))"]
+    for k in range(steps):
+        out.append(f"""h{k} as (select s.e, any_value(n.a) as a, any_value(n.b) as b, sum(y - p) as g0, sum((y - p) * x) as g1, sum(p * (1 - p)) as h00, sum(p * (1 - p) * x) as h01,
+      sum(p * (1 - p) * x * x) as h11 from (select s.*, n.a, n.b, 1 / (1 + exp(-greatest(-30, least(30, o + n.a + n.b * x)))) as p from s join n{k} n on n.e = s.e) s join n{k} n on n.e = s.e group by s.e)""")
+        out.append(f"""n{k + 1} as (select e, a + (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) as a, b + (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) as b,
+      sqrt(h00 / (h00 * h11 - h01 * h01)) as se from h{k})""")
+    last = f"n{steps}"
+    return (f"with {', '.join(out)} select e as player_id, {rq('b', 5)} as slope, {rq('se', 5)} as se from (select s.e, {last}.b, {last}.se "
+            f"from (select distinct e from s) s left join {last} on {last}.e = s.e) t")
+
+
+@register("h8_entity_slopes", _newton_sql())
 def slopes(spark, sf):
     """Slope of making a shot on minutes per supplier, with an offset."""
     s = shots(spark, sf).withColumn("offset", (25 - F.col("distance")) / 20)
@@ -202,7 +217,7 @@ def mixture(spark, sf):
     """Users clustered on three activity features; the number of clusters by BIC."""
     e = table(spark, sf, "events").groupBy("user_id").agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.avg("value").alias("mean"), F.avg((F.col("event_type") == "view").cast("double")).alias("views"))
-    out, picked = md.best_mixture(e, ["n", "mean", "views"], ks=range(2, 6))
+    out, picked = md.best_mixture(e, ["n", "mean", "views"])
     return out.select("user_id", "cluster", F.lit(picked["k"]).alias("k"))
 
 

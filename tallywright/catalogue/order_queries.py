@@ -48,9 +48,9 @@ def normal_score(spark, sf):
 @register("f3_standard_score", f"""
     select l_returnflag, l_suppkey, {rq('case when s <= 1e-12 * greatest(1.0, abs(m)) then 0 else (v - m) / s end')} as z from (
       select *, avg(v) over w as m, stddev_pop(v) over w as s from (select l_returnflag, l_suppkey, sum(l_quantity) as v from lineitem
-        where l_quantity > 20 group by all) t window w as (partition by l_returnflag)) u""")
+        group by all) t window w as (partition by l_returnflag)) u""")
 def standard(spark, sf):
-    g = table(spark, sf, "lineitem").where("l_quantity > 20").groupBy("l_returnflag", "l_suppkey").agg(F.sum("l_quantity").alias("v"))
+    g = table(spark, sf, "lineitem").groupBy("l_returnflag", "l_suppkey").agg(F.sum("l_quantity").alias("v"))
     return ranks.standard_score(g, ["l_returnflag"], "v").select("l_returnflag", "l_suppkey", r("z").alias("z"))
 
 

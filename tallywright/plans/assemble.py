@@ -19,30 +19,36 @@ from tallywright.sources.payloads import pick_columns, prefer_source, require_co
 
 # Columns read per source.
 REQUIRED = {
-    "player_base_totals": "PLAYER_ID TEAM_ID GP MIN FGM FGA FG3M FG3A FTM FTA OREB DREB AST TOV STL BLK PF PTS",
-    "player_clutch_base": "PLAYER_ID PTS FGA FTA",
-    "player_hustle": "PLAYER_ID CONTESTED_SHOTS DEFLECTIONS CHARGES_DRAWN SCREEN_ASSISTS SCREEN_AST_PTS "
-                     "OFF_LOOSE_BALLS_RECOVERED DEF_LOOSE_BALLS_RECOVERED LOOSE_BALLS_RECOVERED OFF_BOXOUTS DEF_BOXOUTS",
-    "pt_Drives": "PLAYER_ID DRIVES DRIVE_FGA DRIVE_PASSES DRIVE_FTA",
-    "pt_Passing": "PLAYER_ID PASSES_MADE POTENTIAL_AST AST_ADJ FT_AST SECONDARY_AST AST_POINTS_CREATED",
-    "pt_Possessions": "PLAYER_ID TOUCHES AVG_DRIB_PER_TOUCH",
-    "pt_Rebounding": "PLAYER_ID OREB DREB OREB_CHANCES DREB_CHANCES OREB_CHANCE_DEFER DREB_CHANCE_DEFER",
-    "pt_SpeedDistance": "PLAYER_ID MIN AVG_SPEED_OFF AVG_SPEED_DEF DIST_MILES_OFF DIST_MILES_DEF",
-    "pt_shot": "PLAYER_ID general_range def_dist FGA FG3M FG3A",
-    "pt_shot_clock": "PLAYER_ID clock_range FGA",
-    "synergy": "PLAYER_ID side play_type POSS PTS",
-    "shot_chart": "GAME_ID GAME_EVENT_ID PLAYER_ID TEAM_ID PERIOD MINUTES_REMAINING SECONDS_REMAINING ACTION_TYPE "
-                  "SHOT_TYPE SHOT_ZONE_BASIC SHOT_ZONE_AREA SHOT_DISTANCE LOC_X LOC_Y SHOT_ATTEMPTED_FLAG "
-                  "SHOT_MADE_FLAG GAME_DATE",
-    "roster": "TeamID PLAYER_ID PLAYER NUM POSITION HEIGHT WEIGHT BIRTH_DATE AGE EXP",
-    "team_game_log": "TEAM_ID GAME_ID GAME_DATE MATCHUP PTS",
-    "team_advanced_totals": "TEAM_ID PACE",
-    "player_game_logs": "PLAYER_ID GAME_ID GAME_DATE MIN PTS FGM FGA FTM FTA OREB DREB STL AST BLK PF TOV",
-    "combine_anthro": "PLAYER_ID year WINGSPAN",
-    "combine_drills": "PLAYER_ID year " + " ".join(sp.COMBINE_TESTS),
-    "box": "game_id person_id team_id first_name family_name position comment minutes",
-    "inactive": "game_id person_id team_id",
+    "player_base_totals": ["PLAYER_ID", "TEAM_ID", "GP", "MIN", "FGM", "FGA", "FG3M", "FG3A", "FTM", "FTA", "OREB",
+        "DREB", "AST", "TOV", "STL", "BLK", "PF", "PTS"],
+    "player_clutch_base": ["PLAYER_ID", "PTS", "FGA", "FTA"],
+    "player_hustle": ["PLAYER_ID", "CONTESTED_SHOTS", "DEFLECTIONS", "CHARGES_DRAWN", "SCREEN_ASSISTS",
+        "SCREEN_AST_PTS", "OFF_LOOSE_BALLS_RECOVERED", "DEF_LOOSE_BALLS_RECOVERED", "LOOSE_BALLS_RECOVERED",
+        "OFF_BOXOUTS", "DEF_BOXOUTS"],
+    "pt_Drives": ["PLAYER_ID", "DRIVES", "DRIVE_FGA", "DRIVE_PASSES", "DRIVE_FTA"],
+    "pt_Passing": ["PLAYER_ID", "PASSES_MADE", "POTENTIAL_AST", "AST_ADJ", "FT_AST", "SECONDARY_AST",
+        "AST_POINTS_CREATED"],
+    "pt_Possessions": ["PLAYER_ID", "TOUCHES", "AVG_DRIB_PER_TOUCH"],
+    "pt_Rebounding": ["PLAYER_ID", "OREB", "DREB", "OREB_CHANCES", "DREB_CHANCES", "OREB_CHANCE_DEFER",
+        "DREB_CHANCE_DEFER"],
+    "pt_SpeedDistance": ["PLAYER_ID", "MIN", "AVG_SPEED_OFF", "AVG_SPEED_DEF", "DIST_MILES_OFF", "DIST_MILES_DEF"],
+    "pt_shot": ["PLAYER_ID", "general_range", "def_dist", "FGA", "FG3M", "FG3A"],
+    "pt_shot_clock": ["PLAYER_ID", "clock_range", "FGA"],
+    "synergy": ["PLAYER_ID", "side", "play_type", "POSS", "PTS"],
+    "shot_chart": ["GAME_ID", "GAME_EVENT_ID", "PLAYER_ID", "TEAM_ID", "PERIOD", "MINUTES_REMAINING",
+        "SECONDS_REMAINING", "ACTION_TYPE", "SHOT_TYPE", "SHOT_ZONE_BASIC", "SHOT_ZONE_AREA", "SHOT_DISTANCE",
+        "LOC_X", "LOC_Y", "SHOT_ATTEMPTED_FLAG", "SHOT_MADE_FLAG", "GAME_DATE"],
+    "roster": ["TeamID", "PLAYER_ID", "PLAYER", "NUM", "POSITION", "HEIGHT", "WEIGHT", "BIRTH_DATE", "AGE", "EXP"],
+    "team_game_log": ["TEAM_ID", "GAME_ID", "GAME_DATE", "MATCHUP", "PTS"],
+    "team_advanced_totals": ["TEAM_ID", "PACE"],
+    "player_game_logs": ["PLAYER_ID", "GAME_ID", "GAME_DATE", "MIN", "PTS", "FGM", "FGA", "FTM", "FTA", "OREB",
+        "DREB", "STL", "AST", "BLK", "PF", "TOV"],
+    "combine_anthro": ["PLAYER_ID", "year", "WINGSPAN"],
+    "combine_drills": ["PLAYER_ID", "year", *sp.COMBINE_TESTS],
+    "box": ["game_id", "person_id", "team_id", "first_name", "family_name", "position", "comment", "minutes"],
+    "inactive": ["game_id", "person_id", "team_id"],
 }
+REBOUND_CHANCES = ["OREB_CHANCES", "DREB_CHANCES", "OREB_CHANCE_DEFER", "DREB_CHANCE_DEFER"]
 # Play types, late-clock buckets and contest column names.
 PLAY_TYPES = ("Isolation", "PRBallHandler", "PRRollman", "Postup", "Spotup", "Handoff", "Cut", "OffScreen",
               "OffRebound", "Transition", "Misc")
@@ -66,8 +72,8 @@ def long_counts(df: DataFrame, columns: dict | list) -> DataFrame:
         ID, "s.stat", "s.value").where(F.col("stat").isNotNull() & F.col("value").isNotNull())
 
 
-def _same(names: str) -> dict:
-    return {c: c for c in names.split() if c not in ("PLAYER_ID", "TEAM_ID")}
+def _same(names: list[str]) -> dict:
+    return {c: c for c in names if c not in ("PLAYER_ID", "TEAM_ID")}
 
 
 def count_table(raw: dict, games: GameTables) -> DataFrame:
@@ -82,7 +88,7 @@ def count_table(raw: dict, games: GameTables) -> DataFrame:
         return F.when(offense, F.concat(F.lit("SYN_"), F.col("play_type"), F.lit("_" + kind))).when(
             guarded, F.lit("SYN_D_Postup_" + kind))
 
-    reb = {k: k for k in REQUIRED["pt_Rebounding"].split()[3:] if k in raw["pt_Rebounding"].columns}
+    reb = {k: k for k in REBOUND_CHANCES if k in raw["pt_Rebounding"].columns}
     parts = [
         long_counts(raw["player_base_totals"], _same(REQUIRED["player_base_totals"])),
         long_counts(raw["pt_shot_clock"].where(F.col("clock_range").isin(*LATE_CLOCK)), {"LATE_CLOCK_FGA": "FGA"}),
@@ -102,10 +108,10 @@ def count_table(raw: dict, games: GameTables) -> DataFrame:
         games.on_floor.unpivot([ID], [*lu.TEAM_FIELDS, *lu.OPP_FIELDS], "stat", "value"),
         games.player_events.select(ID, F.col("field").alias("stat"), "value"),
     ]
-    names = [*REQUIRED["player_base_totals"].split()[2:], "LATE_CLOCK_FGA", "CS_FGA", "PU_FGA",
-             *REQUIRED["pt_Drives"].split()[1:], *REQUIRED["pt_Passing"].split()[1:], "TOUCHES", "DRIBBLES",
-             "TRK_OREB", "TRK_DREB", *REQUIRED["pt_Rebounding"].split()[3:], "SPEED_MIN", "DIST_MILES_OFF",
-             "DIST_MILES_DEF", "SPEED_OFF_X_MIN", "SPEED_DEF_X_MIN", *REQUIRED["player_hustle"].split()[1:],
+    names = [*_same(REQUIRED["player_base_totals"]), "LATE_CLOCK_FGA", "CS_FGA", "PU_FGA",
+             *_same(REQUIRED["pt_Drives"]), *_same(REQUIRED["pt_Passing"]), "TOUCHES", "DRIBBLES",
+             "TRK_OREB", "TRK_DREB", *REBOUND_CHANCES, "SPEED_MIN", "DIST_MILES_OFF",
+             "DIST_MILES_DEF", "SPEED_OFF_X_MIN", "SPEED_DEF_X_MIN", *_same(REQUIRED["player_hustle"]),
              *[f"SYN_{p}_{k}" for p in PLAY_TYPES for k in ("POSS", "PTS")], "SYN_TOTAL_POSS",
              "SYN_D_Postup_POSS", "SYN_D_Postup_PTS", *[f"CLUTCH_{c}" for c in ("PTS", "FGA", "FTA")],
              *lu.TEAM_FIELDS, *lu.OPP_FIELDS, *lu.PLAYER_FIELDS]
@@ -245,7 +251,7 @@ def assemble(raw: dict) -> League:
     ``seasons`` (box and inactive rows of the durability seasons) and the logs."""
     for name, cols in REQUIRED.items():
         if name in raw:
-            lacking = cols.split()
+            lacking = list(cols)
             if name == "pt_Rebounding":
                 lacking = lacking[:3]       # the chance columns have a fallback
             require_columns(raw[name], name, lacking)
@@ -289,7 +295,7 @@ def assemble(raw: dict) -> League:
         combine=combine, game_logs=logs, durability=durability_table(boxes, idle),
         team_pace=raw["team_advanced_totals"].select(F.col("TEAM_ID").cast("bigint").alias("team_id"), sc.to_num("PACE").alias("pace")),
         fouls=games.fouls, rebound_chances=all(
-            c in raw["pt_Rebounding"].columns for c in REQUIRED["pt_Rebounding"].split()), extra=extra)
+            c in raw["pt_Rebounding"].columns for c in REQUIRED["pt_Rebounding"]), extra=extra)
 
 
 __all__ = ["assemble", "prefer_source", "REQUIRED"]

@@ -327,7 +327,7 @@ class Derivation:
             if r["error"]:
                 self.stat_errors[r["stat"]] = r["error"]
             elif r["param1"] == 0:
-                self.notes.append((r["stat"], "no detectable true spread; set to the prior mean for everyone"))
+                self.notes.append((r["stat"], "spread is all noise: every value equals the mean of the prior"))
 
     def stamina_slopes(self):
         lg = self.lg
@@ -500,11 +500,11 @@ class Derivation:
         if not self.lg.rebound_chances:
             for f, stat in sp.REBOUND_FALLBACK.items():
                 parts.append(sp.Part(f, stat + "*", stat))
-                self.notes.append((f, f"rebound-chance columns missing: {stat} alone"))
+                self.notes.append((f, f"rates on {stat} only, as the chances are not in the data"))
         kept = []
         for name, stat, how in sp.STAMINA:
             if stat in self.tau2 and self.tau2[stat] == 0:
-                self.notes.append(("stamina", f"{name}: no spread, component drops out"))
+                self.notes.append(("stamina", f"{name} is left out: it does not vary"))
             else:
                 kept.append((name, stat, how))
         parts += [sp.Part("stamina", n, s, 1.0 / len(kept), how) for n, s, how in kept]
@@ -533,7 +533,7 @@ class Derivation:
                 self.weights.append((f, name, float(weights[c])))
                 parts.append(sp.Part(f, name, stat, float(weights[c]), "Z", sign))
                 if weights[c] == 0:
-                    self.notes.append((f, f"component '{name}' got weight 0 and drops out"))
+                    self.notes.append((f, f"'{name}' is left out: its blend weight is zero"))
         return parts
 
     def run(self) -> Profiles:
@@ -689,7 +689,7 @@ class Derivation:
         feats = cut(self.wide.select(ID).join(body, ID, "left").join(column_of(self.base, cols), ID, "left"))
         names = ["height", "spot", *cols]
         if feats.where(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in names])).limit(1).count():
-            raise md.ModelError("a cluster feature is undefined for some players")
+            raise md.ModelError("clustering needs every feature of every player")
         clustered, picked = md.best_mixture(feats, names)
         self.log("Consistency GMM", **{"k (lowest BIC)": picked["k"], **{f"BIC[k={k}]": v for k, v in picked["bic"].items()}})
         score = sc.game_score_per_minute({c: F.col(c) for c in (

@@ -172,11 +172,11 @@ def raw_tables(spark, season=None):
     for a in s.actions:
         i = order[a["game_id"]] = order.get(a["game_id"], -1) + 1
         log.append((a["game_id"], i, *[a.get(n) for n in names]))
-    base = REQUIRED["player_base_totals"].split()[2:]
-    hustle = REQUIRED["player_hustle"].split()[1:]
-    passing = REQUIRED["pt_Passing"].split()[1:]
-    drives = REQUIRED["pt_Drives"].split()[1:]
-    reb = REQUIRED["pt_Rebounding"].split()[1:]
+    base = REQUIRED["player_base_totals"][2:]
+    hustle = REQUIRED["player_hustle"][1:]
+    passing = REQUIRED["pt_Passing"][1:]
+    drives = REQUIRED["pt_Drives"][1:]
+    reb = REQUIRED["pt_Rebounding"][1:]
     out = {
         "id_log": make(log, "game_id string, ord int, " + ", ".join(f"`{n}` {ACTION_FIELDS[n]}" for n in names)),
         "box": make(s.box, "game_id string, person_id bigint, team_id bigint, first_name string, family_name string, name_i string, "
@@ -202,7 +202,7 @@ def raw_tables(spark, season=None):
                                 float(rng.integers(2))) for p, v in ((p, {k: float(x) for k, x in v.items()}) for p, v in seen.items())],
                               "PLAYER_ID bigint, " + doubles(reb)),
         "pt_SpeedDistance": make([(p, float(v["MIN"]), 4 + rng.random(), 4 + rng.random(), v["MIN"] * (0.04 + rng.random() / 100), v["MIN"] * 0.04)
-                                  for p, v in seen.items()], "PLAYER_ID bigint, " + doubles(REQUIRED["pt_SpeedDistance"].split()[1:])),
+                                  for p, v in seen.items()], "PLAYER_ID bigint, " + doubles(REQUIRED["pt_SpeedDistance"][1:])),
         "pt_shot": make([(p, g, d, 4.0 + rng.integers(5), float(rng.integers(3)), 3.0 + rng.integers(3)) for p in seen
                          for g in ("Catch and Shoot", "Pullups") for d in ("", "0-2", "2-4", "4-6", "6+")],
                         "PLAYER_ID bigint, general_range string, def_dist string, FGA double, FG3M double, FG3A double"),
