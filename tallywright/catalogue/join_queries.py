@@ -86,8 +86,8 @@ def interval(spark, sf):
     e = marked(spark, sf).where(F.col("event_type").isin("view", "click", "purchase")).select(
         (F.col("user_id") % 2).alias("team"), "d", "at", "value")
     i = sessions(spark, sf).select((F.col("user_id") % 2).alias("team"), F.col("user_id").alias("player"), "d", "start_at", "end_at")
-    hit = sq.interval_join(e, i, ["d", "team"], "at", "start_at", "end_at", 3_600_000_000.0)
-    return hit.groupBy("team", "player").agg(F.count(F.lit(1)).alias("n"), r(F.sum("value"), 3).alias("value"))
+    sums = sq.sums_within(e, i, ["d", "team"], "at", "start_at", "end_at", {"n": F.lit(1).cast("bigint"), "value": F.col("value")}, ["player"])
+    return sums.groupBy("team", "player").agg(F.sum("n").alias("n"), r(F.sum("value"), 3).alias("value")).where("n > 0")
 
 
 @register("d6_point_in_own_interval", f"""

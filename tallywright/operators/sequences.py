@@ -60,6 +60,22 @@ def interval_join(points: DataFrame, intervals: DataFrame, keys: list[str], at:
     return p.join(i, [*keys, "__bin"]).where((F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))).drop("__bin")
 
 
+def sums_within(points: DataFrame, intervals: DataFrame, keys: list[str], at: str, start: str, end: str, values: dict,
+                carried: list[str], limit: int = ROWS_PER_TASK) -> DataFrame:
+    """Per interval (its keys and ``carried`` columns): sums of ``values`` over the points with start <= at < end.
+
+    Running sums of the points are read at both ends of each interval, so no point ever meets an interval.
+    """
+    nothing = {n: F.lit(0).cast(t) for n, t in points.select(*[c.alias(n) for n, c in values.items()]).dtypes}
+    here = points.select(*keys, F.col(at).alias("__at"), F.lit(1).alias("__rank"), *[F.coalesce(c, nothing[n]).alias(n) for n, c in values.items()])
+    ends = intervals.where(F.col(start) < F.col(end)).select(*keys, *carried, F.explode(F.array(
+        F.struct(F.col(start).alias("at"), F.lit(-1).alias("sign")), F.struct(F.col(end).alias("at"), F.lit(1).alias("sign")))).alias("x")).select(*keys, *carried, F.col("x.at").alias("__at"), F.col("x.sign").alias("__sign"), F.lit(0).alias("__rank"))
+    both = here.unionByName(ends, allowMissingColumns=True)
+    scanned = ordered_scan(both, keys, ["__at", "__rank"], {f"__{n}": ("sum_before", F.coalesce(F.col(n), nothing[n])) for n in values},
+                           plan_cuts(both, keys, "__at", limit))
+    return scanned.where("__rank = 0").groupBy(*keys, *carried).agg(*[F.sum(F.col("__sign") * F.col(f"__{n}")).alias(n) for n in values])
+
+
 def split_at_changes(df: DataFrame, keys: list[str], order: list[str], change: Column, out: str = "segment",
                      limit: int = ROWS_PER_TASK) -> DataFrame:
     """Number the segments between rows where ``change`` holds."""
@@ -97,21 +113,21 @@ def resolve_names(spoken: DataFrame, roster: DataFrame, keys: list[str], name: s
     """Name to entity within a key: unique names directly; names several entities share go to the
     one that acts next (``later``: keys, entity, order). Unresolved names keep NULL.
 
-    Asks and acts are united and scanned once from the end, so no pair of them is ever formed.
+    Acts get their names, then asks and acts of a name are united and scanned once from the end: rows stay as many as they are.
     """
     pool = roster.groupBy(*keys, name).agg(F.array_sort(F.collect_set(entity)).alias("__ids"))
     j = spoken.join(pool, [*keys, name], "left")
     single = F.when(F.size("__ids") == 1, F.col("__ids")[0])
     if later is None:
         return j.withColumn("resolved", single).drop("__ids")
-    acts = later.select(*keys, F.col(entity).alias("__id"), (-F.col(order)).alias("__back"), F.col(order).alias("__at"))
-    asks = j.where(F.size("__ids") > 1).select(*keys, F.explode("__ids").alias("__id"), (-F.col(order)).alias("__back"),
-                                               F.lit(None).cast("bigint").alias("__at"))
+    shared = pool.where(F.size("__ids") > 1).select(*keys, name)
+    named = roster.select(*keys, name, entity).distinct().join(shared, [*keys, name], "left_semi")
+    acts = later.join(named, [*keys, entity]).select(*keys, name, F.col(entity).alias("__id"), (-F.col(order)).alias("__back"))
+    asks = spoken.join(shared, [*keys, name], "left_semi").select(*keys, name, F.lit(None).cast(dict(acts.dtypes)["__id"]).alias("__id"), (-F.col(order)).alias("__back"))
     both = acts.withColumn("__ask", F.lit(1)).unionByName(asks.withColumn("__ask", F.lit(0)))
-    cuts = plan_cuts(both, [*keys, "__id"], "__back", limit)
-    # at equal positions the ask comes first, so an act on the same row does not count as later
-    seen = ordered_scan(both, [*keys, "__id"], ["__back", "__ask"], {"__next": ("last", "__at")}, cuts)
-    follow = seen.where((F.col("__ask") == 0) & F.col("__next").isNotNull()).groupBy(
-        *keys, (-F.col("__back")).alias(order)).agg(F.min_by("__id", F.struct("__next", "__id")).alias("__who"))
+    cuts = plan_cuts(both, [*keys, name], "__back", limit)
+    # one pass per name from the end; at equal positions the ask comes first, so an act on the same row does not count as later
+    seen = ordered_scan(both, [*keys, name], ["__back", "__ask", -F.col("__id")], {"__who": ("last", "__id")}, cuts)
+    follow = seen.where(F.col("__ask") == 0).select(*keys, (-F.col("__back")).alias(order), "__who").where(F.col("__who").isNotNull()).distinct()
     return j.join(follow, [*keys, order], "left").withColumn("resolved", F.coalesce(single, F.col("__who"))).drop(
         "__ids", "__who")
