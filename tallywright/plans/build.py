@@ -172,4 +172,6 @@ def integrity_problems(tables: dict) -> DataFrame:
         row(q.out_of_range(tables["player_traits"], [ID], "tier", -2, 2), "tier out of range", F.col(ID)),
         row(q.repeated_keys(p, [ID]), "player repeated", F.col(ID)),
         row(q.orphans(tables["player_attributes"], p, ID, ID), "attribute without player", F.col(ID)),
+        row(q.orphans(tables["player_tendencies"], p, ID, ID), "tendency without player", F.col(ID)),
+        row(q.orphans(tables["player_traits"], p, ID, ID), "trait without player", F.col(ID)),
     ])

@@ -21,7 +21,7 @@ def publish(tables: dict[str, DataFrame], root: str, failures: DataFrame,
     shown = failures.orderBy("kind", "name").limit(50).collect()
     if shown and not allow_incomplete:
         lines = [f"{r['status'].upper()} {r['kind']} {r['name']}: {r['message']}" for r in shown]
-        raise PublishRefused("nothing was written:\n  " + "\n  ".join(lines))
+        raise PublishRefused(f"nothing was written, {failures.count()} failures:\n  " + "\n  ".join(lines))
     run = f"{root.rstrip('/')}/runs/{uuid.uuid4().hex}"
     for name, df in tables.items():
         df.write.mode("errorifexists").parquet(f"{run}/{name}")
@@ -32,10 +32,13 @@ def publish(tables: dict[str, DataFrame], root: str, failures: DataFrame,
     return run
 
 
-def latest_run(spark: SparkSession, root: str) -> str:
-    return spark.read.parquet(f"{root.rstrip('/')}/pointer").agg(
-        F.max_by("run", "published_at")).first()[0]
+def latest_run(spark: SparkSession, root: str, allow_incomplete: bool = False) -> str:
+    """Folder of the latest run; an incomplete one is refused unless it is asked for."""
+    last = spark.read.parquet(f"{root.rstrip('/')}/pointer").agg(F.max_by(F.struct("run", "complete"), "published_at").alias("r")).first()["r"]
+    if not last["complete"] and not allow_incomplete:
+        raise PublishRefused(f"the latest run is incomplete: {last['run']}")
+    return last["run"]
 
 
-def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{latest_run(spark, root)}/{table}")
+def read_published(spark: SparkSession, root: str, table: str, allow_incomplete: bool = False) -> DataFrame:
+    return spark.read.parquet(f"{latest_run(spark, root, allow_incomplete)}/{table}")
