@@ -5,7 +5,7 @@ leaves) to the gradient over one feature's bins and adds a fraction of it to tha
 whose bins explain most of what is left get tables of their own in the same way. A score is the sum of one entry of each
 table, taken for all rows at once, through the logistic function.
 
-The fit uses at most `SAMPLE_ROWS` labelled rows, those with the smallest hash of their id; measures and scores cover every row.
+The fit uses at most about `SAMPLE_ROWS` labelled rows, those with a small hash of their id; measures and scores cover every row.
 
 Defined cases: null, empty and wordless texts have all measures 0 and are scored like any other; null labels teach nothing; a document
 labelled more than once has the highest label; without labelled rows of both kinds every score is the share of label 1, or 0.5; an
@@ -204,7 +204,12 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, pairs: int = PAIRS,
 def fit_sample(features: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on a bounded sample of labelled rows. labels: doc_id, quality."""
     marked = labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
-    rows = features.join(marked, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).toPandas()
+    rows = features.join(marked, "doc_id")
+    known = rows.count()
+    if known > sample_rows:
+        # a share of the ids by hash, a little below the bound so that chance does not exceed it
+        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * 0.95 * sample_rows / known))
+    rows = rows.toPandas().sort_values("doc_id", kind="stable")
     model = fit(rows[list(FEATURES)].to_numpy(float).reshape(-1, len(FEATURES)), rows["quality"].to_numpy(float))
     if not len(rows):
         model.intercept = 0.0
