@@ -27,9 +27,8 @@ def smallest_reachable(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         # large stars: the larger neighbours of u go to the smallest of its surroundings
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = cut(large)
         # small stars: what is below u, and u itself, go to the smallest below
-        low = cut(large.groupBy("u").agg(F.min("v").alias("m")))
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v")))
         state = cut(small.distinct())
     else:

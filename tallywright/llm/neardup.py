@@ -5,13 +5,13 @@
    bitmap, so bits on which two sketches differ count the samples on which they differ, and the number of differing bits
    estimates the similarity; the nearer to 1, the more precisely.
 2. Documents of one set are one class, whoever many; only the smallest id of each goes on.
-3. Classes that share a band key are candidates. In every bucket of a band the smallest id is a pivot and meets all others of another
-   component; then the smallest id outside the pivot's component is the next pivot. Buckets in which other pairs are
-   still open are read in blocks of bounded size, whose pairs are compared by their sketches inside the task.
+3. Classes that share a band key are candidates. First, in every bucket of a band the smallest id is a pivot and meets all others.
+   Then buckets that still hold more than one component are read in blocks of bounded size, whose members are compared by
+   their sketches inside the task: each block gives the most similar pairs that would tie its components together. Last, the
+   buckets that are open even then give every pair of two components that has not been looked at before.
    Only pairs that pass the sketch leave any of these steps.
-4. Passing pairs are confirmed on full shingle sets, grouped under one of the two with a bounded number of partners.
-5. Confirmed pairs give components. If a pair that was taken as linked is not confirmed, its buckets are open again and 3 to 5 repeat
-   for pairs not looked at before, until none is left.
+4. After each step its pairs are confirmed on full shingle sets, grouped under one of the two with a bounded number of partners, and
+   components are formed from what is confirmed. Nothing is left to look at after the last step.
 
 With 40 bands of 8 rows a pair at similarity 0.85 shares a band with probability 1 - 3e-6, and its sketch passes with more.
 
@@ -38,8 +38,8 @@ BANDS, ROWS = 40, 8
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 1024
 WORDS64 = SKETCH_BITS // 64
-#: a sketch passes when its estimate is at most this much below the wanted similarity (over five standard deviations)
-MARGIN = 0.12
+#: a sketch passes when its estimate is at most this much below the wanted similarity (four standard deviations)
+MARGIN = 0.085
 #: documents of a bucket compared in one block, and partners confirmed under one document in one task
 BLOCK = 256
 
@@ -106,77 +106,134 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
         run, "doc_id long, n long, k1 long, k2 long, bands array<long>, sketch array<long>")
 
 
-def _with_components(entries: DataFrame, components: DataFrame | None) -> DataFrame:
-    """Adds `component` to (bucket, id): the id itself where nothing is linked yet."""
-    if components is None:
-        return entries.withColumn("component", F.col("id"))
+def _with_components(entries: DataFrame, components: DataFrame) -> DataFrame:
+    """Adds `component` to (bucket, band, id): the id itself where nothing is linked yet."""
     of = components.select(F.col("node").alias("id"), F.col("component").alias("c"))
-    return entries.join(of, "id", "left").select("bucket", "id", F.coalesce("c", "id").alias("component"))
+    return entries.join(of, "id", "left").select("bucket", "band", "id", F.coalesce("c", "id").alias("component"))
 
 
-def _sifted(pairs: DataFrame, sketches: DataFrame, bits: int) -> DataFrame:
-    """Pairs (a, b) whose sketches differ in few enough bits."""
-    left = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("s"))
-    right = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("t"))
+def _sifted(pairs: DataFrame, sketches: DataFrame, bits: int, pct: int) -> DataFrame:
+    """Pairs (a, b) of sets near enough in size whose sketches differ in few enough bits."""
+    left = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("s"), F.col("n").alias("m"))
+    right = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("t"), "n")
     differ = F.aggregate(F.zip_with("s", "t", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
-    return pairs.join(left, "a").join(right, "b").where(differ <= bits).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where((100 * F.least("m", "n") >= pct * F.greatest("m", "n")) & (differ <= bits)).select("a", "b")
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _open(rows: DataFrame) -> DataFrame:
+    """bucket, size of the buckets of (bucket, id, component) that hold more than one component."""
+    sums = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
+    return sums.where("low <> high").select("bucket", "size")
+
+
+def _pivot_pairs(entries: DataFrame) -> DataFrame:
+    """The smallest id of each bucket of (bucket, id) with all others."""
+    pivots = cut(entries.groupBy("bucket").agg(F.min("id").alias("a")))
+    return entries.join(pivots, "bucket").where("id <> a").select("a", F.col("id").alias("b")).distinct()
 
 
-def _open(entries: DataFrame) -> DataFrame:
-    """bucket, size, pivot (its smallest id), home (the pivot's component) of buckets with more than one component."""
-    sums = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "component")).alias("first"),
-                                         F.min("component").alias("low"), F.max("component").alias("high"))
-    return sums.where("low <> high").select("bucket", "size", F.col("first.id").alias("pivot"), F.col("first.component").alias("home"))
+def _ties(pairs: np.ndarray, differ: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """The pairs, most similar first, that each tie together two components not tied before."""
+    top: dict[int, int] = {}
 
+    def find(x: int) -> int:
+        while (up := top.get(x, x)) != x:
+            top[x] = top.get(up, up)
+            x = up
+        return x
 
-def _pivot_pairs(entries: DataFrame, heads: DataFrame) -> DataFrame:
-    """Each bucket's pivot with every member of another component; a is the smaller id of a pair."""
-    rows = entries.join(heads, "bucket").where("component <> home")
-    return rows.select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b")).distinct()
+    kept = []
+    for i in np.argsort(differ, kind="stable").tolist():
+        a, b = find(int(sides[i, 0])), find(int(sides[i, 1]))
+        if a != b:
+            top[a] = b
+            kept.append(i)
+    return pairs[kept]
 
 
-def _block_pairs(entries: DataFrame, heads: DataFrame, sketches: DataFrame, bits: int) -> DataFrame:
-    """Pairs of other components in the same bucket that pass the sketch, over blocks of about BLOCK members."""
-    rows = entries.join(heads.select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("cuts")), "bucket")
+def _block_pairs(rows: DataFrame, heads: DataFrame, sketches: DataFrame, bits: int, pct: int, every: bool) -> DataFrame:
+    """Pairs of two components in the same bucket that pass the sketch, over blocks of about BLOCK members.
+
+    A pair comes from the first band that it shares and from no other: that bucket is open too, as it holds both.
+    every: all such pairs; else only those that tie the components of a block together.
+    """
+    rows = rows.join(heads.select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("cuts")), "bucket")
     rows = rows.join(sketches, "id")
     mine = F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int")
     rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    rows = rows.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "component", "sketch")
-
-    def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, comp = pdf["id"].to_numpy(), pdf["component"].to_numpy()
-        sk = np.stack(pdf["sketch"].to_list()).astype(np.int64).view(np.uint64)
-        side = pdf["mine"].to_numpy()
-        left = np.flatnonzero(side == key[1])
-        right = np.flatnonzero(side == key[2])
-        found: list[np.ndarray] = []
-        for x in left:
-            differ = np.bitwise_count(sk[right] ^ sk[x]).sum(axis=1)
-            ok = right[(differ <= bits) & (comp[right] != comp[x]) & ((ids[right] > ids[x]) | (key[1] != key[2]))]
-            found.append(np.stack([np.full(len(ok), ids[x]), ids[ok]], 1))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs.min(1, initial=1 << 62) if len(pairs) else [], "b": pairs.max(1, initial=-(1 << 62)) if len(pairs) else []}, dtype=np.int64)
-
-    return rows.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    rows = rows.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "band", "mine", "id", "component", "n", "sketch", "bands")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches):
+            bucket, i, j, side, ids, comp, n = (t.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "mine", "id", "component", "n"))
+            sketch = np.asarray(t.column("sketch").flatten()).view(np.uint64).reshape(len(ids), WORDS64)
+            bands = np.asarray(t.column("bands").flatten()).reshape(len(ids), -1)
+            band = t.column("band").to_numpy(zero_copy_only=False)
+            new = np.ones(len(ids), bool)
+            new[1:] = (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+            begin = np.flatnonzero(new)
+            made = []
+            for a, b in zip(begin.tolist(), np.append(begin[1:], len(ids)).tolist(), strict=True):
+                if b - a > 1:
+                    pairs = _passing(ids[a:b], comp[a:b], n[a:b], sketch[a:b], bands[a:b], band[a], side[a:b], i[a], j[a], bits, pct, every)
+                    if len(pairs):
+                        made.append(pairs)
+            found = np.sort(np.concatenate(made), axis=1) if made else np.zeros((0, 2), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], names=["a", "b"])
+
+    keys = ["bucket", "i", "j"]
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long").distinct()
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of sorted rows cut anew, so that no group of (bucket, i, j) is split; a group is a block and so of bounded size."""
+    held = None
+    for batch in batches:
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        if not batch.num_rows:
+            continue
+        last = [batch.column(c)[batch.num_rows - 1].as_py() for c in ("bucket", "i", "j")]
+        same = np.ones(batch.num_rows, bool)
+        for c, v in zip(("bucket", "i", "j"), last, strict=True):
+            same &= batch.column(c).to_numpy(zero_copy_only=False) == v
+        cut_at = int(np.flatnonzero(same)[0])
+        if cut_at:
+            yield batch.slice(0, cut_at)
+        held = batch.slice(cut_at)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _passing(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, sketch: np.ndarray, bands: np.ndarray, band: int, side: np.ndarray, i: int,
+             j: int, bits: int, pct: int, every: bool) -> np.ndarray:
+    """Pairs of one block that belong to two components, are near enough in size and pass the sketch."""
+    left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
+    found = []
+    for x in left:
+        differ = np.bitwise_count(sketch[right] ^ sketch[x]).sum(axis=1)
+        near = 100 * np.minimum(n[right], n[x]) >= pct * np.maximum(n[right], n[x])
+        ok = np.flatnonzero((differ <= bits) & near & (comp[right] != comp[x]) & ((ids[right] > ids[x]) | (i != j)))
+        ok = ok[(bands[right[ok], :band] != bands[x, :band]).all(axis=1)]
+        if len(ok):
+            at = right[ok]
+            found.append((np.stack([np.full(len(at), ids[x]), ids[at]], 1), differ[ok].astype(np.int64), np.stack([np.full(len(at), comp[x]), comp[at]], 1)))
+    if not found:
+        return np.zeros((0, 2), np.int64)
+    pairs, differ, sides = (np.concatenate(part) for part in zip(*found, strict=True))
+    return pairs if every else _ties(pairs, differ, sides)
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int, similarity_pct: int) -> DataFrame:
     """a, b of pairs whose full sets have 100 * intersection >= similarity_pct * union, with both texts read once each."""
-    pairs = cut(pairs)
     load = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("cuts"))
     load = cut(load)
     member = pairs.join(load, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("cuts")).cast("int").alias("part"), F.lit(False).alias("head"))
     heads = load.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("part"), F.lit(True).alias("head"))
     wanted = cut(member.unionByName(heads))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    rows = wanted.join(texts, "id")
+    # the same plan at every size: both sides are dealt by id
+    rows = wanted.hint("merge").join(texts, "id")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("head", ascending=False, kind="stable").drop_duplicates("id")
@@ -204,44 +261,27 @@ def classes_and_links(docs: DataFrame, width: int = 3, similarity_pct: int = 85)
     members = cut(made.select("doc_id", "n", "k1", "k2").join(classes, ["k1", "k2"], "left").select("doc_id", "n", "rep"))
     lone = made.where("n > 0").join(classes.select(F.col("rep").alias("doc_id"), F.col("k1").alias("c1"), F.col("k2").alias("c2")), "doc_id")
     lone = cut(lone.where((F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2"))).dropDuplicates(["doc_id"])
-               .select(F.col("doc_id").alias("id"), "bands", "sketch"))
-    sketches = lone.select("id", "sketch")
+               .select(F.col("doc_id").alias("id"), "n", "bands", "sketch"))
+    sketches = lone.select("id", "n", "sketch", "bands")
     # the position is part of the key, so that bands do not mix
-    exploded = lone.select("id", F.posexplode("bands").alias("band", "key")).select(F.xxhash64("band", "key").alias("bucket"), "id")
+    exploded = lone.select("id", F.posexplode("bands").alias("band", "key")).select(F.xxhash64("band", "key").alias("bucket"), "band", "id")
     shared = cut(exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"))
     entries = cut(exploded.join(shared, "bucket"))
     bits = most_bits(similarity_pct / 100)
-    looked: list[DataFrame] = []
-    links: list[DataFrame] = []
-    components = None
-    while True:
-        # what passes a sketch counts as linked until its confirmation
-        presumed, taken = components, []
-        here = entries
-        for step in range(3):
-            rows = cut(_with_components(here, presumed))
-            heads = cut(_open(rows))
-            if heads.isEmpty():
-                break
-            if step < 2:
-                pairs = _pivot_pairs(rows, heads)
-                # a used pivot has met everyone of its bucket; it need not be seen again in this pass
-                used = heads.select("bucket", F.col("pivot").alias("id"))
-                here = rows.select("bucket", "id").join(heads.select("bucket"), "bucket", "left_semi").join(used, ["bucket", "id"], "left_anti")
-            else:
-                pairs = _block_pairs(rows, heads, sketches, bits)
-            for seen in looked:
-                pairs = pairs.join(seen, ["a", "b"], "left_anti")
-            taken.append(cut(_sifted(pairs, sketches, bits) if step < 2 else pairs))
-            if step < 2:
-                presumed = cut(smallest_reachable(_union(links + taken)))
-        if not taken or (fresh := cut(_union(taken).distinct())).isEmpty():
+    looked = cut(_sifted(_pivot_pairs(entries), sketches, bits, similarity_pct))
+    links = cut(confirmed(looked, docs, width, similarity_pct))
+    components = cut(smallest_reachable(links))
+    for every in (False, True):
+        rows = cut(_with_components(entries, components))
+        heads = cut(_open(rows))
+        if heads.isEmpty():
             break
-        links.append(cut(confirmed(fresh, docs, width, similarity_pct)))
-        components = cut(smallest_reachable(_union(links)))
-        looked.append(fresh)
-    if components is None:
-        components = docs.sparkSession.createDataFrame([], "node long, component long")
+        fresh = cut(_block_pairs(rows, heads, sketches, bits, similarity_pct, every).join(looked, ["a", "b"], "left_anti"))
+        if fresh.isEmpty():
+            continue
+        looked = looked.unionByName(fresh)
+        links = links.unionByName(cut(confirmed(fresh, docs, width, similarity_pct)))
+        components = cut(smallest_reachable(links))
     return members, components
 
 

@@ -163,12 +163,13 @@ def test_block_pairs_find_every_near_pair(spark):
     rng = np.random.default_rng(2)
     sketch = rng.integers(-(1 << 62), 1 << 62, (700, neardup.WORDS64))
     sketch[1::2] = sketch[::2]
-    sketches = spark.createDataFrame([(i, s.tolist()) for i, s in enumerate(sketch)], "id long, sketch array<long>")
-    entries = spark.createDataFrame([(7, i, i) for i in range(700)], "bucket long, id long, component long")
+    sketches = spark.createDataFrame([(i, 100 - 30 * (i // 2 % 3 == 0) * (i % 2), s.tolist(), [5 if i // 2 % 5 == 0 else i, 7]) for i, s in enumerate(sketch)],
+                                     "id long, n long, sketch array<long>, bands array<long>")
+    entries = spark.createDataFrame([(7, 1, i, i) for i in range(700)], "bucket long, band int, id long, component long")
     heads = spark.createDataFrame([(7, 700)], "bucket long, size long")
     for every in (False, True):
-        got = {(r.a, r.b) for r in neardup._block_pairs(entries, heads, sketches, 100, every).collect()}
-        assert got == {(i, i + 1) for i in range(0, 700, 2)}
+        got = {(r.a, r.b) for r in neardup._block_pairs(entries, heads, sketches, 100, 85, every).collect()}
+        assert got == {(i, i + 1) for i in range(0, 700, 2) if i // 2 % 3 and i // 2 % 5}  # the others differ in size or share an earlier band
 
 
 def test_units_encode_like_the_library(documents):
