@@ -2,13 +2,14 @@
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallywright.llm import components, neighbours, packing, resharding
+from tallywright.llm import components, neighbours, packing, resharding, secrets
 
 
 def test_flow_moves_the_fewest_bytes():
@@ -124,7 +125,9 @@ def test_pipeline_stages(spark, sf, documents, tmp_path):
             assert docs.columns == documents.columns
     assert kept["language_id"].count() == documents.count()  # all of these texts have a language
     assert kept["near_dedup"].select("doc_id").distinct().count() == kept["near_dedup"].count() < documents.count()
-    assert kept["secret_scan"].count() == kept["near_dedup"].count() and kept["secret_scan"].where("text like '%[secret]%'").count() > 0
+    secret = {r.doc_id for r in kept["near_dedup"].collect() if any(len(m.group(x.group)) >= x.least for x in secrets.BASE + secrets.ADDED for m in re.finditer(x.pattern, r.text))}
+    assert kept["secret_scan"].count() == kept["near_dedup"].count()
+    assert {r.doc_id for r in kept["secret_scan"].where("text like '%[secret]%'").collect()} == secret
     placed = kept["best_fit_packing"].toPandas()
     assert placed.groupby("sequence_id")["length"].sum().max() <= packing.CAPACITY
     assert set(placed["doc_id"]) == {r.doc_id for r in kept["source_mix"].select("doc_id").collect()}
