@@ -1,7 +1,7 @@
 """MinHash near-duplicates: banded candidates, odd sketches to sift them, exact sets to confirm them.
 
-1. One pass over the texts makes, per document, its number of distinct word shingles, a 128-bit name of the shingle set, `BANDS` band
-   keys of `ROWS` MinHash values each, and an odd sketch: every MinHash sample (its position and value) flips one bit of a
+1. One pass over the texts makes, per document, its number of distinct word shingles, a 128-bit name of the shingle set, band keys
+   of some MinHash values each (`layout`), and an odd sketch: every MinHash sample (its position and value) flips one bit of a
    bitmap, so bits on which two sketches differ count the samples on which they differ, and the number of differing bits
    estimates the similarity; the nearer to 1, the more precisely.
 2. Documents of one set are one class, whoever many; only the smallest id of each goes on.
@@ -13,7 +13,8 @@
 4. After each step its pairs are confirmed on full shingle sets, grouped under one of the two with a bounded number of partners, and
    components are formed from what is confirmed. Nothing is left to look at after the last step.
 
-With 40 bands of 8 rows a pair at similarity 0.85 shares a band with probability 1 - 3e-6, and its sketch passes with more.
+A pair at the wanted similarity shares no band with probability `MISS` at most, and its sketch fails with `MISS` at most: bands and the
+limit of differing bits are computed from that rate. At 0.85 these are 40 bands of 8 rows, at 0.8 they are 55 of 7.
 
 Defined cases: null, empty and wordless texts have no set, link with nothing and are components of their own; a text with fewer words than
 a shingle has its whole sequence as its only shingle; rows that repeat an id count as one document when links are confirmed; an empty
@@ -22,7 +23,9 @@ table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -34,29 +37,38 @@ from tallywright.llm.common import cut, query, read
 from tallywright.llm.components import smallest_reachable
 from tallywright.llm.textscan import Scan, chunks, mix, shingles
 
-BANDS, ROWS = 40, 8
-SAMPLES = BANDS * ROWS
+#: highest probability of a pair at the wanted similarity to share no band, and of its sketch to fail
+MISS = 3e-6
+#: most MinHash values in a band key, and of a document
+MOST_ROWS, MOST_SAMPLES = 8, 400
 SKETCH_BITS = 1024
 WORDS64 = SKETCH_BITS // 64
-#: a sketch passes when its estimate is at most this much below the wanted similarity (four standard deviations)
-MARGIN = 0.085
 #: documents of a bucket compared in one block, and partners confirmed under one document in one task
 BLOCK = 256
 
-_seeds = mix(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
-MULTIPLIERS = (_seeds[:SAMPLES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-ADDENDS = (_seeds[SAMPLES:] >> np.uint64(32)).astype(np.uint32)
+_seeds = mix(np.arange(1, 2 * MOST_SAMPLES + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
+MULTIPLIERS = (_seeds[:MOST_SAMPLES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+ADDENDS = (_seeds[MOST_SAMPLES:] >> np.uint64(32)).astype(np.uint32)
 
 
-def minhashes(doc: np.ndarray, value: np.ndarray, n_docs: int) -> np.ndarray:
-    """(n_docs, SAMPLES) minima of linear hashes over each document's shingles; all ones where there are none."""
-    out = np.full((n_docs, SAMPLES), 0xFFFFFFFF, np.uint32)
+def layout(similarity: float) -> tuple[int, int]:
+    """(bands, rows of each): the most rows with which few enough samples miss a pair at the similarity with probability MISS at most."""
+    for rows in range(MOST_ROWS, 0, -1):
+        bands = max(1, math.ceil(math.log(MISS) / math.log1p(-min(similarity, 0.999) ** rows)))
+        if bands * rows <= MOST_SAMPLES:
+            return bands, rows
+    raise ValueError(f"no bands of {MOST_SAMPLES} samples find pairs at similarity {similarity}")
+
+
+def minhashes(doc: np.ndarray, value: np.ndarray, n_docs: int, n_samples: int) -> np.ndarray:
+    """(n_docs, n_samples) minima of linear hashes over each document's shingles; all ones where there are none."""
+    out = np.full((n_docs, n_samples), 0xFFFFFFFF, np.uint32)
     if len(doc):
         begin = np.flatnonzero(np.diff(doc, prepend=-1))
         x = (value >> np.uint64(32)).astype(np.uint32)
         hashed = np.empty_like(x)
         rows = doc[begin]
-        for k in range(SAMPLES):
+        for k in range(n_samples):
             np.multiply(x, MULTIPLIERS[k], out=hashed)
             hashed += ADDENDS[k]
             out[rows, k] = np.minimum.reduceat(hashed, begin)
@@ -65,19 +77,32 @@ def minhashes(doc: np.ndarray, value: np.ndarray, n_docs: int) -> np.ndarray:
 
 def odd_sketches(samples: np.ndarray) -> np.ndarray:
     """(n, WORDS64) parity bitmaps of the samples (k, value)."""
-    place = mix(samples.astype(np.uint64) * np.uint64(1 << 9) + np.arange(SAMPLES, dtype=np.uint64)) % np.uint64(SKETCH_BITS)
+    place = mix(samples.astype(np.uint64) * np.uint64(1 << 9) + np.arange(samples.shape[1], dtype=np.uint64)) % np.uint64(SKETCH_BITS)
     flat = (place + np.arange(len(samples), dtype=np.uint64)[:, None] * np.uint64(SKETCH_BITS)).astype(np.int64)
     odd = np.bincount(flat.ravel(), minlength=len(samples) * SKETCH_BITS) & 1
     return np.packbits(odd.astype(np.uint8).reshape(len(samples), SKETCH_BITS), axis=1, bitorder="little").view(np.uint64)
 
 
-def most_bits(similarity: float) -> int:
-    """Differing bits expected at the lowest estimate that passes."""
-    differing = 2 * SAMPLES * (1 - (similarity - MARGIN))
-    return int(SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** differing))
-
-
-def signatures(docs: DataFrame, width: int) -> DataFrame:
+@cache
+def most_bits(similarity: float, n_samples: int) -> int:
+    """The fewest differing bits that sketches of a pair at the similarity exceed with probability MISS at most."""
+    differ, same = 1 - similarity, similarity
+    chance = [math.exp(math.lgamma(n_samples + 1) - math.lgamma(k + 1) - math.lgamma(n_samples - k + 1)) * differ**k * same ** (n_samples - k)
+              for k in range(n_samples + 1)]
+    bits = np.arange(SKETCH_BITS + 1)
+    odd, total = (bits == 0).astype(float), np.zeros(SKETCH_BITS + 1)
+    for k in range(n_samples + 1):
+        total += chance[k] * odd
+        for _ in range(2):  # a sample that differs flips a bit of either sketch
+            flipped = np.zeros(SKETCH_BITS + 1)
+            flipped[1:] += (odd * (1 - bits / SKETCH_BITS))[:-1]
+            flipped[:-1] += (odd * bits / SKETCH_BITS)[1:]
+            odd = flipped
+    above = np.append(np.cumsum(total[::-1])[::-1][1:], 0.0)
+    return int(np.flatnonzero(above <= MISS)[0])
+
+
+def signatures(docs: DataFrame, width: int, n_bands: int, n_rows: int) -> DataFrame:
     """doc_id, n (shingles), k1, k2 (the set's name, null without shingles), bands, sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,14 +117,14 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                     np.cumsum(mix(value + np.uint64(salt)), out=total[1:])
                     ends = np.cumsum(n)
                     names.append((total[ends] - total[ends - n]).view(np.int64))
-                samples = minhashes(doc, value, len(raws))
-                keys = np.zeros((len(raws), BANDS), np.uint64)
-                for r in range(ROWS):
-                    keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + samples[:, r::ROWS] + np.uint64(r))
+                samples = minhashes(doc, value, len(raws), n_bands * n_rows)
+                keys = np.zeros((len(raws), n_bands), np.uint64)
+                for r in range(n_rows):
+                    keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + samples[:, r::n_rows] + np.uint64(r))
                 none = n == 0
                 flat = lambda x, wide: pa.ListArray.from_arrays(np.arange(0, len(raws) * wide + 1, wide, dtype=np.int32), pa.array(x.reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, len(raws)), pa.array(n), pa.array(names[0], mask=none), pa.array(names[1], mask=none), flat(keys, BANDS),
+                    [ids.slice(first, len(raws)), pa.array(n), pa.array(names[0], mask=none), pa.array(names[1], mask=none), flat(keys, n_bands),
                      flat(np.ascontiguousarray(odd_sketches(samples)), WORDS64)], names=["doc_id", "n", "k1", "k2", "bands", "sketch"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
@@ -255,7 +280,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, similarity_pct: int
 
 def classes_and_links(docs: DataFrame, width: int = 3, similarity_pct: int = 85) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, representative of its class or null) of every row, and component labels (node, component) of linked classes."""
-    made = cut(signatures(docs, width))
+    bands, per_band = layout(similarity_pct / 100)
+    made = cut(signatures(docs, width, bands, per_band))
     named = made.where("n > 0")
     classes = cut(named.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")))
     members = cut(made.select("doc_id", "n", "k1", "k2").join(classes, ["k1", "k2"], "left").select("doc_id", "n", "rep"))
@@ -267,7 +293,7 @@ def classes_and_links(docs: DataFrame, width: int = 3, similarity_pct: int = 85)
     exploded = lone.select("id", F.posexplode("bands").alias("band", "key")).select(F.xxhash64("band", "key").alias("bucket"), "band", "id")
     shared = cut(exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"))
     entries = cut(exploded.join(shared, "bucket"))
-    bits = most_bits(similarity_pct / 100)
+    bits = most_bits(similarity_pct / 100, bands * per_band)
     looked = cut(_sifted(_pivot_pairs(entries), sketches, bits, similarity_pct))
     links = cut(confirmed(looked, docs, width, similarity_pct))
     components = cut(smallest_reachable(links))

@@ -159,6 +159,20 @@ def test_near_duplicates_match_brute_force(spark, documents, odd, nothing):
     assert neardup.near_duplicates(nothing).count() == 0
 
 
+@pytest.mark.parametrize("similarity", [0.8, 0.85])
+def test_sketches_of_near_pairs_pass(similarity):
+    bands, rows = neardup.layout(similarity)
+    assert (1 - similarity**rows) ** bands <= 3e-6
+    rng = np.random.default_rng(17)
+    most, lost = neardup.most_bits(similarity, bands * rows), 0
+    for _ in range(40):  # 200,000 pairs at the similarity
+        flips = 2 * rng.binomial(bands * rows, 1 - similarity, 5000)
+        pair = np.repeat(np.arange(5000), flips)
+        odd = np.bincount(pair * neardup.SKETCH_BITS + rng.integers(0, neardup.SKETCH_BITS, len(pair)), minlength=5000 * neardup.SKETCH_BITS) & 1
+        lost += int((odd.reshape(5000, -1).sum(axis=1) > most).sum())
+    assert lost <= 5
+
+
 def test_block_pairs_find_every_near_pair(spark):
     rng = np.random.default_rng(2)
     sketch = rng.integers(-(1 << 62), 1 << 62, (700, neardup.WORDS64))
