@@ -17,6 +17,8 @@ from tallywright.llm.common import cut, fresh_folder, read
 
 #: a document is rejected if its main language holds less than this share of its letters
 LEAST_SCORE = 0.4
+#: near-duplicates of the pipeline share this much of their shingles of so many words; op9 has a contract of its own
+WIDTH, SIMILARITY_PCT = 5, 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +27,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = neardup.near_duplicates(docs)
+    rows = neardup.near_duplicates(docs, WIDTH, SIMILARITY_PCT)
     gone = cut(rows.where("NOT kept").select("doc_id").distinct())
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -134,6 +135,31 @@ def test_pipeline_stages(spark, sf, documents, tmp_path):
     assert (placed["piece"] == 0).sum() == kept["source_mix"].count()
 
 
+def test_pipeline_links_five_words_at_four_fifths(spark, sf):
+    docs = spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets, where = {}, defaultdict(list)
+    for r in docs.collect():
+        w = re.findall(r"[^\x20\x09-\x0D]+", (r.text or "").translate(low))
+        sets[r.doc_id] = frozenset(zip(*(w[k:] for k in range(5)), strict=False)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+        for gram in sets[r.doc_id]:
+            where[gram].append(r.doc_id)
+    top = {i: i for i in sets}
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    both = Counter(pair for ids in where.values() for pair in itertools.combinations(sorted(ids), 2))
+    for (a, b), n in both.items():
+        if 100 * n >= 80 * (len(sets[a]) + len(sets[b]) - n):
+            a, b = find(a), find(b)
+            top[max(a, b)] = min(a, b)
+    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, sf).collect()}
+    assert got == {i for i in sets if find(i) == i}
+
+
 def test_pipeline_rejects_texts_without_language(spark, documents):
     extra = spark.createDataFrame([(90_001, "12 34", None, "s", 5), (90_002, None, None, "s", None)], documents.schema)
     got = corpus_pipeline.language_id(spark, documents.unionByName(extra), "")
