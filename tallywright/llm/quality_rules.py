@@ -1,12 +1,17 @@
-"""Quality rules: base counts and perplexity bands of a character n-gram model.
+"""Quality rules: base counts and perplexity bands of a word n-gram model.
 
-The model is an interpolated modified Kneser-Ney model of order 4 over 64 character classes. Spark counts the 4-grams of all texts (each
-task adds up its own first), derives continuation counts, discounts and context sums of every order by grouping, and joins orders by
-suffix. A 4-gram of 6-bit classes is its own perfect 24-bit hash, so a model never has more than 2^24 entries, whatever the corpus;
-it is kept as sorted arrays of hashes with log-probabilities, and of contexts with back-off weights, and broadcast in that form.
+Two models are counted from all texts. One of words, of order 3, keeps every trigram in partitioned tables that grow with the corpus; the
+trigrams of the texts are joined with it by hash (`word_model`, `word_scores`). A text is judged by the other texts: what it added to a
+count is taken off, or else its own words, in whatever order, would be what the model knows best.
 
-A document's verdict compares its log-perplexity per character with the band of its language: the median of the language's documents,
-plus and minus a multiple of their spread on each side. Both ends reject: unusual text is above, repeated text below.
+The other spells the words: an interpolated modified Kneser-Ney model of order 4 over 64 character classes. Spark counts the 4-grams
+(each task adds up its own first), derives continuation counts, discounts and context sums of every order by grouping, and joins orders
+by suffix. A 4-gram of 6-bit classes is its own 24-bit hash, so this part has 2^24 entries at most and is broadcast as sorted arrays. It
+knows bytes of other scripts as five classes only; their words are told apart by the word model.
+
+A document is kept if it is inside three bands of its language: of the log-perplexity per character of both models (the median of the
+language's documents, plus and minus a multiple of their spread on each side), and of what the words before each word tell about it,
+which has a lower end only: shuffled words tell nothing. The published perplexity and band are those of the word model.
 
 Defined cases: null, empty and wordless texts have zero counts and no perplexity and fail the base rule; documents without a language form
 one language of their own; a language without a document that passes the base rule rejects nothing; an empty table gives no rows.
@@ -19,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.llm.common import cut, query, read
@@ -30,6 +35,8 @@ ORDER, BITS = 4, 6
 BELOW, ABOVE = 8.0, 8.0
 #: short texts scatter more: a band is wider on both sides by this over the root of the text's word characters
 SHORT = 0.9
+#: spreads by which what word order tells may be below the median of the language
+ORDERLESS = 3.0
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
 
 _SYMBOLS = b"#*$%&|<>"
@@ -191,12 +198,104 @@ def base_counts(scan: Scan, raws: list[bytes]) -> dict[str, np.ndarray]:
             "n_dup_lines": np.array(repeated, np.int64), "n_repeat_words": np.bincount(scan.doc[covered], minlength=len(raws)).astype(np.int64)}
 
 
-MEASURES = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_ppl double"
-_tables: dict[int, np.ndarray] = {}
+START = np.uint64(1)
+EVENTS = "name long, a long, b long, c long, n int, size int, own_ab int, own_bc int, own_b int, own_c int, own int, spelled float"
+
+
+def word_events(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """The distinct word trigrams (a, b, c) of every text: the text's name, the times n, characters of c and the white space after it,
+    how many distinct trigrams of the text begin with (a, b), end with (b, c), have b in the middle, end with c, and are there at all,
+    and the log-probability of spelling c (0 without a model). Words are 64-bit hashes; before a text there are two marks."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = None
+        for batch in batches:
+            if table is None and model_given:
+                table = shared.value.table()
+            for first, raws in chunks(t.as_py() for t in batch.column(1)):
+                scan = Scan(raws)
+                c, doc = scan.word_hashes(), scan.doc
+                a, b = np.full(len(c), START), np.full(len(c), START)
+                b[1:], a[2:] = c[:-1], c[:-2]
+                at = scan.first_word[scan.n_words > 0]
+                a[at] = b[at] = START
+                at = at[scan.n_words[scan.n_words > 0] > 1] + 1
+                a[at] = START
+                salt = mix(doc.astype(np.uint64) + np.uint64(1))
+                _, one, n = np.unique(combine(salt, a, b, c), return_index=True, return_counts=True)
+                a, b, c, doc, salt = a[one], b[one], c[one], doc[one], salt[one]
+
+                def shared_by(*parts: np.ndarray) -> pa.Array:
+                    _, back, many = np.unique(combine(*parts), return_inverse=True, return_counts=True)
+                    return pa.array(many[back].astype(np.int32))
+
+                size, spelled = np.cumsum((scan.buf & 0xC0) != 0x80), np.zeros(len(one), np.float32)
+                stops, starts = scan.stops[one], scan.starts[one]
+                if table is not None:
+                    real = CLASSES[scan.buf] != 255
+                    real[scan.ends] = False
+                    cost = np.zeros(len(scan.buf) + 1)
+                    cost[1:][real] = table[grams(scan)[0]]
+                    cost = np.cumsum(cost)
+                    spelled = (cost[stops + 1] - cost[starts]).astype(np.float32)
+                columns = [pa.array(batch.column(0).slice(first, len(raws)).to_numpy()[doc]), *(pa.array(x.view(np.int64)) for x in (a, b, c)), pa.array(n.astype(np.int32)),
+                           pa.array((size[stops] - size[starts] + 1).astype(np.int32)), shared_by(salt, a, b), shared_by(salt, b, c, c), shared_by(salt, b),
+                           shared_by(salt, c), pa.array(np.bincount(doc, minlength=len(raws))[doc].astype(np.int32)), pa.array(spelled)]
+                yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in EVENTS.split(", ")])
+
+    model_given = model is not None
+    return docs.select(F.xxhash64("text").alias("name"), "text").mapInArrow(run, EVENTS)
+
+
+def word_model(docs: DataFrame) -> tuple[DataFrame, int, int]:
+    """Of every word trigram of the texts: its key, in how many texts it is (n3), and the sums over the trigrams with its first two
+    words (t3, with d3 followers), its last two (n2), its middle word (t2, with d2 followers) and its last word (n1).
+
+    Besides, the sum over all trigrams and the number of words. No trigram is left out, so the table grows with the corpus; it is only
+    ever dealt by its keys.
+    """
+    tri = cut(word_events(docs).groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n3")))
+    bi = cut(tri.groupBy("b", "c").agg(F.sum("n3").alias("n2")))
+    before = bi.groupBy("b").agg(F.sum("n2").alias("t2"), F.count(F.lit(1)).alias("d2"))
+    last = cut(bi.groupBy("c").agg(F.sum("n2").alias("n1")))
+    t1, d1 = last.agg(F.coalesce(F.sum("n1"), F.lit(0)), F.count(F.lit(1))).first()
+    bi = bi.join(before, "b").join(last, "c")
+    pairs = tri.groupBy("a", "b").agg(F.sum("n3").alias("t3"), F.count(F.lit(1)).alias("d3"))
+    made = tri.join(pairs, ["a", "b"]).join(bi, ["b", "c"])
+    return made.select(F.xxhash64("a", "b", "c").alias("key"), "n3", "t3", "d3", "n2", "t2", "d2", "n1"), t1, d1
+
+
+def word_scores(docs: DataFrame, spelling: Model) -> DataFrame:
+    """name, log_ppl, gain (both per character) of every text with words; gain: what the words before each word tell about it.
+
+    The first time a trigram is in a text, it is judged by the other texts: all that its own text added to a count is taken off. When
+    it comes again, its own text counts too. Each order is interpolated with the next lower by its number of followers (Witten-Bell),
+    the lowest with the spelling of the word.
+    """
+    words, t1, d1 = word_model(docs)
+    events = word_events(docs, spelling).withColumn("key", F.xxhash64("a", "b", "c")).drop("a", "b", "c")
+
+    def log_p(own: int) -> list[Column]:
+        p, made = F.exp(F.greatest(F.col("spelled"), F.lit(-600.0))), []
+        for n, off, t, t_off, d in (("n1", F.col("own_c"), F.lit(t1), "own", F.lit(d1)), ("n2", F.col("own_bc"), F.col("t2"), "own_b", F.col("d2")),
+                                    ("n3", F.lit(1), F.col("t3"), "own_ab", F.col("d3"))):
+            p = (F.col(n) - own * off + d * p) / (t - own * F.col(t_off) + d)
+            made.append(F.log(p))
+        return made
+
+    alone, _, first = log_p(1)
+    total = first + F.when(F.col("n") > 1, (F.col("n") - 1) * log_p(0)[-1]).otherwise(0.0)
+    # texts that are the same have one name: their sums and their sizes are multiples alike
+    return events.join(words, "key").groupBy("name").agg((-F.sum(total) / F.sum(F.col("n") * F.col("size"))).alias("log_ppl"),
+                                                         (F.sum(first - alone) / F.sum("size")).alias("gain"))
+
+
+MEASURES = "name long, doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, spelled_ppl double"
 
 
 def measured(docs: DataFrame, model: Model) -> DataFrame:
-    """Base counts and mean log-perplexity per character of every document (doc_id, text, lang)."""
+    """A name of the text, base counts and mean log-perplexity per character of the spelling of every document (doc_id, text, lang)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +303,7 @@ def measured(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             if table is None:
                 table = shared.value.table()
-            for first, raws in chunks(t.as_py() for t in batch.column(1)):
+            for first, raws in chunks(t.as_py() for t in batch.column(3)):
                 scan = Scan(raws)
                 gram, doc = grams(scan)
                 n = np.bincount(doc, minlength=len(raws))
@@ -212,23 +311,31 @@ def measured(docs: DataFrame, model: Model) -> DataFrame:
                 log_ppl = np.divide(-total, n, out=np.zeros(len(raws)), where=n > 0)
                 counts = base_counts(scan, raws)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(raws)), batch.column(2).slice(first, len(raws)), *map(pa.array, counts.values()),
-                     pa.array(log_ppl, mask=(n == 0) | (counts["n_words"] == 0))], names=["doc_id", "lang", *counts, "log_ppl"])
+                    [*(batch.column(i).slice(first, len(raws)) for i in range(3)), *map(pa.array, counts.values()),
+                     pa.array(log_ppl, mask=(n == 0) | (counts["n_words"] == 0))], names=["name", "doc_id", "lang", *counts, "spelled_ppl"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")).mapInArrow(run, MEASURES)
+    columns = [F.xxhash64("text").alias("name"), F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text"]
+    return docs.select(*columns).mapInArrow(run, MEASURES)
 
 
 def verdicts(docs: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:
     """doc_id, the base counts, base_failed, perplexity, the band of its language, kept."""
-    rows = cut(measured(docs, fit(docs)))
+    spelling = fit(docs)
+    scores = cut(word_scores(docs, spelling))
+    rows = cut(measured(docs, spelling).join(scores, "name", "left").drop("name"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed).withColumn("lang", F.coalesce("lang", F.lit("und")))
-    middle = F.percentile_approx("log_ppl", [0.25, 0.5, 0.75], 10_000)
-    bands = rows.where("NOT base_failed").groupBy("lang").agg(middle.alias("q"))
-    bands = cut(bands.select("lang", (F.col("q")[1] - below * (F.col("q")[1] - F.col("q")[0])).alias("low"),
-                             (F.col("q")[1] + above * (F.col("q")[2] - F.col("q")[1])).alias("high")))
+    middle = [F.percentile_approx(c, [0.25, 0.5, 0.75], 10_000).alias(c) for c in ("log_ppl", "spelled_ppl", "gain")]
+    bands = rows.where("NOT base_failed").groupBy("lang").agg(*middle)
+    low = lambda c, wide: F.col(c)[1] - wide * (F.col(c)[1] - F.col(c)[0])
+    high = lambda c: F.col(c)[1] + above * (F.col(c)[2] - F.col(c)[1])
+    bands = cut(bands.select("lang", low("log_ppl", below).alias("low"), high("log_ppl").alias("high"), low("spelled_ppl", below).alias("spelled_low"),
+                             high("spelled_ppl").alias("spelled_high"), low("gain", ORDERLESS).alias("least_gain")))
     slack = SHORT / F.sqrt(F.greatest("word_chars", F.lit(1)))
-    inside = F.coalesce((F.col("log_ppl") >= F.col("low") - slack) & (F.col("log_ppl") <= F.col("high") + slack), F.lit(True))
+    inside = F.lit(True)
+    for c, at_least, at_most in (("log_ppl", "low", "high"), ("spelled_ppl", "spelled_low", "spelled_high")):
+        inside = inside & (F.col(c) >= F.col(at_least) - slack) & (F.col(c) <= F.col(at_most) + slack)
+    inside = F.coalesce(inside & (F.col("gain") >= F.col("least_gain") - slack), F.lit(True))
     # one row of bands per language
     return rows.join(bands, "lang", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & inside).alias("kept"),

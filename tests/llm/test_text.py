@@ -60,6 +60,30 @@ def test_model_is_a_distribution_and_counts_everything(documents):
     assert n == sum(sum(b < 192 for b in raw) for raw in raws)
 
 
+def test_word_order_counts_and_the_model_grows(spark):
+    rng = np.random.default_rng(23)
+    after = rng.integers(0, 400, (400, 3))  # three words may follow each word
+    texts = []
+    for _ in range(300):
+        at, words = int(rng.integers(400)), []
+        for _ in range(150):
+            words.append(f"w{at}")
+            at = int(after[at, rng.integers(3)])
+        texts.append(words)
+    mixed = [list(rng.permutation(t)) for t in texts[:12]]
+    again = [(t[:40] + texts[50 + i][:70] + t[:40]) for i, t in enumerate(texts[20:32])]  # less than half are repeated: the base rule passes
+    rows = [(i, " ".join(t), "en") for i, t in enumerate(texts + mixed + again)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality_rules.verdicts(docs).collect()}
+    plain = sum(got[i].kept for i in range(300))
+    assert plain >= 290 and not any(got[i].kept for i in range(300, 312))
+    assert max(got[i].perplexity for i in range(312, 324)) < min(got[i].perplexity for i in range(300, 312))
+    windows = {tuple(w[i : i + 3]) for _, t, _ in rows for w in [["", "", *t.split()]] for i in range(len(w) - 2)}
+    words, t1, d1 = quality_rules.word_model(docs)
+    assert words.count() == len(windows) and d1 == len({w[2] for w in windows})
+    assert t1 == sum(len({tuple(w[i : i + 3]) for i in range(len(w) - 2)}) for _, t, _ in rows for w in [["", "", *t.split()]])
+
+
 def test_languages_on_held_out_and_odd_rows(documents, odd, nothing):
     model = languages.fit(languages.training_rows(documents))
     rows = languages.labelled(documents, model, carry=["doc_id", "lang"]).select("row.*", "lang_pred", "score").collect()
