@@ -56,14 +56,13 @@ def chunks(texts: Iterable[str | None], limit: int = CHUNK_BYTES) -> Iterator[tu
 class Scan:
     """The words of some encoded texts: byte limits, the text each is in, and the words of each text."""
 
-    def __init__(self, raws: list[bytes], lower: bool = False):
+    def __init__(self, raws: list[bytes], lower: bool = False, space: np.ndarray = SPACE):
         joined = b"\n".join(raws) + b"\n"
         self.buf = np.frombuffer(joined.lower() if lower else joined, np.uint8)
         sizes = np.fromiter((len(r) + 1 for r in raws), np.int64, len(raws))
         self.ends = np.cumsum(sizes) - 1
         self.begins = self.ends - sizes + 1
-        space = SPACE[self.buf]
-        edge = np.flatnonzero(np.diff(space, prepend=True))
+        edge = np.flatnonzero(np.diff(space[self.buf], prepend=True))
         self.starts, self.stops = edge[::2], edge[1::2]
         self.doc = np.searchsorted(self.ends, self.starts, side="left")
         self.n_words = np.bincount(self.doc, minlength=len(raws))
