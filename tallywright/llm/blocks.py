@@ -154,15 +154,16 @@ def n_words(blocks: DataFrame) -> int:
 
 
 def tally(blocks: DataFrame, n_keys: int, requests: Callable[[pa.Table], Iterator[tuple[int, int, np.ndarray, np.ndarray]]],
-          answer: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple], bits: int = 64) -> DataFrame:
+          answer: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple], bits: int = 64,
+          together: int = 0) -> DataFrame:
     """range, block, keys, values: what each block is told about its keys.
 
     requests(table of one row of `blocks`) gives (block, tag, sorted distinct keys below 2^bits, counts). answer(keys, counts, tags, origin) sees all
     entries of one range, sorted by key and then by origin (a number for each request), and gives (which entries are told, their values).
-    n_keys bounds the number of all entries; it sets the number of ranges.
+    n_keys bounds the number of all entries; it sets the number of ranges. Keys that differ only in their `together` lowest bits share a range.
     """
     n_ranges = max(1, math.ceil(n_keys / RANGE_KEYS))
-    scale = np.uint64(max(1, -(-(1 << bits) // n_ranges)))
+    scale = np.uint64(min(-(-(1 << (bits - together)) // n_ranges) << together, (1 << 64) - 1))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,7 +172,7 @@ def tally(blocks: DataFrame, n_keys: int, requests: Callable[[pa.Table], Iterato
                 for block, tag, keys, counts in requests(table.slice(row, 1)):
                     if not len(keys):
                         continue
-                    where = (keys // scale).astype(np.int64)
+                    where = (keys // scale).astype(np.int64) if n_ranges > 1 else np.zeros(len(keys), np.int64)
                     cuts = np.flatnonzero(np.diff(where, prepend=-1))
                     ends = np.append(cuts[1:], len(keys))
                     yield pa.RecordBatch.from_arrays(
