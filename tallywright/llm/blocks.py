@@ -26,7 +26,7 @@ from tallywright.llm.textscan import SPACE, Scan, chunks, combine
 #: words of a block, and keys summed together in one group
 BLOCK_WORDS, RANGE_KEYS = 1 << 20, 1 << 20
 
-BLOCK_SCHEMA = "block long, doc_ids array<long>, tags array<string>, sizes binary, vocabulary binary, words binary, breaks binary"
+BLOCK_SCHEMA = "block long, n long, doc_ids array<long>, tags array<string>, sizes binary, vocabulary binary, words binary, breaks binary, spelled binary"
 REQUEST_SCHEMA = "range long, block long, tag long, keys binary, counts binary"
 
 
@@ -77,7 +77,9 @@ class Block:
         self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
         n = len(self.words)
         raw = table.column("breaks")[row].as_py()
-        self.breaks = np.unpackbits(np.frombuffer(raw, np.uint8), count=n).astype(bool) if raw else None
+        self.breaks = np.unpackbits(np.frombuffer(raw, np.uint8), count=n).astype(bool) if raw is not None else None
+        raw = table.column("spelled")[row].as_py()
+        self.spelled = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True).split(b"\n") if raw else None
 
     def starts(self, width: int) -> np.ndarray:
         """Where runs of `width` words of one document start."""
@@ -104,26 +106,29 @@ class Block:
 
 
 def word_blocks(docs: DataFrame, tag: str | None = None, space: np.ndarray = SPACE, breaking: np.ndarray | None = None,
-                of_words: Callable[[np.ndarray, list, np.ndarray], np.ndarray] | None = None) -> DataFrame:
+                of_words: Callable[[np.ndarray, list, np.ndarray], np.ndarray] | None = None, spelled: bool = False) -> DataFrame:
     """Blocks of the lower-cased words of docs (doc_id, text), written once.
 
     tag: a string column carried for each document. space: which bytes part words. breaking: bytes after which a word starts a new piece.
     of_words(hashes, tags of some documents, document of each word) may change the word hashes.
+    spelled: keep the vocabulary as text too.
     """
     limit = BLOCK_WORDS
     chosen = [F.col("doc_id").cast("long").alias("doc_id"), F.col(tag).cast("string").alias("tag") if tag else F.lit(None).cast("string").alias("tag"), "text"]
 
-    def made(ids: list, tags: list, sizes: list, hashes: list, breaks: list) -> pa.RecordBatch:
+    def made(ids: list, tags: list, sizes: list, hashes: list, breaks: list, texts: dict) -> pa.RecordBatch:
         hashed = np.concatenate(hashes)
         vocabulary, words = np.unique(hashed, return_inverse=True)
-        row = [int.from_bytes(os.urandom(8), "little", signed=True), ids, tags, pack_small(np.concatenate(sizes)), pack_sorted(vocabulary), pack_small(words),
-               np.packbits(np.concatenate(breaks)).tobytes() if breaking is not None else None]
-        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), *[pa.binary()] * 4]
+        joined = b"\n".join(texts[h] for h in vocabulary.tolist()) if spelled else b""
+        row = [int.from_bytes(os.urandom(8), "little", signed=True), len(hashed), ids, tags, pack_small(np.concatenate(sizes)), pack_sorted(vocabulary), pack_small(words),
+               np.packbits(np.concatenate(breaks)).tobytes() if breaking is not None else None,
+               len(joined).to_bytes(8, "little") + pa.compress(joined, codec="zstd", asbytes=True) if spelled else None]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), *[pa.binary()] * 5]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)],
-                                          names=["block", "doc_ids", "tags", "sizes", "vocabulary", "words", "breaks"])
+                                          names=["block", "n", "doc_ids", "tags", "sizes", "vocabulary", "words", "breaks", "spelled"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = [[], [], [], [], []]
+        held: list = [[], [], [], [], [], {}]
         n = 0
         for batch in batches:
             ids, tags = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -138,10 +143,16 @@ def word_blocks(docs: DataFrame, tag: str | None = None, space: np.ndarray = SPA
                 if breaking is not None:
                     piece = np.cumsum(breaking[scan.buf])[scan.starts] if len(scan.starts) else np.zeros(0, np.int64)
                     held[4].append(np.diff(piece, prepend=-1) != 0)
+                if spelled:
+                    of, at = np.unique(held[3][-1], return_index=True)
+                    raw, known = scan.buf.tobytes(), held[5]
+                    for h, a, b in zip(of.tolist(), scan.starts[at].tolist(), scan.stops[at].tolist(), strict=True):
+                        if h not in known:
+                            known[h] = raw[a:b]
                 n += len(hashed)
                 if n >= limit:
                     yield made(*held)
-                    held, n = [[], [], [], [], []], 0
+                    held, n = [[], [], [], [], [], {}], 0
         if held[0]:
             yield made(*held)
 
@@ -149,37 +160,37 @@ def word_blocks(docs: DataFrame, tag: str | None = None, space: np.ndarray = SPA
 
 
 def n_words(blocks: DataFrame) -> int:
-    """An upper bound of the words of all blocks."""
-    return blocks.agg(F.sum(F.length("words"))).first()[0] or 0
+    """The words of all blocks."""
+    return blocks.agg(F.sum("n")).first()[0] or 0
 
 
-def tally(blocks: DataFrame, n_keys: int, requests: Callable[[pa.Table], Iterator[tuple[int, int, np.ndarray, np.ndarray]]],
+def tally(blocks: DataFrame, n_keys: int, requests: Callable[..., Iterator[tuple[int, int, np.ndarray, np.ndarray]]],
           answer: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple], bits: int = 64,
-          together: int = 0) -> DataFrame:
+          together: int = 0, told: DataFrame | None = None) -> DataFrame:
     """range, block, keys, values: what each block is told about its keys.
 
-    requests(table of one row of `blocks`) gives (block, tag, sorted distinct keys below 2^bits, counts). answer(keys, counts, tags, origin) sees all
+    requests(table of one row of `blocks`), with `told` also (keys, values) of what the block was told before, gives (block, tag, sorted distinct keys below 2^bits, counts). answer(keys, counts, tags, origin) sees all
     entries of one range, sorted by key and then by origin (a number for each request), and gives (which entries are told, their values).
     n_keys bounds the number of all entries; it sets the number of ranges. Keys that differ only in their `together` lowest bits share a range.
     """
     n_ranges = max(1, math.ceil(n_keys / RANGE_KEYS))
     scale = np.uint64(min(-(-(1 << (bits - together)) // n_ranges) << together, (1 << 64) - 1))
 
+    def split(found: Iterator[tuple]) -> Iterator[pa.Table]:
+        for block, tag, keys, counts in found:
+            where = (keys // scale).astype(np.int64) if n_ranges > 1 else np.zeros(len(keys), np.int64)
+            cuts = np.flatnonzero(np.diff(where, prepend=-1))
+            ends = np.append(cuts[1:], len(keys))[: len(cuts)]
+            yield pa.table({"range": where[cuts], "block": np.full(len(cuts), block, np.int64), "tag": np.full(len(cuts), tag, np.int64),
+                            "keys": pa.array([pack_sorted(keys[a:b]) for a, b in zip(cuts, ends, strict=True)], pa.binary()),
+                            "counts": pa.array([pack_small(counts[a:b]) for a, b in zip(cuts, ends, strict=True)], pa.binary())})
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             table = pa.Table.from_batches([batch])
             for row in range(table.num_rows):
-                for block, tag, keys, counts in requests(table.slice(row, 1)):
-                    if not len(keys):
-                        continue
-                    where = (keys // scale).astype(np.int64) if n_ranges > 1 else np.zeros(len(keys), np.int64)
-                    cuts = np.flatnonzero(np.diff(where, prepend=-1))
-                    ends = np.append(cuts[1:], len(keys))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(where[cuts]), pa.array(np.full(len(cuts), block)), pa.array(np.full(len(cuts), tag)),
-                         pa.array([pack_sorted(keys[a:b]) for a, b in zip(cuts, ends, strict=True)], pa.binary()),
-                         pa.array([pack_small(counts[a:b]) for a, b in zip(cuts, ends, strict=True)], pa.binary())],
-                        names=["range", "block", "tag", "keys", "counts"])
+                for made in split(requests(table.slice(row, 1))):
+                    yield from made.to_batches()
 
     def summed(table: pa.Table) -> pa.Table:
         keys = [unpack_sorted(k.as_py()) for k in table.column("keys")]
@@ -190,8 +201,8 @@ def tally(blocks: DataFrame, n_keys: int, requests: Callable[[pa.Table], Iterato
         tag = np.repeat(table.column("tag").to_numpy(), sizes)
         order = np.argsort(key, kind="stable")
         key, count, origin, tag = key[order], count[order], origin[order], tag[order]
-        told, value = answer(key, count, tag, origin)
-        key, value, origin = key[told], value[told], origin[told]
+        chosen, value = answer(key, count, tag, origin)
+        key, value, origin = key[chosen], value[chosen], origin[chosen]
         back = np.argsort(origin, kind="stable")
         key, value, origin = key[back], value[back], origin[back]
         ends = np.searchsorted(origin, np.arange(len(keys) + 1))
@@ -200,7 +211,11 @@ def tally(blocks: DataFrame, n_keys: int, requests: Callable[[pa.Table], Iterato
                          "keys": pa.array([pack_sorted(key[ends[i] : ends[i + 1]]) for i in some], pa.binary()),
                          "values": pa.array([pack_small(value[ends[i] : ends[i + 1]]) for i in some], pa.binary())})
 
-    return blocks.mapInArrow(send, REQUEST_SCHEMA).groupBy("range").applyInArrow(summed, "range long, block long, keys binary, values binary")
+    if told is None:
+        sent = blocks.mapInArrow(send, REQUEST_SCHEMA)
+    else:
+        sent = answered(blocks, told, lambda *block: pa.concat_tables(split(requests(*block))), REQUEST_SCHEMA)
+    return sent.groupBy("range").applyInArrow(summed, "range long, block long, keys binary, values binary")
 
 
 def totals(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,9 +230,9 @@ def answered(blocks: DataFrame, answers: DataFrame, fn: Callable[[pa.Table, np.n
     """fn(block row, sorted keys, their values) of every block with what it was told."""
 
     def meet(block: pa.Table, told: pa.Table) -> pa.Table:
-        told = told.sort_by("range")
-        keys = [unpack_sorted(k.as_py()) for k in told.column("keys")]
-        values = [unpack_small(v.as_py()).astype(np.int64) for v in told.column("values")]
-        return fn(block, np.concatenate(keys or [np.zeros(0, np.uint64)]), np.concatenate(values or [np.zeros(0, np.int64)]))
+        keys = np.concatenate([unpack_sorted(k.as_py()) for k in told.column("keys")] or [np.zeros(0, np.uint64)])
+        values = np.concatenate([unpack_small(v.as_py()).astype(np.int64) for v in told.column("values")] or [np.zeros(0, np.int64)])
+        order = np.argsort(keys, kind="stable")
+        return fn(block, keys[order], values[order])
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, schema)

@@ -1,7 +1,7 @@
 """All registered queries of this subpackage."""
 
 import corpus_pipeline
-from tallywright.llm import alignment, classifier, jaccardjoin, languages, mixing, neardup, neighbours, packing, quality_rules, resharding, secrets, tokenfiles  # noqa: F401
+from tallywright.llm import alignment, classifier, collocations, jaccardjoin, languages, mixing, neardup, neighbours, packing, quality_rules, resharding, secrets, tokenfiles  # noqa: F401
 from tallywright.llm.common import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -2,12 +2,12 @@
 
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from tallywright.llm import blocks, jaccardjoin
+from tallywright.llm import blocks, collocations, jaccardjoin
 
 
 def word_sets(rows, width):
@@ -93,3 +93,53 @@ def test_jaccard_join_of_odd_rows(odd, nothing):
     assert len(got) == odd.count()
     assert {(d, c) for d, _, c in got if d in (1, 2, 3, 4, 5, 9, 11, 12)} == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 4), (9, 9), (11, 11), (12, 11)}
     assert jaccardjoin.linked_components(nothing).count() == 0
+
+
+def plain_collocations(rows, longest, support, pct, top):
+    """(lang, rank) -> columns, by counting every phrase of every piece."""
+    f, n = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        low = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            f.update((lang, tuple(words[i : i + k])) for k in range(1, longest + 1) for i in range(len(words) - k + 1))
+    chosen = {p: a for p, a in f.items() if len(p[1]) > 1 and a >= support}
+    rows = defaultdict(list)
+    for (lang, w), a in chosen.items():
+        inside = max((b for (other, v), b in chosen.items() if other == lang and len(v) > len(w) and any(v[i : i + len(w)] == w for i in range(len(v)))), default=0)
+        if inside and 100 * inside >= pct * a:
+            continue
+        score, k = min((1_000_000 * a * a // (f[lang, w[:k]] * f[lang, w[k:]]), k) for k in range(1, len(w)))
+        rows[lang].append((-score, -a, " ".join(w).encode(), f[lang, w[:k]], f[lang, w[k:]]))
+    return {(lang, rank): (p.decode(), -a, left, right, n[lang], -s) for lang, found in rows.items() for rank, (s, a, p, left, right) in enumerate(sorted(found)[:top], 1)}
+
+
+@pytest.mark.parametrize(("longest", "support", "top"), [(3, 10, 2000), (4, 3, 7)])
+def test_collocations_match_plain_counts(spark, odd, longest, support, top, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_WORDS", 400)
+    monkeypatch.setattr(blocks, "RANGE_KEYS", 300)
+    rng = random.Random(5)
+    rows = []
+    for i in range(150):
+        words = [rng.choice("Über alpha BETA gamma delta e é 日本 f g".split()) for _ in range(30)]
+        marks = [rng.choice(["", "", "", ".", ",", "!", "\n", "\t", " \x0b"]) for _ in range(30)]
+        rows.append((rng.choice(["en", "de", None, "und", ""]), " ".join(w + m for w, m in zip(words, marks, strict=True))))
+    rows += [("en", "x x x x x x x x x x x x")] * 4 + [("en", None), (None, ""), ("de", " ,. ;")]
+    got = collocations.collocations(spark.createDataFrame([(i, text, lang) for i, (lang, text) in enumerate(rows)], "doc_id long, text string, lang string"), longest, support, 50, top)
+    assert {(r.lang, r["rank"]): (r.phrase, r.a, r.l, r.r, r.n, r.score) for r in got.collect()} == plain_collocations(rows, longest, support, 50, top)
+
+
+def test_local_supports_lose_nothing():
+    for shares in ([1, 1, 1, 1], [100, 0, 3, 7], [0, 0, 0, 0], [5]):
+        assert (collocations.local_supports(shares, 10) - 1).sum() <= 9
+
+
+def test_scores_pass_64_bits():
+    assert collocations.best_cut(10**12, [(10**13, 10**12), (10**12, 10**13)]) == (1, 10**13, 10**12, 100_000)
+
+
+def test_collocations_of_odd_rows(odd, nothing):
+    assert collocations.collocations(odd, support=2).where("lang = 'de' AND phrase = 'wörter über straßen' AND a = 2").count() == 1
+    assert collocations.collocations(nothing).count() == 0
