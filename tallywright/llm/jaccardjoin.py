@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.llm.blocks import Block, answered, n_words, tally, totals, word_blocks
-from tallywright.llm.common import cut, query, read
+from tallywright.llm.common import components_sql, cut, query, read
 from tallywright.llm.components import smallest_reachable
 from tallywright.llm.textscan import mix
 
@@ -263,6 +263,6 @@ def linked_components(docs: DataFrame, width: int = 3, similarity_pct: int = 90)
     return members.join(of, "rep", "left").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "id").alias("component_id"))
 
 
-@query("op12_jaccard_join")
+@query("op12_jaccard_join", f"SELECT doc_id, n_shingles, component_id FROM ({components_sql(3, 90)})")
 def jaccard_join_query(spark, sf_dir):
     return linked_components(read(spark, sf_dir, "documents"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import cut, query, read
+from tallywright.llm.common import components_sql, cut, query, read
 from tallywright.llm.components import smallest_reachable
 from tallywright.llm.textscan import Scan, chunks, mix, shingles
 
@@ -320,6 +320,6 @@ def near_duplicates(docs: DataFrame, width: int = 3, similarity_pct: int = 85) -
         (F.col("doc_id") == F.coalesce("component", "rep", "doc_id")).alias("kept"))
 
 
-@query("op9_near_duplicates")
+@query("op9_near_duplicates", components_sql(3, 85))
 def near_duplicates_query(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"))
