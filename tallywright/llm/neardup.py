@@ -5,13 +5,12 @@
    bitmap, so bits on which two sketches differ count the samples on which they differ, and the number of differing bits
    estimates the similarity; the nearer to 1, the more precisely.
 2. Documents of one set are one class, whoever many; only the smallest id of each goes on.
-3. Classes that share a band key are candidates. First, in every bucket of a band the smallest id is a pivot and meets all others.
-   Then buckets that still hold more than one component are read in blocks of bounded size, whose members are compared by
-   their sketches inside the task: each block gives the most similar pairs that would tie its components together. Last, the
-   buckets that are open even then give every pair of two components that has not been looked at before.
-   Only pairs that pass the sketch leave any of these steps.
-4. After each step its pairs are confirmed on full shingle sets, grouped under one of the two with a bounded number of partners, and
-   components are formed from what is confirmed. Nothing is left to look at after the last step.
+3. Classes that share a band key are candidates. First, in every bucket of a band the smallest id is a pivot and meets all others. Twice more a
+   bucket that still holds several components has a pivot of its own, by a hash, which meets the members of other components. In buckets that are
+   open even then, the members outside the largest component of the bucket meet all others, in blocks of bounded size inside
+   the tasks: every pair of two components that has not been looked at before. Only pairs that pass the sketch leave any of these steps.
+4. After each step its pairs are confirmed on full shingle sets, streamed past one of the two with a bounded number of partners, and
+   components are formed from what is confirmed. The texts of all candidates are set apart once. Nothing is left to look at after the last step.
 
 A pair at the wanted similarity shares no band with probability `MISS` at most, and its sketch fails with `MISS` at most: bands and the
 limit of differing bits are computed from that rate. At 0.85 these are 40 bands of 8 rows, at 0.8 they are 55 of 7.
@@ -28,7 +27,6 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +41,10 @@ MISS = 3e-6
 MOST_ROWS, MOST_SAMPLES = 8, 400
 SKETCH_BITS = 1024
 WORDS64 = SKETCH_BITS // 64
-#: documents of a bucket compared in one block, and partners confirmed under one document in one task
-BLOCK = 256
+#: members of a bucket compared with as many others in one block, and partners confirmed under one document in one group
+BLOCK, PARTNERS = 1024, 256
+#: steps in which every open bucket has a pivot by a hash
+PIVOT_STEPS = 2
 
 _seeds = mix(np.arange(1, 2 * MOST_SAMPLES + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
 MULTIPLIERS = (_seeds[:MOST_SAMPLES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -146,68 +146,52 @@ def _sifted(pairs: DataFrame, sketches: DataFrame, bits: int, pct: int) -> DataF
 
 
 def _open(rows: DataFrame) -> DataFrame:
-    """bucket, size of the buckets of (bucket, id, component) that hold more than one component."""
-    sums = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
-    return sums.where("low <> high").select("bucket", "size")
+    """bucket, main (its largest component), size, outside (members outside of it) of the buckets of (bucket, id, component) with several components."""
+    sums = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("bucket").agg(
+        F.sum("k").alias("size"), F.max("k").alias("most"), F.max_by("component", F.struct("k", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    return sums.where("parts > 1").select("bucket", "main", "size", (F.col("size") - F.col("most")).alias("outside"))
 
 
-def _pivot_pairs(entries: DataFrame) -> DataFrame:
-    """The smallest id of each bucket of (bucket, id) with all others."""
-    pivots = cut(entries.groupBy("bucket").agg(F.min("id").alias("a")))
-    return entries.join(pivots, "bucket").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+def _pivot_pairs(rows: DataFrame, step: int) -> DataFrame:
+    """The pivot of each bucket of (bucket, id, component) with all members of other components: the smallest id, later one by a hash."""
+    order = F.col("id") if step == 0 else F.xxhash64("id", "bucket", F.lit(step))
+    pivots = cut(rows.groupBy("bucket").agg(F.min_by(F.struct(F.col("id").alias("a"), F.col("component").alias("c")), F.struct(order, "id")).alias("p")).select("bucket", "p.*"))
+    met = rows.join(pivots, "bucket").where("component <> c")
+    return met.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
 
 
-def _ties(pairs: np.ndarray, differ: np.ndarray, sides: np.ndarray) -> np.ndarray:
-    """The pairs, most similar first, that each tie together two components not tied before."""
-    top: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while (up := top.get(x, x)) != x:
-            top[x] = top.get(up, up)
-            x = up
-        return x
-
-    kept = []
-    for i in np.argsort(differ, kind="stable").tolist():
-        a, b = find(int(sides[i, 0])), find(int(sides[i, 1]))
-        if a != b:
-            top[a] = b
-            kept.append(i)
-    return pairs[kept]
-
-
-def _block_pairs(rows: DataFrame, heads: DataFrame, sketches: DataFrame, bits: int, pct: int, every: bool) -> DataFrame:
-    """Pairs of two components in the same bucket that pass the sketch, over blocks of about BLOCK members.
+def _block_pairs(rows: DataFrame, heads: DataFrame, sketches: DataFrame, bits: int, pct: int) -> DataFrame:
+    """Pairs of two components in the same bucket that pass the sketch: members outside the main component with all, over blocks of BLOCK of each.
 
     A pair comes from the first band that it shares and from no other: that bucket is open too, as it holds both.
-    every: all such pairs; else only those that tie the components of a block together.
     """
-    rows = rows.join(heads.select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("cuts")), "bucket")
-    rows = rows.join(sketches, "id")
-    mine = F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int")
-    rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    rows = rows.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "band", "mine", "id", "component", "n", "sketch", "bands")
+    heads = heads.select("bucket", "main", F.ceil(F.col("size") / BLOCK).cast("int").alias("rights"), F.ceil(F.col("outside") / BLOCK).cast("int").alias("lefts"))
+    # a sketch is attached once to an id, which has at most one bucket of each band
+    mine = rows.join(heads, "bucket").groupBy("id").agg(F.collect_list(F.struct("bucket", "band", "component", "main", "rights", "lefts")).alias("places"))
+    members = mine.join(sketches, "id").select("id", "n", "sketch", "bands", F.explode("places").alias("at")).select("id", "n", "sketch", "bands", "at.*")
+    spread = lambda parts: F.pmod(F.xxhash64("id"), F.col(parts)).cast("int")
+    upto = lambda parts: F.sequence(F.lit(0), F.col(parts) - 1)
+    right = F.transform(upto("lefts"), lambda x: F.struct(x.alias("i"), spread("rights").alias("j"), F.lit(False).alias("outside")))
+    left = F.transform(upto("rights"), lambda x: F.struct(spread("lefts").alias("i"), x.alias("j"), F.lit(True).alias("outside")))
+    dealt = members.withColumn("to", F.explode(F.when(F.col("component") != F.col("main"), F.concat(right, left)).otherwise(right)))
+    dealt = dealt.select("bucket", "to.i", "to.j", "band", "to.outside", "id", "component", "main", "n", "sketch", "bands")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches):
-            bucket, i, j, side, ids, comp, n = (t.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "mine", "id", "component", "n"))
+            bucket, i, j, left, ids, comp, main, n, band = (t.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "outside", "id", "component", "main", "n", "band"))
             sketch = np.asarray(t.column("sketch").flatten()).view(np.uint64).reshape(len(ids), WORDS64)
             bands = np.asarray(t.column("bands").flatten()).reshape(len(ids), -1)
-            band = t.column("band").to_numpy(zero_copy_only=False)
             new = np.ones(len(ids), bool)
             new[1:] = (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
             begin = np.flatnonzero(new)
-            made = []
+            made = [np.zeros((0, 2), np.int64)]
             for a, b in zip(begin.tolist(), np.append(begin[1:], len(ids)).tolist(), strict=True):
-                if b - a > 1:
-                    pairs = _passing(ids[a:b], comp[a:b], n[a:b], sketch[a:b], bands[a:b], band[a], side[a:b], i[a], j[a], bits, pct, every)
-                    if len(pairs):
-                        made.append(pairs)
-            found = np.sort(np.concatenate(made), axis=1) if made else np.zeros((0, 2), np.int64)
+                made.append(_passing(left[a:b], ids[a:b], comp[a:b], main[a], n[a:b], sketch[a:b], bands[a:b], band[a], bits, pct))
+            found = np.sort(np.concatenate(made), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], names=["a", "b"])
 
     keys = ["bucket", "i", "j"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long").distinct()
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long").distinct()
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,52 +214,54 @@ def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held
 
 
-def _passing(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, sketch: np.ndarray, bands: np.ndarray, band: int, side: np.ndarray, i: int,
-             j: int, bits: int, pct: int, every: bool) -> np.ndarray:
-    """Pairs of one block that belong to two components, are near enough in size and pass the sketch."""
-    left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
-    found = []
-    for x in left:
-        differ = np.bitwise_count(sketch[right] ^ sketch[x]).sum(axis=1)
-        near = 100 * np.minimum(n[right], n[x]) >= pct * np.maximum(n[right], n[x])
-        ok = np.flatnonzero((differ <= bits) & near & (comp[right] != comp[x]) & ((ids[right] > ids[x]) | (i != j)))
-        ok = ok[(bands[right[ok], :band] != bands[x, :band]).all(axis=1)]
-        if len(ok):
-            at = right[ok]
-            found.append((np.stack([np.full(len(at), ids[x]), ids[at]], 1), differ[ok].astype(np.int64), np.stack([np.full(len(at), comp[x]), comp[at]], 1)))
-    if not found:
-        return np.zeros((0, 2), np.int64)
-    pairs, differ, sides = (np.concatenate(part) for part in zip(*found, strict=True))
-    return pairs if every else _ties(pairs, differ, sides)
-
-
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, similarity_pct: int) -> DataFrame:
-    """a, b of pairs whose full sets have 100 * intersection >= similarity_pct * union, with both texts read once each."""
-    load = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("cuts"))
-    load = cut(load)
-    member = pairs.join(load, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("cuts")).cast("int").alias("part"), F.lit(False).alias("head"))
-    heads = load.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("part"), F.lit(True).alias("head"))
-    wanted = cut(member.unionByName(heads))
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    # the same plan at every size: both sides are dealt by id
-    rows = wanted.hint("merge").join(texts, "id")
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("head", ascending=False, kind="stable").drop_duplicates("id")
-        ids, kept, base = pdf["id"].to_numpy(), [], None
-        for first, raws in chunks(pdf["text"]):
-            doc, value = shingles(Scan(raws, lower=True), width)
-            if base is None:
-                base = value[doc == 0]
-            inside = base[np.minimum(np.searchsorted(base, value), len(base) - 1)] == value if len(base) else np.zeros(len(value), bool)
-            n = np.bincount(doc, minlength=len(raws))
-            both = np.bincount(doc, weights=inside, minlength=len(raws)).astype(np.int64)
-            kept.append(ids[first : first + len(raws)][(both > 0) & (100 * both >= similarity_pct * (n + len(base) - both))])
-        found = np.concatenate(kept)
-        found = found[found != ids[0]]
-        return pd.DataFrame({"a": np.full(len(found), ids[0]), "b": found}, dtype=np.int64)
-
-    return rows.select("id", "a", "part", "head", "text").groupBy("a", "part").applyInPandas(compare, "a long, b long")
+def _passing(left: np.ndarray, ids: np.ndarray, comp: np.ndarray, main: int, n: np.ndarray, sketch: np.ndarray, bands: np.ndarray, band: int, bits: int,
+             pct: int) -> np.ndarray:
+    """Pairs of one block that belong to two components, are near enough in size, share no earlier band and pass the sketch."""
+    right, found = np.flatnonzero(~left), [np.zeros((0, 2), np.int64)]
+    for x in np.flatnonzero(left):
+        at = right[(comp[right] != comp[x]) & ((comp[right] == main) | (ids[right] > ids[x])) & (100 * np.minimum(n[right], n[x]) >= pct * np.maximum(n[right], n[x]))]
+        at = at[np.bitwise_count(sketch[at] ^ sketch[x]).sum(axis=1) <= bits]
+        at = at[(bands[at, :band] != bands[x, :band]).all(axis=1)]
+        found.append(np.stack([np.full(len(at), ids[x]), ids[at]], 1))
+    return np.concatenate(found)
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, similarity_pct: int) -> DataFrame:
+    """a, b of pairs whose full sets have 100 * intersection >= similarity_pct * union; texts: id, text of all of them.
+
+    The partners of a stream past it in groups of PARTNERS at most, one text at a time.
+    """
+    load = cut(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("cuts")))
+    member = pairs.join(load, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("cuts")).cast("int").alias("part"), F.lit(1).alias("role"))
+    heads = load.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("part"), F.lit(0).alias("role"))
+    rows = member.unionByName(heads).join(texts, "id").repartition("a", "part").sortWithinPartitions("a", "part", "role")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, bases = None, []
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("a", "part", "role", "id")), strict=True))
+            found = []
+            for first, raws in chunks(t.as_py() for t in batch.column(4)):
+                doc, value = shingles(Scan(raws, lower=True), width)
+                ends = np.searchsorted(doc, np.arange(len(raws) + 1))
+                for i in range(len(raws)):
+                    a, part, role, other = keys[first + i]
+                    mine = value[ends[i] : ends[i + 1]]
+                    if group != (a, part):
+                        group, bases = (a, part), []
+                    if role == 0:
+                        bases.append(mine)  # an id that comes with several texts has several sets
+                        continue
+                    for base in bases:
+                        if len(base) and len(mine):
+                            both = int((base[np.minimum(np.searchsorted(base, mine), len(base) - 1)] == mine).sum())
+                            if both and 100 * both >= similarity_pct * (len(base) + len(mine) - both):
+                                found.append((a, other))
+                                break
+            made = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(made[:, 0].copy()), pa.array(made[:, 1].copy())], names=["a", "b"])
+
+    return rows.select("a", "part", "role", "id", "text").mapInArrow(compare, "a long, b long").distinct()
 
 
 def classes_and_links(docs: DataFrame, width: int = 3, similarity_pct: int = 85) -> tuple[DataFrame, DataFrame]:
@@ -294,20 +280,23 @@ def classes_and_links(docs: DataFrame, width: int = 3, similarity_pct: int = 85)
     shared = cut(exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"))
     entries = cut(exploded.join(shared, "bucket"))
     bits = most_bits(similarity_pct / 100, bands * per_band)
-    looked = cut(_sifted(_pivot_pairs(entries), sketches, bits, similarity_pct))
-    links = cut(confirmed(looked, docs, width, similarity_pct))
-    components = cut(smallest_reachable(links))
-    for every in (False, True):
-        rows = cut(_with_components(entries, components))
-        heads = cut(_open(rows))
-        if heads.isEmpty():
-            break
-        fresh = cut(_block_pairs(rows, heads, sketches, bits, similarity_pct, every).join(looked, ["a", "b"], "left_anti"))
-        if fresh.isEmpty():
-            continue
-        looked = looked.unionByName(fresh)
-        links = links.unionByName(cut(confirmed(fresh, docs, width, similarity_pct)))
-        components = cut(smallest_reachable(links))
+    texts = cut(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(entries.select("id").distinct(), "id", "left_semi"))
+    rows = entries.withColumn("component", F.col("id"))
+    looked = links = components = None
+    for step in range(PIVOT_STEPS + 2):
+        if step <= PIVOT_STEPS:
+            pairs = _sifted(_pivot_pairs(rows, step), sketches, bits, similarity_pct)
+        else:
+            pairs = _block_pairs(rows, cut(_open(rows)), sketches, bits, similarity_pct)
+        fresh = cut(pairs if looked is None else pairs.join(looked, ["a", "b"], "left_anti"))
+        found = cut(confirmed(fresh, texts, width, similarity_pct))
+        looked = fresh if looked is None else looked.unionByName(fresh)
+        links = found if links is None else links.unionByName(found)
+        if components is None or not found.isEmpty():
+            components = cut(smallest_reachable(links))
+            rows = _with_components(entries, components)
+            # what is settled in its bucket is not looked at again
+            rows = cut(rows.join(_open(rows).select("bucket"), "bucket", "left_semi"))
     return members, components
 
 

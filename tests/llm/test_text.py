@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallywright.llm import classifier, languages, neardup, packing, quality_rules, textscan, tokenfiles, tokens
@@ -164,7 +165,7 @@ def plain_groups(rows, width=3, pct=85):
     return {i: (len(sets[i]), find(i), find(i) == i) for i in sets}
 
 
-def test_near_duplicates_match_brute_force(spark, documents, odd, nothing):
+def test_near_duplicates_match_brute_force(spark, documents, odd, nothing, monkeypatch):
     rng = np.random.default_rng(11)
     base = [f"w{i}" for i in rng.integers(0, 5000, 300)]
     made = []
@@ -177,6 +178,8 @@ def test_near_duplicates_match_brute_force(spark, documents, odd, nothing):
     shared = " ".join(f"p{i}" for i in range(200))  # a passage common to texts that are not near
     made += [(20_000 + i, shared + " " + " ".join(f"q{i}r{j}" for j in range(60 + i))) for i in range(40)]
     rows = [(r.doc_id, r.text) for r in documents.collect()] + made + [(r.doc_id + 30_000, r.text) for r in odd.where("doc_id is not null and doc_id <> 9").collect()]
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "PARTNERS", 8)
     got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got.collect()} == plain_groups(rows)
     assert neardup.near_duplicates(odd).count() == odd.count()
@@ -197,17 +200,20 @@ def test_sketches_of_near_pairs_pass(similarity):
     assert lost <= 5
 
 
-def test_block_pairs_find_every_near_pair(spark):
+def test_block_pairs_find_every_near_pair(spark, monkeypatch):
     rng = np.random.default_rng(2)
     sketch = rng.integers(-(1 << 62), 1 << 62, (700, neardup.WORDS64))
     sketch[1::2] = sketch[::2]
     sketches = spark.createDataFrame([(i, 100 - 30 * (i // 2 % 3 == 0) * (i % 2), s.tolist(), [5 if i // 2 % 5 == 0 else i, 7]) for i, s in enumerate(sketch)],
                                      "id long, n long, sketch array<long>, bands array<long>")
     entries = spark.createDataFrame([(7, 1, i, i) for i in range(700)], "bucket long, band int, id long, component long")
-    heads = spark.createDataFrame([(7, 700)], "bucket long, size long")
-    for every in (False, True):
-        got = {(r.a, r.b) for r in neardup._block_pairs(entries, heads, sketches, 100, 85, every).collect()}
+    for block in (1024, 90):
+        monkeypatch.setattr(neardup, "BLOCK", block)
+        got = {(r.a, r.b) for r in neardup._block_pairs(entries, neardup._open(entries), sketches, 100, 85).collect()}
         assert got == {(i, i + 1) for i in range(0, 700, 2) if i // 2 % 3 and i // 2 % 5}  # the others differ in size or share an earlier band
+    joined = entries.withColumn("component", F.when(F.col("id") < 600, 0).otherwise(F.col("id")))
+    got = {(r.a, r.b) for r in neardup._block_pairs(joined, neardup._open(joined), sketches, 100, 85).collect()}
+    assert got == {(i, i + 1) for i in range(600, 700, 2) if i // 2 % 3 and i // 2 % 5}
 
 
 def test_units_encode_like_the_library(documents):
