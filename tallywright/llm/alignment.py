@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tallywright.llm.blocks import answered, pack_small, pack_sorted, tally, totals, unpack_small, unpack_sorted
 from tallywright.llm.common import cut, query, read
 from tallywright.llm.textscan import mix
+from tallywright.llm.tokens import encoded
 
 #: characters aligned together, groups of a block
 GROUP_CHARS, BLOCK_GROUPS = 1 << 20, 1 << 20
@@ -52,24 +53,23 @@ class Side:
             self.pieces = SentencePieceProcessor(model_file=path)
             self.entries = [bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace("▁", " ").encode()
                             for i, p in ((i, self.pieces.id_to_piece(i)) for i in range(self.pieces.get_piece_size()))]
-            self.encode = lambda texts: self.pieces.encode(texts, num_threads=1)
+            self.encode = lambda texts: (np.asarray(ids, np.int64) for ids in self.pieces.encode(texts, num_threads=1))
         else:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
 
             library = Tokenizer.from_file(path)
-            library.encode_special_tokens = True
             # a byte-level vocabulary writes printable bytes as themselves and the others, in order, from U+0100 on
             plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
             byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
             self.entries = [b""] * library.get_vocab_size()
             for entry, i in library.get_vocab().items():
                 self.entries[i] = bytes(byte_of[c] for c in entry) if all(c in byte_of for c in entry) else entry.encode()
-            self.encode = lambda texts: [e.ids for e in library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+            self.encode = lambda texts: encoded(texts, path, lead=True, plain_specials=True)
         self.size = np.fromiter(map(len, self.entries), np.int64, len(self.entries))
 
-    def spelled(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.entries.__getitem__, ids))
+    def spelled(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.entries.__getitem__, np.asarray(ids).tolist()))
 
 
 @lru_cache(maxsize=4)
@@ -129,8 +129,8 @@ class Aligned:
         for i, text, a, b in zip(some, full, left.encode(full), right.encode(full), strict=True):
             raw = (" " + text).encode()
             if left.spelled(a) == raw == right.spelled(b):
-                kept_a.append(np.asarray(a, np.int64))
-                kept_b.append(np.asarray(b, np.int64))
+                kept_a.append(a.astype(np.int64))
+                kept_b.append(b)
                 self.docs.append(i)
                 self.n_a[i], self.n_b[i] = len(a), len(b)
         none = [np.zeros(0, np.int64)]

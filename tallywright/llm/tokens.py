@@ -39,7 +39,9 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    """lead: every text stands behind a space. plain_specials: strings of special tokens in a text are plain text."""
+
+    def __init__(self, path: str, lead: bool = False, plain_specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -48,6 +50,8 @@ class Encoder:
         self.for_units = Tokenizer.from_file(path)
         if hasattr(self.for_units.model, "_resize_cache"):
             self.for_units.model._resize_cache(0)
+        self.lead = " " * lead
+        self.tokenizer.encode_special_tokens = self.for_units.encode_special_tokens = plain_specials
         told = json.loads(self.tokenizer.to_str())
         before = told.get("pre_tokenizer") or {}
         self.by_units = (told.get("normalizer") is None and before.get("type") == "ByteLevel" and not before.get("add_prefix_space")
@@ -109,7 +113,7 @@ class Encoder:
 
     def group(self, texts: list[str]) -> Iterator[bytes]:
         if not self.by_units:
-            yield from map(self.whole, texts)
+            yield from (self.whole(self.lead + t) if t else b"" for t in texts)
             return
         raws = [t.encode() for t in texts]
         scan = Scan(raws)
@@ -125,7 +129,7 @@ class Encoder:
         sound[some] &= (scan.starts[head] == scan.begins[some]) & (scan.stops[tail] == scan.ends[some])
         sound &= np.fromiter((_ODD_SPACE.search(t) is None for t in texts), bool, n)
         at = np.flatnonzero(sound[scan.doc])
-        kind = np.where(first, START, np.where(before == 32, SPACE, FEED))[at]
+        kind = np.where(first, SPACE if self.lead else START, np.where(before == 32, SPACE, FEED))[at]
         key, place, unit = np.unique(mix(scan.word_hashes()[at] + kind.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), return_index=True, return_inverse=True)
         names = key.tolist()
         found = list(map(self.kept.get, names))
@@ -146,17 +150,17 @@ class Encoder:
         count = np.bincount(scan.doc[at], weights=wide, minlength=n).astype(np.int64)
         stop = np.cumsum(count)
         for i, text in enumerate(texts):
-            yield out[stop[i] - count[i] : stop[i]].tobytes() if sound[i] else self.whole(text) if text else b""
+            yield out[stop[i] - count[i] : stop[i]].tobytes() if sound[i] else self.whole(self.lead + text) if text else b""
 
 
 @lru_cache(maxsize=2)
-def load(path: str) -> Encoder:
-    return Encoder(path)
+def load(path: str, lead: bool = False, plain_specials: bool = False) -> Encoder:
+    return Encoder(path, lead, plain_specials)
 
 
-def encoded(texts: Iterable[str | None], path: str) -> Iterator[np.ndarray]:
-    """uint32 ids of each text in order; null reads as empty."""
-    encoder, group, size = load(path), [], 0
+def encoded(texts: Iterable[str | None], path: str, lead: bool = False, plain_specials: bool = False) -> Iterator[np.ndarray]:
+    """uint32 ids of each text in order; null reads as empty, and an empty text has no ids."""
+    encoder, group, size = load(path, lead, plain_specials), [], 0
     for text in texts:
         group.append(text or "")
         size += len(group[-1])
