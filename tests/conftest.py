@@ -8,10 +8,12 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[8]").appName("tallywright-tests")
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.ui.enabled", "false")
+               .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
+               .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
                .config("spark.driver.memory", "8g")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true")
