@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.llm.blocks import answered, pack_small, pack_sorted, tally, totals, unpack_small, unpack_sorted
-from tallywright.llm.common import cut, query, read
+from tallywright.llm.blocks import answered, bucketed, pack_small, pack_sorted, tally, totals, unpack_small, unpack_sorted
+from tallywright.llm.common import query, read
 from tallywright.llm.textscan import mix
 from tallywright.llm.tokens import encoded
 
@@ -263,7 +263,7 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         if held.columns[0]:
             yield held.batch()
 
-    return cut(_chosen(docs).mapInArrow(run, BLOCK_SCHEMA))
+    return bucketed(_chosen(docs).mapInArrow(run, BLOCK_SCHEMA))
 
 
 def alignment(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import os
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,16 +21,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import cut
+from tallywright.llm.common import fresh_folder
 from tallywright.llm.textscan import SPACE, Scan, chunks, combine
 
 #: words of a block, and keys summed together in one group
 BLOCK_WORDS, RANGE_KEYS = 1 << 20, 1 << 20
 
-BLOCK_SCHEMA = "block long, n long, doc_ids array<long>, tags array<string>, sizes binary, vocabulary binary, words binary, breaks binary, spelled binary"
+BLOCK_SCHEMA = ("block long, n long, doc_ids array<long>, tags array<string>, sizes binary, vocabulary binary, words binary, breaks binary, spelled binary, "
+                "measures binary")
 REQUEST_SCHEMA = "range long, block long, tag long, keys binary, counts binary"
 
 
+def bucketed(df: DataFrame) -> DataFrame:
+    """The rows written once as a table in the shared folder, dealt by their column `block`: what is told to blocks then meets them without
+    the blocks being shuffled again."""
+    spark = df.sparkSession
+    path, name = fresh_folder(spark, "blocks"), f"blocks_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, "block").option("path", path).option("compression", "zstd").saveAsTable(name)
+    return spark.table(name)
+
+
 def pack_sorted(keys: np.ndarray) -> bytes:
     """Sorted uint64 values as differences of equal width."""
     if not len(keys):
@@ -78,6 +90,8 @@ class Block:
         n = len(self.words)
         raw = table.column("breaks")[row].as_py()
         self.breaks = np.unpackbits(np.frombuffer(raw, np.uint8), count=n).astype(bool) if raw is not None else None
+        raw = table.column("measures")[row].as_py()
+        self.measures = unpack_small(raw).astype(np.int64).reshape(len(self.sizes), -1) if raw and len(self.sizes) else None
         raw = table.column("spelled")[row].as_py()
         self.spelled = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True).split(b"\n") if raw else None
 
@@ -106,34 +120,36 @@ class Block:
 
 
 def word_blocks(docs: DataFrame, tag: str | None = None, space: np.ndarray = SPACE, breaking: np.ndarray | None = None,
-                of_words: Callable[[np.ndarray, list, np.ndarray], np.ndarray] | None = None, spelled: bool = False) -> DataFrame:
-    """Blocks of the lower-cased words of docs (doc_id, text), written once.
+                of_words: Callable[[np.ndarray, list, np.ndarray], np.ndarray] | None = None, spelled: bool = False, lower: bool = True,
+                of_docs: Callable[[Scan, list[bytes]], np.ndarray] | None = None) -> DataFrame:
+    """Blocks of the (lower-cased) words of docs (doc_id, text), written once.
 
     tag: a string column carried for each document. space: which bytes part words. breaking: bytes after which a word starts a new piece.
     of_words(hashes, tags of some documents, document of each word) may change the word hashes.
-    spelled: keep the vocabulary as text too.
+    spelled: keep the vocabulary as text too. of_docs(scan, encoded texts) gives whole numbers to keep of each document, a row each.
     """
     limit = BLOCK_WORDS
     chosen = [F.col("doc_id").cast("long").alias("doc_id"), F.col(tag).cast("string").alias("tag") if tag else F.lit(None).cast("string").alias("tag"), "text"]
 
-    def made(ids: list, tags: list, sizes: list, hashes: list, breaks: list, texts: dict) -> pa.RecordBatch:
+    def made(ids: list, tags: list, sizes: list, hashes: list, breaks: list, texts: dict, measures: list) -> pa.RecordBatch:
         hashed = np.concatenate(hashes)
         vocabulary, words = np.unique(hashed, return_inverse=True)
         joined = b"\n".join(texts[h] for h in vocabulary.tolist()) if spelled else b""
         row = [int.from_bytes(os.urandom(8), "little", signed=True), len(hashed), ids, tags, pack_small(np.concatenate(sizes)), pack_sorted(vocabulary), pack_small(words),
                np.packbits(np.concatenate(breaks)).tobytes() if breaking is not None else None,
-               len(joined).to_bytes(8, "little") + pa.compress(joined, codec="zstd", asbytes=True) if spelled else None]
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), *[pa.binary()] * 5]
+               len(joined).to_bytes(8, "little") + pa.compress(joined, codec="zstd", asbytes=True) if spelled else None,
+               pack_small(np.concatenate(measures).ravel()) if of_docs else None]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), *[pa.binary()] * 6]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)],
-                                          names=["block", "n", "doc_ids", "tags", "sizes", "vocabulary", "words", "breaks", "spelled"])
+                                          names=["block", "n", "doc_ids", "tags", "sizes", "vocabulary", "words", "breaks", "spelled", "measures"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = [[], [], [], [], [], {}]
+        held: list = [[], [], [], [], [], {}, []]
         n = 0
         for batch in batches:
             ids, tags = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for first, raws in chunks(t.as_py() for t in batch.column(2)):
-                scan = Scan(raws, lower=True, space=space)
+                scan = Scan(raws, lower=lower, space=space)
                 hashed = scan.word_hashes()
                 mine = tags[first : first + len(raws)]
                 held[0] += ids[first : first + len(raws)]
@@ -149,14 +165,16 @@ def word_blocks(docs: DataFrame, tag: str | None = None, space: np.ndarray = SPA
                     for h, a, b in zip(of.tolist(), scan.starts[at].tolist(), scan.stops[at].tolist(), strict=True):
                         if h not in known:
                             known[h] = raw[a:b]
+                if of_docs:
+                    held[6].append(of_docs(scan, raws))
                 n += len(hashed)
                 if n >= limit:
                     yield made(*held)
-                    held, n = [[], [], [], [], [], {}], 0
+                    held, n = [[], [], [], [], [], {}, []], 0
         if held[0]:
             yield made(*held)
 
-    return cut(docs.select(*chosen).mapInArrow(run, BLOCK_SCHEMA))
+    return bucketed(docs.select(*chosen).mapInArrow(run, BLOCK_SCHEMA))
 
 
 def n_words(blocks: DataFrame) -> int:
@@ -169,7 +187,7 @@ def tally(blocks: DataFrame, n_keys: int, requests: Callable[..., Iterator[tuple
           together: int = 0, told: DataFrame | None = None) -> DataFrame:
     """range, block, keys, values: what each block is told about its keys.
 
-    requests(table of one row of `blocks`), with `told` also (keys, values) of what the block was told before, gives (block, tag, sorted distinct keys below 2^bits, counts). answer(keys, counts, tags, origin) sees all
+    requests(table of one row of `blocks`), with `told` also (keys, values) of what the block was told before, gives (block, tag, sorted distinct keys below 2^bits, counts: one a key, or a row a key). answer(keys, counts, tags, origin) sees all
     entries of one range, sorted by key and then by origin (a number for each request), and gives (which entries are told, their values).
     n_keys bounds the number of all entries; it sets the number of ranges. Keys that differ only in their `together` lowest bits share a range.
     """
@@ -183,7 +201,7 @@ def tally(blocks: DataFrame, n_keys: int, requests: Callable[..., Iterator[tuple
             ends = np.append(cuts[1:], len(keys))[: len(cuts)]
             yield pa.table({"range": where[cuts], "block": np.full(len(cuts), block, np.int64), "tag": np.full(len(cuts), tag, np.int64),
                             "keys": pa.array([pack_sorted(keys[a:b]) for a, b in zip(cuts, ends, strict=True)], pa.binary()),
-                            "counts": pa.array([pack_small(counts[a:b]) for a, b in zip(cuts, ends, strict=True)], pa.binary())})
+                            "counts": pa.array([pack_small(counts[a:b].ravel()) for a, b in zip(cuts, ends, strict=True)], pa.binary())})
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,7 +215,7 @@ def tally(blocks: DataFrame, n_keys: int, requests: Callable[..., Iterator[tuple
         sizes = np.fromiter(map(len, keys), np.int64, len(keys))
         origin = np.repeat(np.arange(len(keys)), sizes)
         key = np.concatenate(keys)
-        count = np.concatenate([unpack_small(c.as_py()).astype(np.int64) for c in table.column("counts")])
+        count = np.concatenate([_rows(unpack_small(c.as_py()).astype(np.int64), n) for c, n in zip(table.column("counts"), sizes.tolist(), strict=True)])
         tag = np.repeat(table.column("tag").to_numpy(), sizes)
         order = np.argsort(key, kind="stable")
         key, count, origin, tag = key[order], count[order], origin[order], tag[order]
@@ -209,7 +227,7 @@ def tally(blocks: DataFrame, n_keys: int, requests: Callable[..., Iterator[tuple
         some = np.flatnonzero(np.diff(ends))
         return pa.table({"range": table.column("range").take(pa.array(some)), "block": table.column("block").take(pa.array(some)),
                          "keys": pa.array([pack_sorted(key[ends[i] : ends[i + 1]]) for i in some], pa.binary()),
-                         "values": pa.array([pack_small(value[ends[i] : ends[i + 1]]) for i in some], pa.binary())})
+                         "values": pa.array([pack_small(value[ends[i] : ends[i + 1]].ravel()) for i in some], pa.binary())})
 
     if told is None:
         sent = blocks.mapInArrow(send, REQUEST_SCHEMA)
@@ -218,20 +236,27 @@ def tally(blocks: DataFrame, n_keys: int, requests: Callable[..., Iterator[tuple
     return sent.groupBy("range").applyInArrow(summed, "range long, block long, keys binary, values binary")
 
 
+def _rows(flat: np.ndarray, n: int) -> np.ndarray:
+    """Numbers of n keys: one each, or a row each."""
+    return flat if len(flat) == n else flat.reshape(n, -1)
+
+
 def totals(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the distinct key of each entry, sum of each distinct key) of sorted keys."""
+    """(index of the distinct key of each entry, sum of each distinct key) of sorted keys; counts may be rows."""
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
-    at = np.cumsum(new) - 1
-    return at, np.bincount(at, weights=count).astype(np.int64)
+    return np.cumsum(new) - 1, np.add.reduceat(count, np.flatnonzero(new), axis=0)
 
 
 def answered(blocks: DataFrame, answers: DataFrame, fn: Callable[[pa.Table, np.ndarray, np.ndarray], pa.Table], schema: str) -> DataFrame:
     """fn(block row, sorted keys, their values) of every block with what it was told."""
 
     def meet(block: pa.Table, told: pa.Table) -> pa.Table:
-        keys = np.concatenate([unpack_sorted(k.as_py()) for k in told.column("keys")] or [np.zeros(0, np.uint64)])
-        values = np.concatenate([unpack_small(v.as_py()).astype(np.int64) for v in told.column("values")] or [np.zeros(0, np.int64)])
+        keys = [unpack_sorted(k.as_py()) for k in told.column("keys")]
+        sizes = list(map(len, keys))
+        keys = np.concatenate(keys or [np.zeros(0, np.uint64)])
+        values = [unpack_small(v.as_py()).astype(np.int64) for v in told.column("values")]
+        values = np.concatenate([_rows(v, n) for v, n in zip(values, sizes, strict=True)] or [np.zeros(0, np.int64)])
         order = np.argsort(keys, kind="stable")
         return fn(block, keys[order], values[order])
 
