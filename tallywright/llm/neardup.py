@@ -8,9 +8,11 @@
 3. Classes that share a band key are candidates. First, in every bucket of a band the smallest id is a pivot and meets all others. Twice more a
    bucket that still holds several components has a pivot of its own, by a hash, which meets the members of other components. In buckets that are
    open even then, the members outside the largest component of the bucket meet all others, in blocks of bounded size inside
-   the tasks: every pair of two components that has not been looked at before. Only pairs that pass the sketch leave any of these steps.
+   the tasks: every pair of two components that has not been looked at before. Only pairs that pass the sketch leave any of these steps, and the last one
+   only those whose sets of 24-bit hashes are similar enough too: they never hide a shared shingle, and a group of texts just below the
+   similarity would otherwise give pairs by its square.
 4. After each step its pairs are confirmed on full shingle sets, streamed past one of the two with a bounded number of partners, and
-   components are formed from what is confirmed. The texts of all candidates are set apart once. Nothing is left to look at after the last step.
+   components are formed from what is confirmed. The sets of all candidates are set apart once. Nothing is left to look at after the last step.
 
 A pair at the wanted similarity shares no band with probability `MISS` at most, and its sketch fails with `MISS` at most: bands and the
 limit of differing bits are computed from that rate. At 0.85 these are 40 bands of 8 rows, at 0.8 they are 55 of 7.
@@ -160,7 +162,7 @@ def _pivot_pairs(rows: DataFrame, step: int) -> DataFrame:
     return met.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
 
 
-def _block_pairs(rows: DataFrame, heads: DataFrame, sketches: DataFrame, bits: int, pct: int) -> DataFrame:
+def _block_pairs(rows: DataFrame, heads: DataFrame, sketches: DataFrame, sets: DataFrame, bits: int, pct: int) -> DataFrame:
     """Pairs of two components in the same bucket that pass the sketch: members outside the main component with all, over blocks of BLOCK of each.
 
     A pair comes from the first band that it shares and from no other: that bucket is open too, as it holds both.
@@ -168,13 +170,14 @@ def _block_pairs(rows: DataFrame, heads: DataFrame, sketches: DataFrame, bits: i
     heads = heads.select("bucket", "main", F.ceil(F.col("size") / BLOCK).cast("int").alias("rights"), F.ceil(F.col("outside") / BLOCK).cast("int").alias("lefts"))
     # a sketch is attached once to an id, which has at most one bucket of each band
     mine = rows.join(heads, "bucket").groupBy("id").agg(F.collect_list(F.struct("bucket", "band", "component", "main", "rights", "lefts")).alias("places"))
-    members = mine.join(sketches, "id").select("id", "n", "sketch", "bands", F.explode("places").alias("at")).select("id", "n", "sketch", "bands", "at.*")
+    narrow = sketches.select("id", "n", "sketch", F.transform("bands", lambda b: b.cast("int")).alias("bands")).join(sets.select("id", "short"), "id")
+    members = mine.join(narrow, "id").select("id", "n", "sketch", "bands", "short", F.explode("places").alias("at")).select("id", "n", "sketch", "bands", "short", "at.*")
     spread = lambda parts: F.pmod(F.xxhash64("id"), F.col(parts)).cast("int")
     upto = lambda parts: F.sequence(F.lit(0), F.col(parts) - 1)
     right = F.transform(upto("lefts"), lambda x: F.struct(x.alias("i"), spread("rights").alias("j"), F.lit(False).alias("outside")))
     left = F.transform(upto("rights"), lambda x: F.struct(spread("lefts").alias("i"), x.alias("j"), F.lit(True).alias("outside")))
     dealt = members.withColumn("to", F.explode(F.when(F.col("component") != F.col("main"), F.concat(right, left)).otherwise(right)))
-    dealt = dealt.select("bucket", "to.i", "to.j", "band", "to.outside", "id", "component", "main", "n", "sketch", "bands")
+    dealt = dealt.select("bucket", "to.i", "to.j", "band", "to.outside", "id", "component", "main", "n", "sketch", "bands", "short")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches):
@@ -186,7 +189,11 @@ def _block_pairs(rows: DataFrame, heads: DataFrame, sketches: DataFrame, bits: i
             begin = np.flatnonzero(new)
             made = [np.zeros((0, 2), np.int64)]
             for a, b in zip(begin.tolist(), np.append(begin[1:], len(ids)).tolist(), strict=True):
-                made.append(_passing(left[a:b], ids[a:b], comp[a:b], main[a], n[a:b], sketch[a:b], bands[a:b], band[a], bits, pct))
+                near = _passing(left[a:b], ids[a:b], comp[a:b], main[a], n[a:b], sketch[a:b], bands[a:b], band[a], bits, pct)
+                if len(near):
+                    short = [np.frombuffer(raw, np.uint32) for raw in t.column("short").slice(a, b - a).to_pylist()]
+                    near = near[[_may_share(short[x], short[y], n[a + x], n[a + y], pct) for x, y in near.tolist()]]
+                made.append(ids[a:b][near])
             found = np.sort(np.concatenate(made), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], names=["a", "b"])
 
@@ -216,52 +223,68 @@ def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _passing(left: np.ndarray, ids: np.ndarray, comp: np.ndarray, main: int, n: np.ndarray, sketch: np.ndarray, bands: np.ndarray, band: int, bits: int,
              pct: int) -> np.ndarray:
-    """Pairs of one block that belong to two components, are near enough in size, share no earlier band and pass the sketch."""
+    """Places of pairs of one block that belong to two components, are near enough in size, share no earlier band and pass the sketch."""
     right, found = np.flatnonzero(~left), [np.zeros((0, 2), np.int64)]
     for x in np.flatnonzero(left):
         at = right[(comp[right] != comp[x]) & ((comp[right] == main) | (ids[right] > ids[x])) & (100 * np.minimum(n[right], n[x]) >= pct * np.maximum(n[right], n[x]))]
         at = at[np.bitwise_count(sketch[at] ^ sketch[x]).sum(axis=1) <= bits]
         at = at[(bands[at, :band] != bands[x, :band]).all(axis=1)]
-        found.append(np.stack([np.full(len(at), ids[x]), ids[at]], 1))
+        found.append(np.stack([np.full(len(at), x), at], 1))
     return np.concatenate(found)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, width: int, similarity_pct: int) -> DataFrame:
-    """a, b of pairs whose full sets have 100 * intersection >= similarity_pct * union; texts: id, text of all of them.
+def _may_share(a: np.ndarray, b: np.ndarray, n: int, m: int, pct: int) -> bool:
+    """Whether sets of n and m shingles with these sorted short hashes can be similar enough; hashes that fall together inside a set count as shared."""
+    both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum()) + min(n - len(a), m - len(b))
+    return 100 * both >= pct * (n + m - both)
 
-    The partners of a stream past it in groups of PARTNERS at most, one text at a time.
+
+def full_sets(texts: DataFrame, width: int) -> DataFrame:
+    """id, tokens (sorted hashes of all shingles), short (sorted distinct 24-bit parts of them) of texts (id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, raws in chunks(t.as_py() for t in batch.column(1)):
+                doc, value = shingles(Scan(raws, lower=True), width)
+                ends = np.searchsorted(doc, np.arange(len(raws) + 1))
+                tokens = [value[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(raws)), pa.array([x.tobytes() for x in tokens], pa.binary()),
+                                                  pa.array([np.unique((x >> np.uint64(40)).astype(np.uint32)).tobytes() for x in tokens], pa.binary())], names=["id", "tokens", "short"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, tokens binary, short binary")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity_pct: int) -> DataFrame:
+    """a, b of pairs whose full sets have 100 * intersection >= similarity_pct * union; sets: id, tokens of all of them.
+
+    The partners of a stream past it in groups of PARTNERS at most, one set at a time.
     """
     load = cut(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("cuts")))
     member = pairs.join(load, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("cuts")).cast("int").alias("part"), F.lit(1).alias("role"))
     heads = load.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("part"), F.lit(0).alias("role"))
-    rows = member.unionByName(heads).join(texts, "id").repartition("a", "part").sortWithinPartitions("a", "part", "role")
+    rows = member.unionByName(heads).join(sets.select("id", "tokens"), "id").repartition("a", "part").sortWithinPartitions("a", "part", "role")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, bases = None, []
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("a", "part", "role", "id")), strict=True))
             found = []
-            for first, raws in chunks(t.as_py() for t in batch.column(4)):
-                doc, value = shingles(Scan(raws, lower=True), width)
-                ends = np.searchsorted(doc, np.arange(len(raws) + 1))
-                for i in range(len(raws)):
-                    a, part, role, other = keys[first + i]
-                    mine = value[ends[i] : ends[i + 1]]
-                    if group != (a, part):
-                        group, bases = (a, part), []
-                    if role == 0:
-                        bases.append(mine)  # an id that comes with several texts has several sets
-                        continue
-                    for base in bases:
-                        if len(base) and len(mine):
-                            both = int((base[np.minimum(np.searchsorted(base, mine), len(base) - 1)] == mine).sum())
-                            if both and 100 * both >= similarity_pct * (len(base) + len(mine) - both):
-                                found.append((a, other))
-                                break
+            for a, part, role, other, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "part", "role", "id", "tokens")), strict=True):
+                mine = np.frombuffer(raw, np.uint64)
+                if group != (a, part):
+                    group, bases = (a, part), []
+                if role == 0:
+                    bases.append(mine)  # an id that comes with several texts has several sets
+                    continue
+                for base in bases:
+                    if len(base) and len(mine):
+                        both = int((base[np.minimum(np.searchsorted(base, mine), len(base) - 1)] == mine).sum())
+                        if both and 100 * both >= similarity_pct * (len(base) + len(mine) - both):
+                            found.append((a, other))
+                            break
             made = np.array(found, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(made[:, 0].copy()), pa.array(made[:, 1].copy())], names=["a", "b"])
 
-    return rows.select("a", "part", "role", "id", "text").mapInArrow(compare, "a long, b long").distinct()
+    return rows.select("a", "part", "role", "id", "tokens").mapInArrow(compare, "a long, b long").distinct()
 
 
 def classes_and_links(docs: DataFrame, width: int = 3, similarity_pct: int = 85) -> tuple[DataFrame, DataFrame]:
@@ -280,16 +303,17 @@ def classes_and_links(docs: DataFrame, width: int = 3, similarity_pct: int = 85)
     shared = cut(exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"))
     entries = cut(exploded.join(shared, "bucket"))
     bits = most_bits(similarity_pct / 100, bands * per_band)
-    texts = cut(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(entries.select("id").distinct(), "id", "left_semi"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(entries.select("id").distinct(), "id", "left_semi")
+    sets = cut(full_sets(texts, width))
     rows = entries.withColumn("component", F.col("id"))
     looked = links = components = None
     for step in range(PIVOT_STEPS + 2):
         if step <= PIVOT_STEPS:
             pairs = _sifted(_pivot_pairs(rows, step), sketches, bits, similarity_pct)
         else:
-            pairs = _block_pairs(rows, cut(_open(rows)), sketches, bits, similarity_pct)
+            pairs = _block_pairs(rows, cut(_open(rows)), sketches, sets, bits, similarity_pct)
         fresh = cut(pairs if looked is None else pairs.join(looked, ["a", "b"], "left_anti"))
-        found = cut(confirmed(fresh, texts, width, similarity_pct))
+        found = cut(confirmed(fresh, sets, similarity_pct))
         looked = fresh if looked is None else looked.unionByName(fresh)
         links = found if links is None else links.unionByName(found)
         if components is None or not found.isEmpty():

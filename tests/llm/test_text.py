@@ -1,16 +1,18 @@
 """Operators that read texts in batches: rules, languages, classifier, near-duplicates, tokens, packing."""
 
 import itertools
+import math
+import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallywright.llm import classifier, languages, neardup, packing, quality_rules, textscan, tokenfiles, tokens
+from tallywright.llm import blocks, classifier, languages, neardup, packing, quality_rules, textscan, tokenfiles, tokens
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ODD_TEXTS = ["", "\n", " a", "a ", "a  b", "\na", "a\n", "a\n\nb", "a \n b", "x  y", "x  y", "don't 's it's. we'll, O'", "a\0b c", "é\n è! ü.",
@@ -79,10 +81,61 @@ def test_word_order_counts_and_the_model_grows(spark):
     plain = sum(got[i].kept for i in range(300))
     assert plain >= 290 and not any(got[i].kept for i in range(300, 312))
     assert max(got[i].perplexity for i in range(312, 324)) < min(got[i].perplexity for i in range(300, 312))
-    windows = {tuple(w[i : i + 3]) for _, t, _ in rows for w in [["", "", *t.split()]] for i in range(len(w) - 2)}
-    words, t1, d1 = quality_rules.word_model(docs)
-    assert words.count() == len(windows) and d1 == len({w[2] for w in windows})
-    assert t1 == sum(len({tuple(w[i : i + 3]) for i in range(len(w) - 2)}) for _, t, _ in rows for w in [["", "", *t.split()]])
+
+
+def plain_log_ppl(rows, table):
+    """Log-perplexity per character of each text by a modified Kneser-Ney pair model of the other texts, counted by plain loops."""
+    texts = [[(lang or "und", w) for w in WORD.findall(text or "")] for _, text, lang in rows]
+    pairs = [Counter(zip([("", "")] + t, t, strict=False)) for t in texts]
+    spell = {}
+    for w in {w for t in texts for _, w in t}:
+        scan = textscan.Scan([b" " + w.encode() + b" "])
+        spell[w] = math.exp(max(float(table[quality_rules.grams(scan)[0]].astype(float)[1:].sum()), -600.0))
+
+    def tables(counts):
+        total, follow, before = Counter(), defaultdict(Counter), Counter()
+        for (a, b), c in counts.items():
+            total[a] += c
+            follow[a][min(c, 3)] += 1
+            before[b] += 1
+        return total, follow, before
+
+    everything = sum(pairs, Counter())
+    _, _, before = tables(everything)
+    of = lambda values: quality_rules.discounts([sum(v == i for v in values) for i in (1, 2, 3, 4)])
+    d2, d1 = of(list(everything.values())), of(list(before.values()))
+    out = {}
+    for (doc_id, _, _), words, own in zip(rows, texts, pairs, strict=True):
+        if not words:
+            out[doc_id] = None
+            continue
+        others = everything - own
+        total, follow, before = tables(others)
+        freed1 = sum(d1[k] * sum(min(v, 3) == k for v in before.values()) for k in (1, 2, 3)) / max(1, len(others)) if others else 1.0
+        cost = 0.0
+        for a, b in zip([("", "")] + words, words, strict=False):
+            p = max(before[b] - d1[min(before[b], 3)], 0) / max(1, len(others)) + freed1 * spell[b[1]]
+            if total[a]:
+                c = others[a, b]
+                p = max(c - d2[min(c, 3)], 0) / total[a] + sum(d2[k] * follow[a][k] for k in (1, 2, 3)) / total[a] * p
+            cost -= math.log(p)
+        out[doc_id] = cost / sum(len(w) + 1 for _, w in words)
+    return out
+
+
+def test_perplexity_is_modified_kneser_ney_by_the_other_texts(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_WORDS", 150)
+    monkeypatch.setattr(blocks, "RANGE_KEYS", 200)
+    rng = random.Random(31)
+    words = "alpha Beta gamma delta é 日本 x y z of the".split()
+    rows = [(i, " ".join(rng.choices(words, [9, 7, 5, 4, 3, 3, 2, 1, 1, 8, 9], k=rng.randrange(1, 60))), rng.choice(["en", "de", None])) for i in range(60)]
+    rows += [(100, rows[0][1], rows[0][2]), (101, "quite unknown words", "en"), (102, "", "en"), (103, None, None), (104, "alone", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = plain_log_ppl(rows, quality_rules.fit(docs).table())
+    got = {r.doc_id: r.perplexity for r in quality_rules.verdicts(docs).collect()}
+    assert got.keys() == want.keys()
+    for i, p in got.items():
+        assert p is None if want[i] is None else math.log(p) == pytest.approx(want[i], rel=1e-6)
 
 
 def test_languages_on_held_out_and_odd_rows(documents, odd, nothing):
@@ -207,13 +260,29 @@ def test_block_pairs_find_every_near_pair(spark, monkeypatch):
     sketches = spark.createDataFrame([(i, 100 - 30 * (i // 2 % 3 == 0) * (i % 2), s.tolist(), [5 if i // 2 % 5 == 0 else i, 7]) for i, s in enumerate(sketch)],
                                      "id long, n long, sketch array<long>, bands array<long>")
     entries = spark.createDataFrame([(7, 1, i, i) for i in range(700)], "bucket long, band int, id long, component long")
+    short = [np.arange(100, dtype=np.uint32) + 50 * (i // 2 % 7 == 0) * (i % 2) for i in range(700)]
+    sets = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(short)], "id long, short binary")
+    near = lambda i: i // 2 % 3 and i // 2 % 5 and i // 2 % 7  # noqa: E731 the others differ in size or in their sets, or share an earlier band
     for block in (1024, 90):
         monkeypatch.setattr(neardup, "BLOCK", block)
-        got = {(r.a, r.b) for r in neardup._block_pairs(entries, neardup._open(entries), sketches, 100, 85).collect()}
-        assert got == {(i, i + 1) for i in range(0, 700, 2) if i // 2 % 3 and i // 2 % 5}  # the others differ in size or share an earlier band
+        got = {(r.a, r.b) for r in neardup._block_pairs(entries, neardup._open(entries), sketches, sets, 100, 85).collect()}
+        assert got == {(i, i + 1) for i in range(0, 700, 2) if near(i)}
     joined = entries.withColumn("component", F.when(F.col("id") < 600, 0).otherwise(F.col("id")))
-    got = {(r.a, r.b) for r in neardup._block_pairs(joined, neardup._open(joined), sketches, 100, 85).collect()}
-    assert got == {(i, i + 1) for i in range(600, 700, 2) if i // 2 % 3 and i // 2 % 5}
+    got = {(r.a, r.b) for r in neardup._block_pairs(joined, neardup._open(joined), sketches, sets, 100, 85).collect()}
+    assert got == {(i, i + 1) for i in range(600, 700, 2) if near(i)}
+
+
+def test_short_hashes_hide_no_shared_shingle():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        n, m, both = rng.integers(1, 60, 3)
+        both = min(n, m, both)
+        a, b = np.unique(rng.integers(0, 40, n)).astype(np.uint32), None
+        full = rng.permutation(400)[: n + m - both]
+        left, right = full[:n], full[n - both :]
+        a, b = np.unique(left % 40).astype(np.uint32), np.unique(right % 40).astype(np.uint32)
+        if 100 * both >= 85 * (n + m - both):
+            assert neardup._may_share(a, b, n, m, 85)
 
 
 def test_units_encode_like_the_library(documents):
