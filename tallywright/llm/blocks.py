@@ -248,16 +248,19 @@ def totals(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(new) - 1, np.add.reduceat(count, np.flatnonzero(new), axis=0)
 
 
+def told_of(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and their values (a row each where there are several) of what one block was told."""
+    keys = [unpack_sorted(k.as_py()) for k in answers.column("keys")]
+    values = [_rows(unpack_small(v.as_py()).astype(np.int64), len(k)) for v, k in zip(answers.column("values"), keys, strict=True)]
+    keys, values = np.concatenate(keys or [np.zeros(0, np.uint64)]), np.concatenate(values or [np.zeros(0, np.int64)])
+    order = np.argsort(keys, kind="stable")
+    return keys[order], values[order]
+
+
 def answered(blocks: DataFrame, answers: DataFrame, fn: Callable[[pa.Table, np.ndarray, np.ndarray], pa.Table], schema: str) -> DataFrame:
     """fn(block row, sorted keys, their values) of every block with what it was told."""
 
     def meet(block: pa.Table, told: pa.Table) -> pa.Table:
-        keys = [unpack_sorted(k.as_py()) for k in told.column("keys")]
-        sizes = list(map(len, keys))
-        keys = np.concatenate(keys or [np.zeros(0, np.uint64)])
-        values = [unpack_small(v.as_py()).astype(np.int64) for v in told.column("values")]
-        values = np.concatenate([_rows(v, n) for v, n in zip(values, sizes, strict=True)] or [np.zeros(0, np.int64)])
-        order = np.argsort(keys, kind="stable")
-        return fn(block, keys[order], values[order])
+        return fn(block, *told_of(told))
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, schema)
