@@ -1,12 +1,13 @@
 """Mixing sources to target weights by nested hash thresholds, without a sort of the documents.
 
-Each document has a fixed 60-bit place on a line, the leading digits of the md5 of its id. Per source, word counts are summed in
+Each document has a fixed 60-bit place on a line, the leading digits of an md5 of its id, its text and, among rows equal in both, a running
+number; such rows are set apart and numbered per input partition, with what the partitions before hold added. Per source, word counts are summed in
 1,024 buckets of that line; running sums of the buckets show in which one a budget ends. Only documents of that boundary bucket are
 summed again, by the next ten bits, and so on through all six levels; the place reached is the threshold, and a filter on it is
 the whole selection. Thresholds of growing budgets are nested: a document taken for a small budget is taken for every larger one.
 
-Defined cases: null or wordless texts have size 0 and are taken 0 words; documents without a source form the last source; rows that
-share an id share a place and are taken together; a source of size 0 has target 0; an empty table gives no rows.
+Defined cases: null or wordless texts have size 0 and are taken 0 words; documents without a source form the last source; rows
+without an id or with one id have places of their own, also where their texts are equal; a source of size 0 has target 0; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,12 +22,33 @@ LEVEL_BITS, LEVELS = 10, 6
 PLACE_BITS = LEVEL_BITS * LEVELS
 
 
-def place(doc_id: Column) -> Column:
-    """The first 15 hex digits of md5 of the id as text, as a long; a null id counts as an empty one."""
-    digits = F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, 15)
+def mark(doc_id: Column, text: Column) -> Column:
+    """A text form of id and text; null counts as empty."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
+def place(of: Column, nth: Column) -> Column:
+    """The first 15 hex digits of md5 of a mark and a number, as a long."""
+    digits = F.substring(F.md5(F.concat_ws(":", of, nth.cast("string")).cast("binary")), 1, 15)
     return F.conv(digits, 16, 10).cast("long")
 
 
+def placed(docs: DataFrame, *columns: Column) -> DataFrame:
+    """The given columns of docs (doc_id, text, ...) and `place`. Equal rows differ in their number, so it does not matter which has which."""
+    rows = docs.select(*columns, mark(F.col("doc_id"), F.col("text")).alias("__mark"))
+    repeated = cut(rows.groupBy("__mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__mark"))
+    lone = rows.join(repeated, "__mark", "left_anti").withColumn("__nth", F.lit(0).cast("long"))
+    many = cut(rows.join(repeated, "__mark", "left_semi").withColumn("__part", F.spark_partition_id()))
+    held = many.groupBy("__mark", "__part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("__mark").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    held = held.select(F.col("__mark").alias("m"), F.col("__part").alias("p"), before.alias("before"))
+    nth = F.row_number().over(W.partitionBy("__mark", "__part").orderBy("__part")) - 1
+    many = many.withColumn("__row", nth).join(held, (F.col("__mark") == F.col("m")) & (F.col("__part") == F.col("p")))
+    many = many.withColumn("__nth", (F.col("__row") + F.col("before")).cast("long")).drop("__part", "__row", "m", "p", "before")
+    rows = lone.unionByName(many)
+    return rows.withColumn("place", place(F.col("__mark"), F.col("__nth"))).drop("__mark", "__nth")
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
     """Per source: size, weight and target. sizes: (source, source_size).
 
@@ -105,12 +127,12 @@ def mix_plan(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats
 
 
 def sized_rows(docs: DataFrame) -> DataFrame:
-    return cut(docs.select("doc_id", "source", words_of(F.col("text")).alias("size"), place(F.col("doc_id")).alias("place")))
+    return cut(placed(docs, F.col("doc_id"), F.col("source"), words_of(F.col("text")).alias("size")))
 
 
-def with_repeats(rows: DataFrame, plan: DataFrame, at: Column) -> DataFrame:
-    """row (struct of all columns), repeats, source_size, target. `at` is the place of a row; the plan has one row per source."""
-    rows = rows.select(F.struct("*").alias("row"), F.col("source").alias("__source"), at.alias("__place"))
+def with_repeats(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """row, repeats, source_size, target of rows (row, source, place); the plan has one row per source."""
+    rows = rows.select("row", F.col("source").alias("__source"), F.col("place").alias("__place"))
     rows = rows.join(plan, F.col("__source").eqNullSafe(F.col("source")))
     return rows.select("row", (F.col("whole") + (F.col("__place") < F.col("threshold")).cast("int")).alias("repeats"), "source_size", "target")
 
@@ -121,21 +143,22 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int
     Every whole repeat of a source is taken for all of its documents; the rest of the target is a threshold on the line of places.
     """
     sized = sized_rows(docs)
-    rows = with_repeats(sized, mix_plan(sized, weights, max_repeats), F.col("place"))
+    rows = with_repeats(sized.select(F.struct("*").alias("row"), "source", "place"), mix_plan(sized, weights, max_repeats))
     return rows.select("row.doc_id", "row.source", "row.size", "source_size", "target", "repeats")
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
     """The mix itself: every row as often as it is taken, with the columns it came with."""
     plan = mix_plan(sized_rows(docs), weights, max_repeats)
-    rows = with_repeats(docs, plan, place(F.col("doc_id"))).where(F.col("repeats") > 0)
+    rows = with_repeats(placed(docs, F.struct("*").alias("row"), F.col("source")), plan).where(F.col("repeats") > 0)
     return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("repeats")))).select("row.*")
 
 
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS place
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) || ':' ||
+           (row_number() OVER (PARTITION BY doc_id, coalesce(text, '')) - 1)), 1, 15))::BIGINT AS place
   FROM documents),
 sizes AS (
   SELECT source, sum(size)::BIGINT AS source_size,

@@ -66,6 +66,20 @@ def test_mix_of_odd_rows(odd, nothing):
     assert mixing.mix(nothing).count() == 0 and mixing.mixed(nothing).count() == 0
 
 
+def test_targets_are_met_where_rows_repeat(spark):
+    """Rows without an id, with one id, and equal in everything move one by one."""
+    ten = "a b c d e f g h i j"
+    rows = [(None, f"{ten[:-1]} {i}", "a") for i in range(100)] + [(7, ten, "b")] * 100 + [(8, f"{ten[:-1]} {i}", "c") for i in range(100)] + [(1000 + i, ten, "d") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix(docs).groupBy("source").agg(F.sum(F.col("size") * F.col("repeats")).alias("taken"), F.max("target").alias("target"), F.count(F.lit(1)).alias("n")).collect()
+    assert {r.source: r.n for r in got} == dict.fromkeys("abcd", 100)
+    assert all(abs(r.taken - r.target) <= 5.001 for r in got)
+    again = mixing.mix(docs.repartition(3)).groupBy("doc_id", "source", "repeats").count()
+    first = mixing.mix(docs).groupBy("doc_id", "source", "repeats").count()
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, first.collect()), key=str)
+    assert mixing.mixed(docs).where("source = 'b'").count() == next(r.taken for r in got if r.source == "b") / 10
+
+
 def plain_spans(text):
     out = []
     for place, rule in enumerate(secrets.BASE):
