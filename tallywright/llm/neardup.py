@@ -170,7 +170,7 @@ def _block_pairs(rows: DataFrame, heads: DataFrame, sketches: DataFrame, sets: D
     heads = heads.select("bucket", "main", F.ceil(F.col("size") / BLOCK).cast("int").alias("rights"), F.ceil(F.col("outside") / BLOCK).cast("int").alias("lefts"))
     # a sketch is attached once to an id, which has at most one bucket of each band
     mine = rows.join(heads, "bucket").groupBy("id").agg(F.collect_list(F.struct("bucket", "band", "component", "main", "rights", "lefts")).alias("places"))
-    narrow = sketches.select("id", "n", "sketch", F.transform("bands", lambda b: b.cast("int")).alias("bands")).join(sets.select("id", "short"), "id")
+    narrow = sketches.select("id", "n", "sketch", F.transform("bands", lambda b: b.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("bands")).join(sets.select("id", "short"), "id")
     members = mine.join(narrow, "id").select("id", "n", "sketch", "bands", "short", F.explode("places").alias("at")).select("id", "n", "sketch", "bands", "short", "at.*")
     spread = lambda parts: F.pmod(F.xxhash64("id"), F.col(parts)).cast("int")
     upto = lambda parts: F.sequence(F.lit(0), F.col(parts) - 1)
