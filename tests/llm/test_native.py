@@ -112,6 +112,20 @@ def test_ledger_scans_only_what_is_new(spark):
     assert secrets.read_ledger(spark, none).count() == 1
 
 
+def test_many_matches_in_one_text_take_linear_time(spark):
+    import time
+    hit = "0123456789abcdef0123456789 é "
+    rows = [(1, hit * 32_000), (2, "token=abcdef" + "😀" * 5000 + "token=abcdef tail"), (3, "x" * 4096 + "secret=abcdefg"), (4, "a" * 23 + "g" + "AKIA" + "A" * 4096)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _, ledger = secrets.scan(docs)  # loads what the session needs
+    begin = time.time()
+    got = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    assert time.time() - begin < 40
+    assert got == {1: "[secret] é " * 32_000, 2: "[secret]" + "😀" * 5000 + "[secret] tail", 3: "x" * 4096 + "[secret]", 4: "a" * 23 + "g[secret]"}
+    spans = secrets.read_ledger(spark, ledger).selectExpr("max(size(spans)) AS n").first().n
+    assert spans == 32_000
+
+
 def test_redaction_of_odd_rows(odd, nothing):
     rows = secrets.redacted(odd, length="n_chars")
     assert rows.columns == odd.columns and rows.count() == odd.count()
