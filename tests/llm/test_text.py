@@ -257,7 +257,7 @@ def test_block_pairs_find_every_near_pair(spark, monkeypatch):
     rng = np.random.default_rng(2)
     sketch = rng.integers(-(1 << 62), 1 << 62, (700, neardup.WORDS64))
     sketch[1::2] = sketch[::2]
-    sketches = spark.createDataFrame([(i, 100 - 30 * (i // 2 % 3 == 0) * (i % 2), s.tolist(), [-(5 if i // 2 % 5 == 0 else i + 6) << 40, 7]) for i, s in enumerate(sketch)],
+    sketches = spark.createDataFrame([(i, 100 - 30 * (i // 2 % 3 == 0) * (i % 2), s.tolist(), [(5 if i // 2 % 5 == 0 else i) - (9 << 40), 7]) for i, s in enumerate(sketch)],
                                      "id long, n long, sketch array<long>, bands array<long>")
     entries = spark.createDataFrame([(7, 1, i, i) for i in range(700)], "bucket long, band int, id long, component long")
     short = [np.arange(100, dtype=np.uint32) + 50 * (i // 2 % 7 == 0) * (i % 2) for i in range(700)]
