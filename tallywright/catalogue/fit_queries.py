@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallywright.catalogue.aggregate_queries import ITEMS, items
 from tallywright.catalogue.base import r, register, rq, table
 from tallywright.catalogue.order_queries import SHRUNK, successes
+from tallywright.operators import certificates as ct
 from tallywright.operators import models as md
 from tallywright.operators import shrinkage as sh
 from tallywright.plans.profile import union_all
@@ -124,22 +125,64 @@ def shot_logit(spark, sf):
         F.count(F.lit(1)).alias("n"), r(F.avg("logit"), 4).alias("mean_logit"))
 
 
-@register("h3_stint_ridge")
-def stint_ridge(spark, sf):
-    """Offense and defense coefficient per supplier; lineups are five neighbouring suppliers."""
+def supplier_stints(spark, sf):
+    """Line items as stints; lineups are five neighbouring suppliers."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_quantity", "l_tax")
     n = table(spark, sf, "supplier").count()
     five = F.sequence(F.lit(0), F.lit(4))
-    st = li.select(F.col("l_orderkey").alias("game_id"),
+    return li.select(F.col("l_orderkey").alias("game_id"),
                    F.transform(five, lambda i: F.pmod(F.col("l_suppkey") + i, F.lit(n))).alias("offense"),
                    F.transform(five, lambda i: F.pmod(F.col("l_partkey") * 7 + i, F.lit(n))).alias("defense"),
                    F.col("l_linenumber").cast("double").alias("w"), F.col("l_quantity").alias("pts"), (F.col("l_tax") * 10).alias("sq"))
-    fits = md.fit_stint_ridges(st, ["pts", "sq"])
+
+
+def zero(name, digits):
+    """A rounded number without a sign on 0."""
+    return (F.round(name, digits) + F.lit(0.0)).alias(name)
+
+
+def shot_terms_sql(labels):
+    parts = [f"select '{c}' as term, {col} as label, count(*) as n, 0.0::double as gradient from {ITEMS} group by {col}" for c, col in labels.items()]
+    parts += [f"select '{t}', null, count(*), 0.0 from {ITEMS}" for t in ("intercept", "distance", "distance_sq", "side")]
+    return " union all ".join(parts)
+
+
+LABELS = {"action": "p_type", "area": "l_returnflag", "kind": "l_linestatus"}
+
+
+def shot_certificate(count):
+    def run(spark, sf):
+        """Every term of the model with its rows; the gradient of the fit, summed anew over the rows, is 0 per row."""
+        s = shots(spark, sf)
+        model = md.fit_shot_model(s, list(LABELS)[:count])
+        return ct.shot_optimality(s, model).select("term", "label", "n", zero("gradient", 7))
+    return run
+
+
+register("h1_shot_optimality", shot_terms_sql(dict(list(LABELS.items())[:2])))(shot_certificate(2))
+register("h2_shot_logit_optimality", shot_terms_sql(LABELS))(shot_certificate(3))
+
+
+@register("h3_stint_ridge")
+def stint_ridge(spark, sf):
+    """Offense and defense coefficient per supplier."""
+    fits = md.fit_stint_ridges(supplier_stints(spark, sf), ["pts", "sq"])
     parts = [f.coefficients.select(F.lit(t).alias("target"), "entity_id", r("offense", 4).alias("offense"), r("defense", 4).alias("defense"),
                                    F.lit(f.penalty).alias("penalty")) for t, f in fits.items()]
     return union_all(parts)
 
 
+@register("h3_stint_optimality", """
+    with n as (select count(*) as n from supplier), i as (select unnest(range(5)) as i),
+    o as (select (l_suppkey + i) % n.n as e, 'offense' as side, l_linenumber as w from lineitem, n, i union all
+      select (l_partkey * 7 + i) % n.n, 'defense', l_linenumber from lineitem, n, i)
+    select t.target, e as entity_id, side, sum(w)::double as weight, 0.0::double as gradient from o, (values ('pts'), ('sq')) as t(target) group by all""")
+def stint_optimality(spark, sf):
+    """Everyone in a lineup with the weight of their rows; the gradient of the fit, summed anew over the rows, is 0 per unit of weight."""
+    st = supplier_stints(spark, sf)
+    return ct.stint_optimality(st, md.fit_stint_ridges(st, ["pts", "sq"])).select("target", "entity_id", "side", "weight", zero("gradient", 6))
+
+
 @register("h4_poisson_exposure", f"""
     with c as (select l_partkey as entity, count(*)::double as y, max(p_size)::double as e, max(case when p_type in ('PROMO', 'ECONOMY') then 1.0 else 0.0 end) as g
       from {ITEMS} group by l_partkey) select entity, {rq('e * sum(y) over (partition by g) / sum(e) over (partition by g)', 5)} as expected from c""")
@@ -189,6 +232,19 @@ def ridge(spark, sf):
     return p.select("p_partkey", r(F.coalesce("y", fit.predict(feats)), 3).alias("filled"), F.col("y").isNull().cast("int").alias("imputed"))
 
 
+@register("h7_ridge_optimality", """
+    with p as (select count(*) as n from part where p_partkey % 4 <> 0)
+    select term, n, 0.0::double as gradient from p, (select unnest(['intercept', 'size', 'len']) as term union all select 'type ' || p_type from part group by p_type)""")
+def ridge_certificate(spark, sf):
+    """Every term of the imputation with the rows it was fitted on; the gradient of the fit is 0 per row."""
+    p = table(spark, sf, "part").select("p_partkey", F.col("p_size").cast("double").alias("size"), F.length("p_name").cast("double").alias("len"),
+                                        "p_type", F.when(F.col("p_partkey") % 4 != 0, F.col("p_retailprice") + 3 * F.col("p_size")).alias("y"))
+    kinds = sorted(x[0] for x in p.select("p_type").distinct().collect())
+    features = {"size": F.col("size"), "len": F.col("len")} | {f"type {k}": F.when(F.col("p_type") == k, 1.0).otherwise(0.0) for k in kinds}
+    fit = md.fit_ridge(p, list(features.values()), "y", ["p_partkey"])
+    return ct.ridge_optimality(p, fit, features, "y").select("term", "n", zero("gradient", 7))
+
+
 def _newton_sql(steps: int = 12) -> str:
     """The same Newton steps unrolled: one grouped sum and one 2x2 system each."""
     out = ["""s as (select l_suppkey as e, (l_linenumber + l_tax * 10)::double as x, (25 - floor(l_quantity / 2)) / 20.0 as o,
