@@ -211,10 +211,10 @@ def verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
         group, bases = None, []
         for batch in batches:
             found = []
-            for a, part, role, b, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "part", "role", "id", "tokens")), strict=True):
+            for a, part, role, b, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "part", "role", "id")), batch.column("tokens"), strict=True):
                 if group != (a, part):
                     group, bases = (a, part), []
-                mine = np.frombuffer(raw, np.uint64)
+                mine = np.frombuffer(raw.as_buffer(), np.uint64)
                 if role == 0:
                     bases.append(np.sort(mine))
                     continue

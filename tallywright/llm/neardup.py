@@ -268,12 +268,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity_pct: int) -> DataFra
         group, bases = None, []
         for batch in batches:
             found = []
-            for a, part, role, other, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "part", "role", "id", "tokens")), strict=True):
-                mine = np.frombuffer(raw, np.uint64)
+            for a, part, role, other, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "part", "role", "id")), batch.column("tokens"), strict=True):
+                mine = np.frombuffer(raw.as_buffer(), np.uint64)
                 if group != (a, part):
                     group, bases = (a, part), []
                 if role == 0:
-                    bases.append(mine)  # an id that comes with several texts has several sets
+                    bases.append(mine.copy())  # an id that comes with several texts has several sets
                     continue
                 for base in bases:
                     if len(base) and len(mine):
