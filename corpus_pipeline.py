@@ -21,12 +21,22 @@ LEAST_SCORE = 0.4
 WIDTH, SIMILARITY_PCT = 5, 80
 
 
+#: rows of a batch given to Python; texts may be long, and a batch is held several times over in a task
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     rows = languages.labelled(docs, languages.fit(languages.training_rows(docs)), carry=docs.columns)
     return rows.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     rows = neardup.near_duplicates(docs, WIDTH, SIMILARITY_PCT)
     gone = cut(rows.where("NOT kept").select("doc_id").distinct())
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
