@@ -47,6 +47,12 @@ REQUIRED = {
     "combine_drills": ["PLAYER_ID", "year", *sp.COMBINE_TESTS],
     "box": ["game_id", "person_id", "team_id", "first_name", "family_name", "position", "comment", "minutes"],
     "inactive": ["game_id", "person_id", "team_id"],
+    "player_index": ["PERSON_ID", "HEIGHT", "WEIGHT"],
+    "contests": ["CLOSE_DEF_PERSON_ID"],
+    "id_log": ["game_id", "actionNumber", "clock", "period", "teamId", "personId", "actionType", "subType"],
+    "text_log": ["game_id", "actionNumber", "clock", "period", "teamId", "personId", "actionType", "subType",
+        "description", "shotResult", "isFieldGoal"],
+    "rotation": ["game_id", "PERSON_ID", "TEAM_ID", "IN_TIME_REAL", "OUT_TIME_REAL"],
 }
 REBOUND_CHANCES = ["OREB_CHANCES", "DREB_CHANCES", "OREB_CHANCE_DEFER", "DREB_CHANCE_DEFER"]
 # Play types, late-clock buckets and contest column names.
@@ -246,15 +252,24 @@ def shot_cells(pt_shot: DataFrame) -> DataFrame:
         F.sum(sc.to_num("FG3M")).alias("FG3M"), F.sum(sc.to_num("FG3A")).alias("FG3A"))
 
 
+def check_contracts(raw: dict) -> None:
+    """Every source that is given has the columns read from it, or an error names the source and what it lacks."""
+    for name, columns in REQUIRED.items():
+        given = raw.get(name)
+        if name == "pt_Rebounding":
+            columns = columns[:3]  # the chance columns have a fallback
+        for part, df in (given.items() if isinstance(given, dict) else [("", given)]):
+            if df is not None:
+                require_columns(df, f"{name} {part}".strip(), columns)
+    if raw.get("seasons"):
+        for name, df in zip(("box", "inactive"), raw["seasons"], strict=True):
+            require_columns(df, f"seasons {name}", [c for c in REQUIRED[name] if c in ("game_id", "person_id", "team_id", "minutes", "comment")])
+
+
 def assemble(raw: dict) -> League:
     """``raw``: DataFrames by source name (see REQUIRED), plus ``contests`` (four tables), ``homes``,
     ``seasons`` (box and inactive rows of the durability seasons) and the logs."""
-    for name, cols in REQUIRED.items():
-        if name in raw:
-            lacking = list(cols)
-            if name == "pt_Rebounding":
-                lacking = lacking[:3]       # the chance columns have a fallback
-            require_columns(raw[name], name, lacking)
+    check_contracts(raw)
     games = derive_game_tables(raw["box"], raw.get("id_log"), raw.get("text_log"), raw.get("rotation"))
     inputs = cut(count_table(raw, games))
     shots = cut(shot_table(raw["shot_chart"]))
@@ -298,4 +313,4 @@ def assemble(raw: dict) -> League:
             c in raw["pt_Rebounding"].columns for c in REQUIRED["pt_Rebounding"]), extra=extra)
 
 
-__all__ = ["assemble", "prefer_source", "REQUIRED"]
+__all__ = ["assemble", "check_contracts", "prefer_source", "REQUIRED"]

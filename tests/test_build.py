@@ -119,3 +119,23 @@ def test_impossible_count_names_the_player(built):
     d.counts()
     assert "1001" in d.stat_errors["FT%"] and d.stat_errors["FT%"].startswith("guard")
     assert set(d.stat_errors) == {"FT%"}
+
+
+def test_a_source_without_a_column_is_named(spark):
+    from tallywright.plans.assemble import REQUIRED, check_contracts
+    from tallywright.sources.payloads import MissingColumns
+
+    def empty(columns):
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+
+    raw = {name: empty(columns) for name, columns in REQUIRED.items() if name not in ("contests", "inactive")}
+    raw["contests"] = {c: empty(REQUIRED["contests"]) for c in ("Overall", "R")}
+    raw["seasons"] = (raw["box"], empty(REQUIRED["inactive"]))
+    check_contracts(raw | {"rotation": None, "pt_Rebounding": raw["pt_Rebounding"].drop("OREB_CHANCES")})
+    for name, column in (("text_log", "description"), ("id_log", "personId"), ("rotation", "IN_TIME_REAL"), ("player_index", "HEIGHT"), ("synergy", "POSS")):
+        with pytest.raises(MissingColumns, match=f"{name}: missing columns .*{column}"):
+            check_contracts(raw | {name: raw[name].drop(column)})
+    with pytest.raises(MissingColumns, match="contests R"):
+        check_contracts(raw | {"contests": {"R": empty(["OTHER"])}})
+    with pytest.raises(MissingColumns, match="seasons inactive"):
+        check_contracts(raw | {"seasons": (raw["box"], empty(["game_id"]))})
