@@ -5,8 +5,8 @@
    bitmap, so bits on which two sketches differ count the samples on which they differ, and the number of differing bits
    estimates the similarity; the nearer to 1, the more precisely.
 2. Documents of one set are one class, whoever many; only the smallest id of each goes on.
-3. Classes that share a band key are candidates. First, in every bucket of a band the smallest id is a pivot and meets all others. Twice more a
-   bucket that still holds several components has a pivot of its own, by a hash, which meets the members of other components. In buckets that are
+3. Classes that share a band key are candidates. First, in every bucket of a band the smallest id is a pivot and meets all others. Then a
+   bucket that still holds several components has another pivot, by a hash, which meets the members of other components. In buckets that are
    open even then, the members outside the largest component of the bucket meet all others, in blocks of bounded size inside
    the tasks: every pair of two components that has not been looked at before. Only pairs that pass the sketch leave any of these steps, and the last one
    only those whose sets of 24-bit hashes are similar enough too: they never hide a shared shingle, and a group of texts just below the
@@ -46,7 +46,7 @@ WORDS64 = SKETCH_BITS // 64
 #: members of a bucket compared with as many others in one block, and partners confirmed under one document in one group
 BLOCK, PARTNERS = 1024, 256
 #: steps in which every open bucket has a pivot by a hash
-PIVOT_STEPS = 2
+PIVOT_STEPS = 1
 
 _seeds = mix(np.arange(1, 2 * MOST_SAMPLES + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
 MULTIPLIERS = (_seeds[:MOST_SAMPLES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
