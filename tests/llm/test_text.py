@@ -330,6 +330,18 @@ def test_compression_replaces_what_repeats():
     assert tokenfiles.expand(made["symbols"], made["rules"]).tolist() == wide.tolist()
 
 
+def test_every_pair_that_saves_is_replaced():
+    rng = np.random.default_rng(8)
+    tokens_ = rng.integers(0, 3000, 60_000).astype(np.uint32)
+    tokens_[1000::7000], tokens_[1001::7000] = 5000, 5001  # nine places of 60,000
+    made = tokenfiles.compress(tokens_, np.array([30_000, 60_000]))
+    s, ends = made["symbols"], made["doc_symbol"][1:-1]
+    pairs = np.delete(np.stack([s[:-1], s[1:]], 1), ends - 1, 0)
+    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+    assert [5000, 5001] in made["rules"].tolist() and np.unique(pairs, axis=0, return_counts=True)[1].max() < tokenfiles.LEAST_COUNT
+    assert tokenfiles.expand(s, made["rules"]).tolist() == tokens_.tolist()
+
+
 def test_best_fit_is_best_fit():
     rng = np.random.default_rng(4)
     for _ in range(30):
