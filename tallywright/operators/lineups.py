@@ -7,7 +7,10 @@ running states and grouped sums over the segments.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+from itertools import groupby
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -85,24 +88,44 @@ def lineup_segments(evs: DataFrame, rosters: DataFrame, rotation: DataFrame | No
         F.first(F.transform(members, lambda m: m["id"])).alias("members"),
         F.array_sort(F.collect_list(F.struct("period", period_start("period").alias("start"), "first", F.coalesce("box", "spun").alias("five")))).alias("periods")))
     rows = team_rows(evs, rosters, cuts)
+    # what is told of a team in a game comes first, its rows follow in order: a task reads its team games one after another
+    both = rows.select("*", F.lit(True).alias("listed")).unionByName(info.select("*", F.lit(False).alias("listed")), allowMissingColumns=True)
     keys = ["game_id", "team"]
-    return rows.groupBy(*keys).cogroup(info.groupBy(*keys)).applyInPandas(_team_game, SEGMENT_SCHEMA)
+    return both.repartition(*keys).sortWithinPartitions(*keys, "listed", "at.ord").mapInArrow(_team_games, SEGMENT_SCHEMA)
+
+
+_SEGMENT_TYPES = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_(), "array<bigint>": pa.list_(pa.int64())}
+_SEGMENTS = pa.schema([(c.split()[0], _SEGMENT_TYPES[c.split()[1]]) for c in SEGMENT_SCHEMA.split(", ")])
+_ROWS_OUT = 10_000
+
+
+def _team_games(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    made: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], t) for i, t in enumerate(_SEGMENTS.types)], schema=_SEGMENTS)
+
+    for key, rows in groupby((r for b in batches for r in b.to_pylist()), key=lambda r: (r["game_id"], r["team"])):
+        told = next(rows)
+        if not told["listed"]:
+            made += _team_game(key, rows, told)
+        if len(made) >= _ROWS_OUT:
+            yield batch()
+            made = []
+    if made:
+        yield batch()
 
 
-def _team_game(key, rows: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
-    columns = [c.split()[0] for c in SEGMENT_SCHEMA.split(", ")]
-    if not len(info):
-        return pd.DataFrame(columns=columns)
-    told = info.iloc[0]
+def _team_game(key: tuple, rows: Iterator[dict], told: dict) -> list[tuple]:
     floor = TeamFloor({int(p) for p in told["members"]})
     by_period: dict[int, list] = {}
-    for r in sorted(rows.to_dict("records"), key=lambda r: r["at"]["ord"]):
+    for r in rows:
         after = r["after"]
         by_period.setdefault(int(r["period"]), []).append(Row(
             Moment(*map(int, (r["at"]["ord"], r["at"]["t"], r["at"]["t_floor"]))),
             None if after is None else Moment(*map(int, (after["ord"], after["t"], after["t_floor"]))), bool(r["swap"]),
             *([int(p) for p in (r[c] if r[c] is not None else ())] for c in ("outs", "ins")), bool(r["named"]),
-            [int(p) for p in (r["in_ids"] if r["in_ids"] is not None else ())], *(None if pd.isna(r[c]) else int(r[c]) for c in ("actor", "shown"))))
+            [int(p) for p in (r["in_ids"] if r["in_ids"] is not None else ())], r["actor"], r["shown"]))
     for p in told["periods"]:
         start, first = int(p["start"]), p["first"]
         here = by_period.get(int(p["period"]), [])
@@ -112,10 +135,7 @@ def _team_game(key, rows: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
         floor.play(int(p["period"]), start, opening, here, None if p["five"] is None else {int(x) for x in p["five"]})
     made = [(key[0], period, int(key[1]), *rest, None, None) for period, *rest in floor.segments]
     made += [(key[0], period, None, None, None, None, None, None, None, note, detail) for period, note, detail in floor.notes]
-    out = pd.DataFrame(made, columns=columns)
-    for c in ("team", "ord_from", "seg_no", "t_from", "t_floor", "period"):
-        out[c] = out[c].astype("Int64")
-    return out
+    return made
 
 
 def segments_only(walked: DataFrame) -> DataFrame:

@@ -52,6 +52,7 @@ class Evidence:
 
     def __init__(self, rows: list[Row], team: set[int]):
         self.acts, self.arrivals, self.mentions = defaultdict(list), defaultdict(list), defaultdict(list)
+        self.swaps = [i for i, row in enumerate(rows) if row.swap]
         for i, row in enumerate(rows):
             leaving = row.outs if row.swap else ()
             acting = leaving if row.swap else (row.actor,) if row.actor is not None else ()
@@ -70,8 +71,8 @@ class Evidence:
         k = bisect_left(rows, i)
         return rows[k] if k < len(rows) else default
 
-    def lineup(self, i: int, absent: set[int], previous: set[int] | None) -> tuple[set[int] | None, bool]:
-        """(the five on the floor just before row i, whether the previous lineup had to fill it up); None if it cannot be told."""
+    def sure(self, i: int, absent: set[int]) -> list[tuple[int, int]]:
+        """(next act, player) of everyone whose next act comes before the next arrival."""
         never = float("inf")
         sure = []
         for p, acts in self.acts.items():
@@ -79,6 +80,22 @@ class Evidence:
             if act is not None and p not in absent and act < self.following(self.arrivals[p], i, never):
                 sure.append((act, p))
         sure.sort()
+        return sure
+
+    def same_until(self, i: int, absent: set[int]) -> int:
+        """The last row before which a lineup that cannot be told before row i cannot be told either.
+
+        Until the next substitution, players only drop out of those sure to be on, each after the last act before the next arrival.
+        """
+        sure = self.sure(i, absent)
+        if len(sure) >= FULL:
+            return i
+        ends = [acts[bisect_left(acts, self.following(self.arrivals[p], i, float("inf"))) - 1] for acts, p in ((self.acts[p], p) for _, p in sure)]
+        return min([*ends, self.following(self.swaps, i, float("inf"))])
+
+    def lineup(self, i: int, absent: set[int], previous: set[int] | None) -> tuple[set[int] | None, bool]:
+        """(the five on the floor just before row i, whether the previous lineup had to fill it up); None if it cannot be told."""
+        sure = self.sure(i, absent)
         if len(sure) > FULL and sure[FULL - 1][0] < sure[FULL][0]:
             sure = sure[:FULL]
         on = {p for _, p in sure}
@@ -105,7 +122,7 @@ class TeamFloor:
     confirmed: set[int] | None = None      # the last lineup that an event happened under
 
     def play(self, period: int, start: int, first: Moment, rows: list[Row], starters: set[int] | None) -> None:
-        self.period, self.number, self.gone = period, 0, set()
+        self.period, self.number, self.gone, self.lost_until = period, 0, set(), -1
         self.evidence = Evidence(rows, self.team)
         self.five = starters
         if starters is None:
@@ -133,7 +150,7 @@ class TeamFloor:
 
     def on_event(self, at: Moment, i: int) -> None:
         """An event is about to happen with rows i and on still to come."""
-        if self.five is None and self.recover(i):
+        if self.five is None and i > self.lost_until and self.recover(i):
             self.open(at, False)
         if self.five is not None:
             self.confirmed, self.gone = self.five, set()
@@ -143,6 +160,8 @@ class TeamFloor:
         self.five, _ = self.evidence.lineup(i, self.gone, stayed or None)
         if self.five is not None:
             self.note(RECOVERED)
+        else:
+            self.lost_until = self.evidence.same_until(i, self.gone)
         return self.five is not None
 
     def change(self, i: int, row: Row) -> None:

@@ -286,3 +286,64 @@ def test_blockers_of_the_text_log(spark):
            row(3, RED, a[0], "Made Shot", f"{NAME[a[0]]} Dunk ({NAME[a[4]]} 2 AST)"), row(4, TEAL, b[0], "", f"{NAME[b[0]]} BLOCK")]
     got = {r.event_id: r for r in ev.normalize_text_log(log_frame(spark, [log]), ev.game_rosters(box_frame(spark, ["k"]))).where("kind = 'fga'").collect()}
     assert got[1].blocker == a[2] and got[3].blocker is None and got[3].assist_name == NAME[a[4]]
+
+
+# ------------------------------------------------------------------ lost lineups and the plan of the walk
+class Asking(TeamFloor):
+    """Asks for a lost lineup before every event."""
+
+    def on_event(self, at, i):
+        self.lost_until = -1
+        super().on_event(at, i)
+
+
+def lost_walk(kind, rows, five, monkeypatch):
+    asked = []
+    real = recovery.Evidence.lineup
+    monkeypatch.setattr(recovery.Evidence, "lineup", lambda self, i, *a: asked.append(i) or real(self, i, *a))
+    floor = kind(set(range(1, 12)))
+    for period in (1, 2):
+        floor.play(period, 0, rows[0].at, rows, five)
+    monkeypatch.undo()
+    return floor.segments, floor.notes, len(asked)
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_a_lost_lineup_is_the_same_asked_for_less_often(seed, monkeypatch):
+    rng = random.Random(seed)
+    rows = []
+    for k in range(120):
+        at, after = Moment(k, k, k), Moment(k + 1, k + 1, k + 1)
+        p = rng.randint(1, 11 if seed % 2 else 7)
+        if rng.random() < (0.02, 0.1, 0.3)[seed % 3]:
+            coming = [rng.randint(1, 11)] if rng.random() < 0.6 else []
+            rows.append(Row(at, after, True, [p], coming, rng.random() < 0.2, [rng.randint(1, 11)] if rng.random() < 0.5 else [], None, p))
+        else:
+            rows.append(Row(at, after, False, [], [], False, [], p if rng.random() < 0.9 else None, p))
+    five = {1, 2, 3, 4, 5} if seed % 4 else None
+    less, every = lost_walk(TeamFloor, rows, five, monkeypatch), lost_walk(Asking, rows, five, monkeypatch)
+    assert less[:2] == every[:2] and less[2] <= every[2]
+
+
+def test_a_long_lost_lineup_is_asked_for_a_few_times(monkeypatch):
+    rows = [Row(Moment(k, k, k), Moment(k + 1, k + 1, k + 1), False, [], [], False, [], 1 + k % 3, 1 + k % 3) for k in range(2000)]
+    assert lost_walk(TeamFloor, rows, None, monkeypatch)[2] <= 20
+
+
+def test_team_games_are_read_in_batches_not_group_by_group(spark):
+    box = spark.createDataFrame([(f"g{g}", p, t, NAME[p], "", "", "G" if k < 5 else "", "10:00") for g in range(9) for t in (RED, TEAL) for k, p in enumerate(SQUAD[t])], BOX)
+    rosters = ev.game_rosters(box)
+    kinds = ("game_id string, period int, ord bigint, t int, kind string, team bigint, person bigint, sub string, outs array<bigint>, ins array<bigint>, in_name string, "
+             "in_ids array<bigint>")
+    evs = spark.createDataFrame([(f"g{g}", 1, i, i * 10, "sub" if i == 3 else "reb", RED, 710 + i % 3, "", [711] if i == 3 else [], [717] if i == 3 else [], None, None)
+                                 for g in range(9) for i in range(6)], kinds)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)  # team games reach over batches
+    try:
+        walked = lu.lineup_segments(evs, rosters)
+        assert "CoGroup" not in walked._jdf.queryExecution().toString()
+        made = {(r.game_id, r.team, r.seg_no): (r.ord_from, r.players) for r in lu.segments_only(walked).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {(f"g{g}", RED, 0): (-1, SQUAD[RED][:5]) for g in range(9)} | {(f"g{g}", TEAL, 0): (-1, SQUAD[TEAL][:5]) for g in range(9)}
+    want |= {(f"g{g}", RED, 1): (4, [710, 712, 713, 714, 717]) for g in range(9)}
+    assert made == want
