@@ -148,7 +148,7 @@ def names(spark, sf):
     m = table(spark, sf, "events").select(F.to_date("ts").alias("d"), F.col("event_id").alias("ord"), "user_id", F.concat(
         F.lit("n"), (F.col("user_id") % 40).cast("string")).alias("name"), "event_type")
     acts = m.where("event_type <> 'error'")
-    out = sq.resolve_names(m.where("event_type = 'error'").select("d", "ord", "name"), acts.select("d", "name", "user_id").distinct(),
+    out = sq.resolve_names(m.where("event_type = 'error'").select("d", "ord", "name"), acts.select("d", "name", "user_id"),
                            ["d"], "name", "user_id", later=acts.select("d", "user_id", "ord"))
     return out.select(F.col("ord").alias("event_id"), "resolved")
 

@@ -244,3 +244,16 @@ def test_last_wins(spark):
 def test_micros_keep_microseconds(spark):
     got = one(spark, sc.micros(F.lit("1970-01-02 00:00:01.000002").cast("timestamp_ntz")))
     assert got == 86_400_000_000 + 1_000_002 and math.isfinite(got)
+
+
+def test_asks_of_shared_names_stay_as_many_rows(spark):
+    spoken = spark.createDataFrame([(1, 5, "a", "x"), (1, 5, "b", "y"), (1, 5, "b", "y"), (1, 9, "a", "z"), (1, 4, "lone", "v"), (1, 6, "none", "w"), (None, 7, "a", "u")],
+                                   "k int, ord int, name string, more string")
+    acts = spark.createDataFrame([(1, "a", 1, 6), (1, "a", 2, 5), (1, "b", 4, 8), (1, "b", 3, 7), (1, "lone", 8, 1), (1, "lone", None, 2)], "k int, name string, id int, ord int")
+    out = sequences.resolve_names(spoken, acts.select("k", "name", "id"), ["k"], "name", "id", later=acts.select("k", "id", "ord"))
+    got = sorted((r["more"], r["resolved"] or 0) for r in out.collect())
+    assert got == [("u", 0), ("v", 8), ("w", 0), ("x", 1), ("y", 3), ("y", 3), ("z", 0)]
+    cut = sequences.resolve_names(spoken, acts.select("k", "name", "id"), ["k"], "name", "id", later=acts.select("k", "id", "ord"), limit=2)
+    assert sorted((r["more"], r["resolved"] or 0) for r in cut.collect()) == got
+    # no row carries the ids of its pool, and asks are not joined back
+    assert "collect_set" not in out._jdf.queryExecution().toString()
