@@ -6,8 +6,8 @@
    estimates the similarity; the nearer to 1, the more precisely.
 2. Documents of one set are one class, whoever many; only the smallest id of each goes on.
 3. Classes that share a band key are candidates. First, in every bucket of a band the smallest id is a pivot and meets all others. Then a
-   bucket that still holds several components has another pivot, by a hash, which meets the members of other components. In buckets that are
-   open even then, the members outside the largest component of the bucket meet all others, in blocks of bounded size inside
+   bucket that still holds several components has another pivot, a member of its largest component by a hash, which meets the members outside
+   of that component only. In buckets that are open even then, the members outside the largest component of the bucket meet all others, in blocks of bounded size inside
    the tasks: every pair of two components that has not been looked at before. Only pairs that pass the sketch leave any of these steps, and the last one
    only those whose sets of 24-bit hashes are similar enough too: they never hide a shared shingle, and a group of texts just below the
    similarity would otherwise give pairs by its square.
@@ -147,18 +147,24 @@ def _sifted(pairs: DataFrame, sketches: DataFrame, bits: int, pct: int) -> DataF
     return pairs.join(left, "a").join(right, "b").where((100 * F.least("m", "n") >= pct * F.greatest("m", "n")) & (differ <= bits)).select("a", "b")
 
 
-def _open(rows: DataFrame) -> DataFrame:
-    """bucket, main (its largest component), size, outside (members outside of it) of the buckets of (bucket, id, component) with several components."""
-    sums = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("bucket").agg(
-        F.sum("k").alias("size"), F.max("k").alias("most"), F.max_by("component", F.struct("k", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
-    return sums.where("parts > 1").select("bucket", "main", "size", (F.col("size") - F.col("most")).alias("outside"))
+def _open(rows: DataFrame, step: int = 0) -> DataFrame:
+    """bucket, main (its largest component), a (a member of it by a hash), size, outside (members outside of it) of the buckets of
+    (bucket, id, component) with several components."""
+    sums = rows.groupBy("bucket", "component").agg(
+        F.count(F.lit(1)).alias("k"), F.min_by("id", F.struct(F.xxhash64("id", "bucket", F.lit(step)), "id")).alias("a")).groupBy("bucket").agg(
+        F.sum("k").alias("size"), F.max("k").alias("most"), F.max_by(F.struct("component", "a"), F.struct("k", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    return sums.where("parts > 1").select("bucket", F.col("main.component").alias("main"), "main.a", "size", (F.col("size") - F.col("most")).alias("outside"))
 
 
-def _pivot_pairs(rows: DataFrame, step: int) -> DataFrame:
-    """The pivot of each bucket of (bucket, id, component) with all members of other components: the smallest id, later one by a hash."""
-    order = F.col("id") if step == 0 else F.xxhash64("id", "bucket", F.lit(step))
-    pivots = cut(rows.groupBy("bucket").agg(F.min_by(F.struct(F.col("id").alias("a"), F.col("component").alias("c")), F.struct(order, "id")).alias("p")).select("bucket", "p.*"))
-    met = rows.join(pivots, "bucket").where("component <> c")
+def _first_pairs(rows: DataFrame) -> DataFrame:
+    """The smallest id of each bucket of (bucket, id) with all others."""
+    pivots = cut(rows.groupBy("bucket").agg(F.min("id").alias("a")))
+    return rows.join(pivots, "bucket").where("a <> id").select("a", F.col("id").alias("b")).distinct()
+
+
+def _pivot_pairs(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """The pivot of each open bucket, a member of its largest component, with the members outside of that component."""
+    met = rows.join(heads.select("bucket", "main", "a"), "bucket").where("component <> main")
     return met.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
 
 
@@ -305,22 +311,23 @@ def classes_and_links(docs: DataFrame, width: int = 3, similarity_pct: int = 85)
     bits = most_bits(similarity_pct / 100, bands * per_band)
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(entries.select("id").distinct(), "id", "left_semi")
     sets = cut(full_sets(texts, width))
-    rows = entries.withColumn("component", F.col("id"))
     looked = links = components = None
     for step in range(PIVOT_STEPS + 2):
-        if step <= PIVOT_STEPS:
-            pairs = _sifted(_pivot_pairs(rows, step), sketches, bits, similarity_pct)
+        if step == 0:
+            pairs = _sifted(_first_pairs(entries), sketches, bits, similarity_pct)
         else:
-            pairs = _block_pairs(rows, cut(_open(rows)), sketches, sets, bits, similarity_pct)
+            rows = _with_components(entries, components)
+            heads = cut(_open(rows, step))
+            if step <= PIVOT_STEPS:
+                pairs = _sifted(_pivot_pairs(rows, heads), sketches, bits, similarity_pct)
+            else:
+                pairs = _block_pairs(rows, heads, sketches, sets, bits, similarity_pct)
         fresh = cut(pairs if looked is None else pairs.join(looked, ["a", "b"], "left_anti"))
         found = cut(confirmed(fresh, sets, similarity_pct))
         looked = fresh if looked is None else looked.unionByName(fresh)
         links = found if links is None else links.unionByName(found)
         if components is None or not found.isEmpty():
             components = cut(smallest_reachable(links))
-            rows = _with_components(entries, components)
-            # what is settled in its bucket is not looked at again
-            rows = cut(rows.join(_open(rows).select("bucket"), "bucket", "left_semi"))
     return members, components
 
 

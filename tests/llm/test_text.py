@@ -272,6 +272,23 @@ def test_block_pairs_find_every_near_pair(spark, monkeypatch):
     assert got == {(i, i + 1) for i in range(600, 700, 2) if near(i)}
 
 
+def test_a_pivot_meets_only_members_outside_the_largest_component(spark):
+    rows = [(bucket, i, 0 if i < 50 else i) for bucket in range(40) for i in (*range(50), 90, 91)]
+    entries = spark.createDataFrame([*rows, (99, 1, 0), (99, 2, 0)], "bucket long, id long, component long")
+    heads = neardup._open(entries, 1)
+    assert {(r.main, r.size, r.outside) for r in heads.collect()} == {(0, 52, 2)} and heads.count() == 40
+    pairs = {(r.a, r.b) for r in neardup._pivot_pairs(entries, heads).collect()}
+    assert pairs and all(a < 50 and b in (90, 91) for a, b in pairs) and {b for _, b in pairs} == {90, 91}
+
+
+def test_settled_buckets_are_not_copied(spark, documents, monkeypatch):
+    plans = []
+    seen = neardup.cut
+    monkeypatch.setattr(neardup, "cut", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or seen(df))
+    neardup.near_duplicates(documents)
+    assert not [p for p in plans if "LeftSemi, (bucket" in p]
+
+
 def test_short_hashes_hide_no_shared_shingle():
     rng = np.random.default_rng(4)
     for _ in range(300):
