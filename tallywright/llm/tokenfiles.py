@@ -44,24 +44,27 @@ SCHEMA = ("part int, shard int, n_docs int, n_tokens long, doc_ids array<long>,
           "doc_symbol binary, doc_token binary")
 
 
-def frequent_pairs(key: np.ndarray, least: int, wide: int) -> np.ndarray:
-    """Frequent ones of the pairs left * wide + right, most frequent first, none able to overlap another."""
+def frequent_pairs(key: np.ndarray, least: int, wide: int, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent ones of the pairs left * wide + right, of symbols below room, most frequent first, none able to overlap another; which places may be
+    frequent."""
     slot = ((key * key.dtype.type(0x9E3779B1)) & key.dtype.type(0xFFFFFFFF)) >> key.dtype.type(32 - _TABLE_BITS)
     counts = np.bincount(slot, minlength=1 << _TABLE_BITS)
-    key = key[(counts >= least)[slot]]  # only what may be frequent is sorted
+    likely = (counts >= least)[slot]
+    key = key[likely]  # only what may be frequent is sorted
     key.sort()
     start = np.flatnonzero(np.diff(key, prepend=~key[:1]))
     n = np.diff(np.append(start, len(key)))
     key, n = key[start][n >= least], n[n >= least]
     key = key[np.lexsort((key, -n))]
-    side: dict[int, int] = {}
+    left, right = key // key.dtype.type(wide), key % key.dtype.type(wide)
+    apart = np.flatnonzero(left != right)
+    lefts, rights = bytearray(room), bytearray(room)
     chosen = []
-    for k in key.tolist():
-        a, b = divmod(k, wide)
-        if a != b and side.get(a, 0) == 0 and side.get(b, 1) == 1:
-            side[a], side[b] = 0, 1
-            chosen.append(k)
-    return np.array(chosen, key.dtype)
+    for i, a, b in zip(apart.tolist(), left[apart].tolist(), right[apart].tolist(), strict=True):
+        if not (rights[a] or lefts[b]):
+            lefts[a] = rights[b] = 1
+            chosen.append(i)
+    return key[chosen], likely
 
 
 def compress(tokens: np.ndarray, doc_ends: np.ndarray) -> dict[str, np.ndarray]:
@@ -75,13 +78,17 @@ def compress(tokens: np.ndarray, doc_ends: np.ndarray) -> dict[str, np.ndarray]:
     seq = dense[tokens]
     last = np.zeros(len(seq), bool)
     last[doc_ends - 1] = True
-    rules = np.zeros((0, 2), np.uint32)
-    while len(seq) > 1:
+    rules, lengths = np.zeros((0, 2), np.uint32), np.ones(len(alphabet), np.uint32)
+    # A pair of two older symbols never comes more often than before. So a round looks only at places that may have been
+    # frequent in the last one, and at those beside a symbol that is new since.
+    places = np.flatnonzero(~last[:-1])
+    while len(places):
         room = len(alphabet) + len(rules)
         wide = 1 << 16 if room <= 1 << 16 else 1 << 31
         kind = np.uint32 if wide == 1 << 16 else np.uint64
-        key = seq[:-1].astype(kind) * kind(wide) + seq[1:].astype(kind)
-        chosen = frequent_pairs(key[~last[:-1]], LEAST_COUNT, wide)
+        first, second = seq[places], seq[places + 1]
+        key = first.astype(kind) * kind(wide) + second.astype(kind)
+        chosen, frequent = frequent_pairs(key, LEAST_COUNT, wide, room)
         if not len(chosen):
             break
         # a pair is looked up by its two sides: each symbol is only ever on one
@@ -92,26 +99,22 @@ def compress(tokens: np.ndarray, doc_ends: np.ndarray) -> dict[str, np.ndarray]:
         is_left[left] = True
         is_right = np.zeros(room, bool)
         is_right[right] = True
-        likely = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]] & ~last[:-1])
+        likely = np.flatnonzero(is_left[first] & is_right[second] & frequent)
         at = np.minimum(np.searchsorted(table, key[likely]), len(table) - 1)
         sure = table[at] == key[likely]
-        hit = likely[sure]
+        hit = places[likely[sure]]
         seq[hit], last[hit] = room + order[at[sure]], last[hit + 1]
+        look = np.zeros(len(seq), bool)
+        look[places[frequent]] = look[hit] = look[np.maximum(hit - 1, 0)] = True
         keep = np.ones(len(seq), bool)
         keep[hit + 1] = False
-        seq, last = seq[keep], last[keep]
+        seq, last, look = seq[keep], last[keep], look[keep]
+        places = np.flatnonzero(look[:-1] & ~last[:-1])
         rules = np.concatenate([rules, np.stack([left, right], 1).astype(np.uint32)])
+        lengths = np.concatenate([lengths, lengths[left] + lengths[right]])
     names = np.concatenate([alphabet, np.arange(FIRST_RULE, FIRST_RULE + len(rules), dtype=np.uint32)])
-    grammar = names[rules]
     ends = np.flatnonzero(last) + 1
-    return {"rules": grammar, "lengths": rule_lengths(grammar), "symbols": names[seq], "doc_symbol": np.concatenate([[0], ends]).astype(np.uint32)}
-
-
-def rule_lengths(rules: np.ndarray) -> np.ndarray:
-    out = []
-    for a, b in rules.tolist():
-        out.append(sum(out[s - FIRST_RULE] if s >= FIRST_RULE else 1 for s in (a, b)))
-    return np.array(out, np.uint32)
+    return {"rules": names[rules], "lengths": lengths[len(alphabet):], "symbols": names[seq], "doc_symbol": np.concatenate([[0], ends]).astype(np.uint32)}
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:

@@ -338,6 +338,16 @@ def test_grammar_files_round_trip(spark, odd, documents, nothing):
     assert tokenfiles.decode(spark, tokenfiles.write(nothing)).count() == 0
 
 
+def test_later_rounds_look_only_at_what_may_have_changed(monkeypatch):
+    rng = np.random.default_rng(4)
+    tokens_ = np.concatenate([np.tile(np.arange(40, dtype=np.uint32), 300), rng.integers(0, 60_000, 40_000).astype(np.uint32)])
+    looked, plain = [], tokenfiles.frequent_pairs
+    monkeypatch.setattr(tokenfiles, "frequent_pairs", lambda key, *rest: looked.append(len(key)) or plain(key, *rest))
+    made = tokenfiles.compress(tokens_, np.array([len(tokens_)]))
+    assert (tokenfiles.expand(made["symbols"], made["rules"]) == tokens_).all() and made["lengths"].max() >= 40
+    assert looked[0] == len(tokens_) - 1 and max(looked[1:]) < 20_000  # single places of the random part are not counted again
+
+
 def test_compression_replaces_what_repeats():
     tokens_ = np.array([5, 6, 7, 5, 6, 7, 9] * 500 + [0], np.uint32)
     made = tokenfiles.compress(tokens_, np.array([1750, len(tokens_)]))
