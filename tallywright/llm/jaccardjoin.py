@@ -117,7 +117,7 @@ def prefix_entries(sets: DataFrame, pct: int) -> DataFrame:
                 part = (tokens >> np.uint64(58)).astype(np.int64)
                 later = np.bincount(part[lead:], minlength=CELLS)
                 seen = np.cumsum(np.eye(CELLS, dtype=np.int64)[part[places]], axis=0)
-                cells = np.minimum(later - seen, 65535).astype("<u2")
+                cells = np.minimum(later - seen, 255).astype(np.uint8)  # capped counts differ by no more than whole ones
                 for values, more in zip(out, (tokens[places].view(np.int64), np.full(len(places), i), np.full(len(places), n), places, cells), strict=True):
                     values.append(more)
             if out[0]:
@@ -138,7 +138,7 @@ def survives(n: np.ndarray, m: np.ndarray, i: np.ndarray, j: np.ndarray, left: n
 
 
 def _cells(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, CELLS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, CELLS)
 
 
 def pivot_pairs(rows: DataFrame, step: int, pct: int) -> DataFrame:

@@ -143,3 +143,17 @@ def test_scores_pass_64_bits():
 def test_collocations_of_odd_rows(odd, nothing):
     assert collocations.collocations(odd, support=2).where("lang = 'de' AND phrase = 'wörter über straßen' AND a = 2").count() == 1
     assert collocations.collocations(nothing).count() == 0
+
+
+def test_cells_take_a_byte_and_long_sets_still_meet(spark):
+    rng = np.random.default_rng(23)
+    base = np.unique(rng.integers(0, 1 << 60, 9000).astype(np.uint64))  # many in few parts of the hash space: counts pass a byte
+    made = [base, np.delete(base, np.arange(100, 500))]
+    sets = spark.createDataFrame([(i, len(x), 0, bytearray(x.tobytes())) for i, x in enumerate(made)], "id long, n long, lead long, tokens binary")
+    rows = jaccardjoin.prefix_entries(sets, 90).collect()
+    assert {len(r.cells) for r in rows} == {jaccardjoin.CELLS}
+    a, b = (next(r for r in rows if r.id == i and r.place == 0) for i in (0, 1))
+    cells = [np.frombuffer(r.cells, np.uint8)[None] for r in (a, b)]
+    assert a.token == b.token and max(c.max() for c in cells) == 255
+    n, m, at = np.array([a.n]), np.array([b.n]), np.zeros(1, np.int64)
+    assert jaccardjoin.survives(n, m, at, at, *cells, 90).all()
