@@ -272,3 +272,46 @@ def test_only_substitutions_take_their_columns_through_the_passes(spark):
     assert [g[0] for g in got] == [1, 3, 4, 5, 6, 7] and got[0] == (1, "sub", 11, (11, 12)) and got[4][3] == ()
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window [") == 2  # of the other rows none
+
+
+def test_steps_started_together_run_side_by_side(spark):
+    import threading
+
+    from tallywright.plans.lineage import together
+    meet = threading.Barrier(3, timeout=30)
+
+    def step(i):
+        meet.wait()
+        return spark.range(i).count()
+
+    assert together(*[lambda i=i: step(i) for i in (4, 2, 7)]) == [4, 2, 7]
+    assert together() == []
+    with pytest.raises(ValueError, match="second"):
+        together(lambda: 1, lambda: (_ for _ in ()).throw(ValueError("second")))
+
+
+def test_fits_of_the_derivation_run_side_by_side(spark, monkeypatch):
+    import threading
+
+    from tallywright.plans.profile import Derivation
+    names = ("differences", "stint_models", "risks", "cluster", "physicals")
+    meet = threading.Barrier(len(names), timeout=30)
+    d = Derivation.__new__(Derivation)
+    for name in ("counts", "expected"):
+        monkeypatch.setattr(Derivation, name, lambda self: None)
+    for name in names:
+        monkeypatch.setattr(Derivation, name, lambda self: meet.wait())
+    monkeypatch.setattr(Derivation, "arithmetic", lambda self: 1 / 0)  # the run ends here
+    with pytest.raises(ZeroDivisionError):
+        d.run()
+    assert not meet.broken
+
+
+def test_the_first_row_of_a_key_moves_each_column_once(spark):
+    from tallywright.operators.quality import first_per_key
+    df = spark.createDataFrame([(1, 3, "c"), (1, None, "b"), (1, 2, "a"), (2, 5, "z")], "k int, o int, v string")
+    out = first_per_key(df, ["k"], ["o"])
+    assert sorted((r["k"], r["o"], r["v"]) for r in out.collect()) == [(1, None, "b"), (2, 5, "z")]
+    assert "min_by" not in out._jdf.queryExecution().analyzed().toString()
+    mapped = df.withColumn("m", F.create_map("v", "o"))
+    assert {r["k"]: r["m"] for r in first_per_key(mapped, ["k"], ["o"]).collect()} == {1: {"b": None}, 2: {"z": 5}}
