@@ -7,10 +7,11 @@ is the optimum of a convex fit. One grouped sum for each kind of term; nothing i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.operators.models import _NUMERIC, RidgeFit, ShotModel, StintFit, _continuous
+from tallywright.plans.lineage import cut
 
 __all__ = ["shot_optimality", "stint_optimality", "ridge_optimality"]
 
@@ -42,24 +43,29 @@ def shot_optimality(shots: DataFrame, model: ShotModel, made: str = "made") -> D
 def stint_optimality(stints: DataFrame, fits: dict[str, StintFit], entity: str = "entity_id") -> DataFrame:
     """target, entity, side, weight, gradient for everyone in a lineup of rows (offense, defense, w, targets).
 
-    Rows with the same two lineups are one row of summed weight before they are spread to ten players.
+    What a row misses is its totals less the sums of its two lineups, which are made once per lineup; it is summed by lineup before it is spread to players.
     """
-    names = list(fits)
-    same = stints.where(F.col("w") > 0).groupBy("offense", "defense").agg(F.sum("w").alias("w"), *[F.sum(100.0 * F.col(t)).alias(t) for t in names])
-    side = lambda c: F.transform(c, lambda p: F.struct(F.lit(c).alias("side"), p.cast("bigint").alias(entity)))
-    spread = same.withColumn("row", F.xxhash64("offense", "defense")).withColumn("who", F.explode(F.concat(side("offense"), side("defense")))).select("row", "w", *names, "who.*")
+    names, keys = list(fits), [entity, "side"]
+    whole = stints.where((F.col("w") > 0) & F.col("offense").isNotNull() & F.col("defense").isNotNull())
+    rows = cut(whole.select("w", *names, *[F.transform(c, lambda p: p.cast("bigint")).alias(c) for c in ("offense", "defense")]))
     betas = None
     for t, fit in fits.items():
         both = fit.coefficients.select(entity, F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("b")) for s in ("offense", "defense")])).alias("x"))
         both = both.select(entity, "x.side", F.coalesce("x.b", F.lit(0.0)).alias(f"b_{t}"))
-        betas = both if betas is None else betas.join(both, [entity, "side"], "full")
-    spread = spread.join(betas, [entity, "side"], "left").fillna(0.0, [f"b_{t}" for t in names])
-    lineup = Window.partitionBy("row")
-    missed = [(F.col(t) - F.col("w") * (F.lit(fits[t].intercept) + F.sum(f"b_{t}").over(lineup))).alias(f"m_{t}") for t in names]
-    sums = spread.select(entity, "side", "w", *[f"b_{t}" for t in names], *missed).groupBy(entity, "side").agg(
-        F.sum("w").alias("weight"), *[F.sum(f"m_{t}").alias(f"m_{t}") for t in names], *[F.first(f"b_{t}").alias(f"b_{t}") for t in names])
-    each = F.explode(F.array(*[F.struct(F.lit(t).alias("target"), (F.col(f"m_{t}") - fits[t].penalty * F.col(f"b_{t}")).alias("g")) for t in names]))
-    return sums.select(entity, "side", "weight", each.alias("x")).select("x.target", entity, "side", "weight", _share(F.col("x.g"), F.col("weight")).alias("gradient"))
+        betas = both if betas is None else betas.join(both, keys, "full")
+    betas = cut(betas)
+    made = rows
+    for side in ("offense", "defense"):
+        lineups = rows.select(side).distinct().select(side, F.explode_outer(side).alias(entity))
+        own = betas.where(F.col("side") == side).drop("side")
+        made = made.join(cut(lineups.join(own, entity, "left").groupBy(side).agg(*[F.coalesce(F.sum(f"b_{t}"), F.lit(0.0)).alias(f"{side}_{t}") for t in names])), side)
+    missed = [(100.0 * F.col(t) - F.col("w") * (F.lit(fits[t].intercept) + F.col(f"offense_{t}") + F.col(f"defense_{t}"))).alias(f"m_{t}") for t in names]
+    sides = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("lineup")) for s in ("offense", "defense")]))
+    sums = lambda: [F.sum("w").alias("w"), *[F.sum(f"m_{t}").alias(f"m_{t}") for t in names]]
+    spread = made.select("w", *missed, sides.alias("x")).groupBy("x.side", "x.lineup").agg(*sums()).select("side", F.explode("lineup").alias(entity), "w", *[f"m_{t}" for t in names])
+    each = F.explode(F.array(*[F.struct(F.lit(t).alias("target"), (F.col(f"m_{t}") - fits[t].penalty * F.coalesce(f"b_{t}", F.lit(0.0))).alias("g")) for t in names]))
+    found = spread.groupBy(*keys).agg(*sums()).join(betas, keys, "left").select(*keys, F.col("w").alias("weight"), each.alias("x"))
+    return found.select("x.target", entity, "side", "weight", _share(F.col("x.g"), F.col("weight")).alias("gradient"))
 
 
 def ridge_optimality(df: DataFrame, fit: RidgeFit, features: dict[str, Column], y: str) -> DataFrame:
